@@ -18,12 +18,6 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """A file too small to split would keep all that follows in one task."""
-    tasks = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
-
-
 def _pick(number: Column, values: list[str | None]) -> Column:
     """The entry of a fixed list at `number` modulo its length."""
     return F.element_at(
@@ -65,15 +59,16 @@ def _insured_lines(spark: SparkSession, folder: str) -> DataFrame:
             F.col("n_name").alias("state"),
         )
     )
-    lines = _spread(_table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus",
-    ))
+    lines = _table(spark, folder, "lineitem")
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # A file too small to split would keep all that follows in one task.
+    tasks = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < tasks:
+        joined = joined.repartition(tasks)
     year_and_key = F.concat(F.col("k"), F.lit("-"), F.col("yr"))
     k, pk = F.col("k"), F.col("l_partkey")
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumns({
+        joined.withColumns({
             "policy_reference": F.concat(F.lit("P"), year_and_key),
             "claim_number": F.when(
                 F.col("l_returnflag") == "N", F.lit(None).cast("string")
