@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimtide.functions.dimensions import attorney_flag, in_suit_flag
-from claimtide.operators.salted_join import LANE, salted_left_join
+from claimtide.operators.salted_join import LANE, Skew, salted_left_join
 
 CLAIM_MONTH = ["claim_number", "transaction_month"]
 
@@ -26,12 +26,12 @@ def _changes_per_exposure(changes: DataFrame) -> DataFrame:
     return changes.groupBy("exposure_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def scd_interval_join(changes: DataFrame, scd: DataFrame, **limits: int) -> DataFrame:
+def scd_interval_join(changes: DataFrame, scd: DataFrame, skew: Skew = Skew()) -> DataFrame:
     """Every change with each status that covers its date; NULL where none does."""
     ranges = _days(scd).select("exposure_id", "legal_status", "first_day", "last_day")
     return salted_left_join(
         changes, ranges, ["exposure_id"], _changes_per_exposure(changes),
-        spread=["claim_number", "date"], residual=_inside(), **limits,
+        spread=["claim_number", "date"], residual=_inside(), skew=skew,
     ).drop(LANE, "first_day", "last_day")
 
 
@@ -41,7 +41,7 @@ def last_changes(changes: DataFrame) -> DataFrame:
     return changes.groupBy("claim_number", "exposure_id", month).agg(F.max("date").alias("date"))
 
 
-def _flags_at_last_change(changes: DataFrame, scd: DataFrame, **limits: int) -> DataFrame:
+def _flags_at_last_change(changes: DataFrame, scd: DataFrame, skew: Skew = Skew()) -> DataFrame:
     # A status counts by its day range and flags only, so equal ranges collapse before
     # the join: what is left per exposure is bounded by the calendar, not by the data.
     ranges = (
@@ -54,7 +54,7 @@ def _flags_at_last_change(changes: DataFrame, scd: DataFrame, **limits: int) ->
     )
     return salted_left_join(
         last_changes(changes), ranges, ["exposure_id"], _changes_per_exposure(changes),
-        spread=["claim_number", "transaction_month"], residual=_inside(), **limits,
+        spread=["claim_number", "transaction_month"], residual=_inside(), skew=skew,
     )
 
 
@@ -65,24 +65,24 @@ def _strongest() -> list[Column]:
     ]
 
 
-def legal_month_end(changes: DataFrame, scd: DataFrame, **limits: int) -> DataFrame:
+def legal_month_end(changes: DataFrame, scd: DataFrame, skew: Skew = Skew()) -> DataFrame:
     """Status flags at the last change of each claim, exposure and month.
 
     Several statuses on that date count by the strongest one. A suit implies an
     attorney, so the strongest flags are the flags of the strongest status.
     """
     return (
-        _flags_at_last_change(changes, scd, **limits)
+        _flags_at_last_change(changes, scd, skew=skew)
         .groupBy("claim_number", "exposure_id", "transaction_month", "date")
         .agg(*_strongest())
     )
 
 
-def legal_flags_by_claim_month(changes: DataFrame, scd: DataFrame, **limits: int) -> DataFrame:
+def legal_flags_by_claim_month(changes: DataFrame, scd: DataFrame, skew: Skew = Skew()) -> DataFrame:
     """Flags of a claim in a month: set if they are on any of its exposures.
 
     A maximum over exposures of maxima over statuses, so one grouping does both.
     """
     return (
-        _flags_at_last_change(changes, scd, **limits).groupBy(*CLAIM_MONTH).agg(*_strongest())
+        _flags_at_last_change(changes, scd, skew=skew).groupBy(*CLAIM_MONTH).agg(*_strongest())
     )

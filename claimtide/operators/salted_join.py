@@ -2,36 +2,45 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key with more rows than this is spread over several lanes.
-ROWS_PER_LANE = 2_000_000
-# At most this many keys are treated as hot, which bounds the broadcast. A key beyond
-# them holds less than 1/4096 of the rows, a fair share of one task.
-MAX_HOT_KEYS = 4096
+LANE = "lane"
+
 # Rows without a key match nothing; they only have to be kept apart.
 NULL_LANES = 4096
 
-LANE = "lane"
 
+@dataclass(frozen=True)
+class Skew:
+    """When a key counts as hot."""
+
+    # A key with more rows than this is spread over several lanes.
+    rows_per_lane: int = 2_000_000
+    # At most this many keys are treated as hot, which bounds the broadcast. A key beyond
+    # them holds less than 1/4096 of the rows, a fair share of one task.
+    max_hot_keys: int = 4096
+    # Rows of the largest input, where the caller knows them. Inputs that fit one lane
+    # have no hot key, and are joined plainly.
+    most_rows: int | None = None
+
+    def possible(self) -> bool:
+        return self.most_rows is None or self.most_rows > self.rows_per_lane
 
-def hot_keys(
-    weights: DataFrame,
-    keys: list[str],
-    rows_per_lane: int = ROWS_PER_LANE,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """The heaviest keys and how many lanes each needs: never more than `max_hot_keys` rows.
+
+def hot_keys(weights: DataFrame, keys: list[str], skew: Skew) -> DataFrame:
+    """The heaviest keys and how many lanes each needs: at most `skew.max_hot_keys` rows.
 
     `weights` has one row per key with its number of rows in `n_rows`.
     """
+    lanes = F.ceil(F.col("n_rows") / F.lit(skew.rows_per_lane)).cast("int")
     return (
-        weights.filter(F.col("n_rows") > rows_per_lane)
+        weights.filter(F.col("n_rows") > skew.rows_per_lane)
         .orderBy(F.desc("n_rows"), *keys)
-        .limit(max_hot_keys)
-        .select(*keys, F.ceil(F.col("n_rows") / F.lit(rows_per_lane)).cast("int").alias("lanes"))
+        .limit(skew.max_hot_keys)
+        .select(*keys, lanes.alias("lanes"))
     )
 
 
@@ -42,8 +51,7 @@ def salted_left_join(
     weights: DataFrame,
     spread: list[str],
     residual: Column | None = None,
-    rows_per_lane: int = ROWS_PER_LANE,
-    max_hot_keys: int = MAX_HOT_KEYS,
+    skew: Skew = Skew(),
 ) -> DataFrame:
     """`rows LEFT JOIN lookup USING (keys) [AND residual]`, plus the column `lane`.
 
@@ -53,25 +61,39 @@ def salted_left_join(
     stays in the result: a later grouping whose keys contain `keys`, `spread` and
     `lane` groups exactly as without the lane, and reuses the join's partitioning.
     """
-    hot = F.broadcast(hot_keys(weights, keys, rows_per_lane, max_hot_keys))
+    if not skew.possible():
+        left = rows.withColumn(LANE, F.lit(0))
+        right = lookup.select(*_as_lookup_keys(keys), *_besides(lookup, keys))
+        on = keys
+    else:
+        hot = F.broadcast(hot_keys(weights, keys, skew))
+        left = _dealt(rows.join(hot, keys, "left"), keys, spread)
+        lanes = F.sequence(F.lit(0), F.coalesce(F.col("lanes"), F.lit(1)) - 1)
+        right = lookup.join(hot, keys, "left").select(
+            *_as_lookup_keys(keys), *_besides(lookup, keys),
+            F.explode(lanes).alias(f"lookup_{LANE}"),
+        )
+        on = [*keys, LANE]
+    matched = reduce(Column.__and__, [F.col(k) == F.col(f"lookup_{k}") for k in on])
+    joined = left.join(right, matched if residual is None else matched & residual, "left")
+    return joined.drop(*[f"lookup_{k}" for k in on])
+
+
+def _as_lookup_keys(keys: list[str]) -> list[Column]:
+    return [F.col(k).alias(f"lookup_{k}") for k in keys]
+
 
+def _besides(lookup: DataFrame, keys: list[str]) -> list[Column]:
+    return [F.col(c) for c in lookup.columns if c not in keys]
+
+
+def _dealt(rows: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """Gives each row its lane: its key's `lanes` decide among how many."""
     deal = F.xxhash64(*spread)
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    left = rows.join(hot, keys, "left").withColumn(
-        LANE,
+    lane = (
         F.when(no_key, F.pmod(deal, F.lit(NULL_LANES)))
         .when(F.col("lanes").isNotNull(), F.pmod(deal, F.col("lanes")))
         .otherwise(F.lit(0))
-        .cast("int"),
-    ).drop("lanes")
-
-    lanes = F.sequence(F.lit(0), F.coalesce(F.col("lanes"), F.lit(1)) - 1)
-    right = lookup.join(hot, keys, "left").select(
-        *[F.col(k).alias(f"lookup_{k}") for k in keys],
-        *[F.col(c) for c in lookup.columns if c not in keys],
-        F.explode(lanes).alias("lookup_lane"),
     )
-
-    on = reduce(Column.__and__, [F.col(k) == F.col(f"lookup_{k}") for k in [*keys, LANE]])
-    joined = left.join(right, on if residual is None else on & residual, "left")
-    return joined.drop(*[f"lookup_{k}" for k in [*keys, LANE]])
+    return rows.withColumn(LANE, lane.cast("int")).drop("lanes")

@@ -18,7 +18,7 @@ from claimtide import fixed_values as V
 from claimtide.functions import dimensions as D
 from claimtide.functions.money import from_cents, or_zero, to_cents
 from claimtide.operators.latest import last_per_key
-from claimtide.operators.salted_join import LANE, salted_left_join
+from claimtide.operators.salted_join import LANE, Skew, salted_left_join
 from claimtide.schema import CLAIM_MEASURES, COUNTS, DIMENSIONS, OUTPUT, capped
 
 # What a raw row is grouped by before anything is looked up.
@@ -106,8 +106,6 @@ def summed_rows(lrd: DataFrame) -> DataFrame:
     """Base sums in cents by every raw key, combined map-side before the shuffle."""
     keyed = claim_rows(lrd).withColumns({
         "channel": D.partner_spelling(F.col("channel")),
-        "accident_month": F.to_date("accident_month"),
-        "transaction_month": F.to_date("transaction_month"),
         "py": F.year("policy_start_date"),
         "ry": F.year("report_month"),
         "ry_age": D.repaired_report_age(F.col("ry_age"), F.col("ay_age")),
@@ -160,25 +158,25 @@ def rows_per_claim_month(by_cause: DataFrame) -> DataFrame:
     return by_cause.groupBy("claim_number", number).agg(F.sum("n_rows").alias("n_rows"))
 
 
-def with_agency(rows: DataFrame, agency: DataFrame, spread: list[str], **limits: int) -> DataFrame:
+def with_agency(rows: DataFrame, agency: DataFrame, spread: list[str], skew: Skew = Skew()) -> DataFrame:
     """Adds the policy's latest agency type and lets it decide the channel."""
     return salted_left_join(
         rows, agency.select("policy_reference", "agency_type"), ["policy_reference"],
-        weights=agency, spread=spread, **limits,
+        weights=agency, spread=spread, skew=skew,
     ).drop(LANE).withColumn("channel", D.channel_of(F.col("agency_type"), F.col("channel")))
 
 
 def claim_level_cents(
-    lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, **limits: int
+    lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew()
 ) -> DataFrame:
     """Claim-level amounts in cents; keeps the join's `month_number` and `lane`."""
-    rows = with_agency(summed_rows(lrd), agency, spread=_CARRIED, **limits)
+    rows = with_agency(summed_rows(lrd), agency, spread=_CARRIED, skew=skew)
     rows = rows.withColumn("month_number", _month_number(F.col("transaction_month")))
     key = ["claim_number", "month_number"]
     spread = [c for c in _RESULT_KEYS if c not in ("claim_number", "transaction_month")]
     rows = salted_left_join(
         rows, claim_context(by_cause, legal), key,
-        weights=rows_per_claim_month(by_cause), spread=[*spread, "agency_type"], **limits,
+        weights=rows_per_claim_month(by_cause), spread=[*spread, "agency_type"], skew=skew,
     )
     # A raw channel is finer than the final one, so the sums are added up once more.
     level = rows.groupBy(*_CARRIED, *_LOOKED_UP, "month_number", LANE).agg(
@@ -233,10 +231,10 @@ def with_result_labels(level: DataFrame) -> DataFrame:
 
 
 def claim_level(
-    lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, **limits: int
+    lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew()
 ) -> DataFrame:
     """One row per claim, month, coverage and the other 23 dimensions; 18 amounts."""
-    level = claim_level_cents(lrd, agency, by_cause, legal, **limits)
+    level = claim_level_cents(lrd, agency, by_cause, legal, skew=skew)
     return with_claim_labels(level).select(
         *CLAIM_LEVEL_DIMENSIONS, *[from_cents(F.col(m)).alias(m) for m in CLAIM_LEVEL_MEASURES]
     )
@@ -328,10 +326,10 @@ def derived_measures() -> dict[str, Column]:
 
 
 def claims_branch(
-    lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, **limits: int
+    lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew()
 ) -> DataFrame:
     """The claims half of the result, in output columns and types."""
-    level = with_result_labels(claim_level_cents(lrd, agency, by_cause, legal, **limits))
+    level = with_result_labels(claim_level_cents(lrd, agency, by_cause, legal, skew=skew))
     # 28 keys and 73 sums: past spark.sql.codegen.maxFields (100), which is as it should
     # be. One generated method for all of them ran four times slower than Spark's
     # per-expression projections, because the JVM hardly optimises methods that size.

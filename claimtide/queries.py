@@ -27,7 +27,10 @@ _REGISTRY: dict[str, Query] = {}
 
 def _over_inputs(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     """Registers a query over the three stored inputs under its function's name."""
-    _REGISTRY[build.__name__] = lambda spark, folder: build(inputs(spark, folder))
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return build(inputs(spark, folder))
+
+    _REGISTRY[build.__name__] = run
     return build
 
 
@@ -116,17 +119,17 @@ def filter_claim_rows(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def scd_interval_join(t: Inputs) -> DataFrame:
-    return G.scd_interval_join(t.fin_changes, t.legal_scd)
+    return G.scd_interval_join(t.fin_changes, t.legal_scd, t.skew)
 
 
 @_over_inputs
 def legal_month_end(t: Inputs) -> DataFrame:
-    return G.legal_month_end(t.fin_changes, t.legal_scd)
+    return G.legal_month_end(t.fin_changes, t.legal_scd, t.skew)
 
 
 @_over_inputs
 def legal_flags_by_claim_month(t: Inputs) -> DataFrame:
-    return G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd)
+    return G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew)
 
 
 @_over_inputs
@@ -134,7 +137,7 @@ def legal_status_flags(t: Inputs) -> DataFrame:
     """Flags of every status, and of changes without one."""
     status = F.col("legal_status")
     return (
-        G.scd_interval_join(t.fin_changes, t.legal_scd)
+        G.scd_interval_join(t.fin_changes, t.legal_scd, t.skew)
         .groupBy("legal_status")
         .agg(_n())
         .withColumns({
@@ -153,8 +156,9 @@ def join_legal_flags(t: Inputs) -> DataFrame:
     return (
         salted_left_join(
             rows.select(*G.CLAIM_MONTH, "lob", "policy_reference", "coverage"),
-            G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd),
+            G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew),
             G.CLAIM_MONTH, weights, spread=["policy_reference", "coverage"],
+            skew=t.skew,
         )
         .withColumns({f: F.coalesce(f, F.lit(0)) for f in flags})
         .groupBy("lob", "transaction_month", *flags)
@@ -175,7 +179,8 @@ def join_latest_agency(t: Inputs) -> DataFrame:
     rows = t.lrd.select("policy_reference", "lob", "channel", "coverage", "transaction_month")
     return (
         C.with_agency(
-            rows, L.latest_agency(t.lrd), spread=["coverage", "channel", "transaction_month"]
+            rows, L.latest_agency(t.lrd), spread=["coverage", "channel", "transaction_month"],
+            skew=t.skew,
         )
         .groupBy("lob", "agency_type")
         .agg(_n())
@@ -205,7 +210,7 @@ def join_dominant_cause(t: Inputs) -> DataFrame:
     return (
         salted_left_join(
             rows, L.dominant_cause(by_cause), ["claim_number"], weights,
-            spread=["policy_reference", "coverage", "transaction_month"],
+            spread=["policy_reference", "coverage", "transaction_month"], skew=t.skew,
         )
         .groupBy("lob", "loss_cause_type_name")
         .agg(_n())
@@ -232,7 +237,8 @@ def channel_normalised(t: Inputs) -> DataFrame:
     )
     return (
         C.with_agency(
-            rows, L.latest_agency(t.lrd), spread=["raw_channel", "coverage", "transaction_month"]
+            rows, L.latest_agency(t.lrd), spread=["raw_channel", "coverage", "transaction_month"],
+            skew=t.skew,
         )
         .groupBy("agency_type", "raw_channel", "channel")
         .agg(_n())
@@ -285,7 +291,7 @@ def development_axes_premium(t: Inputs) -> DataFrame:
 def _level_cents(t: Inputs) -> DataFrame:
     level = C.claim_level_cents(
         t.lrd, L.latest_agency(t.lrd), L.incurred_by_cause(t.lrd),
-        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd),
+        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew), t.skew,
     )
     return C.with_result_labels(level)
 
@@ -314,7 +320,7 @@ def _result_totals(t: Inputs, names: list[str]) -> DataFrame:
 def claim_level(t: Inputs) -> DataFrame:
     return C.claim_level(
         t.lrd, L.latest_agency(t.lrd), L.incurred_by_cause(t.lrd),
-        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd),
+        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew), t.skew,
     )
 
 
@@ -501,13 +507,13 @@ def scalar_conditional(t: Inputs) -> DataFrame:
 def claims_branch(t: Inputs) -> DataFrame:
     return C.claims_branch(
         t.lrd, L.latest_agency(t.lrd), L.incurred_by_cause(t.lrd),
-        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd),
+        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew), t.skew,
     )
 
 
 @_over_inputs
 def premium_branch(t: Inputs) -> DataFrame:
-    return P.premium_branch(t.lrd, L.latest_agency(t.lrd))
+    return P.premium_branch(t.lrd, L.latest_agency(t.lrd), t.skew)
 
 
 @_over_inputs

@@ -30,12 +30,14 @@ LRD = T.StructType(
     + _fields(MONEY_IN, FACT_MONEY)
 )
 
-# `date` keeps whatever the source has (date or timestamp): a time of day decides
-# whether a change on the last day of a status still falls inside it.
+# A change may carry a time of day, which decides whether a change on the last day of a
+# status still falls inside it.
+MAY_HOLD_TIME = "may_hold_time"
+
 FIN_CHANGES = T.StructType(
     _fields(T.StringType(), "claim_number")
     + _fields(T.LongType(), "exposure_id")
-    + _fields(T.DateType(), "date")
+    + [T.StructField("date", T.DateType(), metadata={MAY_HOLD_TIME: True})]
 )
 
 LEGAL_SCD = T.StructType(

@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimtide.operators.salted_join import Skew
 from claimtide.schema import FIN_CHANGES, LEGAL_SCD, LRD
 from claimtide.session import shared_folder
 from claimtide.sources import driver_tables
@@ -23,6 +24,7 @@ class Inputs(NamedTuple):
     lrd: DataFrame
     fin_changes: DataFrame
     legal_scd: DataFrame
+    skew: Skew
 
 
 _CONTRACTS = {"lrd": LRD, "fin_changes": FIN_CHANGES, "legal_scd": LEGAL_SCD}
@@ -51,6 +53,11 @@ def stage(spark: SparkSession, folder: str) -> str:
 
 def inputs(spark: SparkSession, folder: str) -> Inputs:
     target = stage(spark, folder)
-    return Inputs(*[
+    # Counting a stored table reads its file footers only.
+    most_rows = max(
+        spark.read.parquet(f"{target}/{name}").count() for name in ("lrd", "fin_changes")
+    )
+    tables = [
         from_parquet(spark, f"{target}/{name}", contract) for name, contract in _CONTRACTS.items()
-    ])
+    ]
+    return Inputs(*tables, Skew(most_rows=most_rows))

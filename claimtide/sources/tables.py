@@ -5,23 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from claimtide.plans.emergence import ordered
+from claimtide.schema import MAY_HOLD_TIME
 
-_DAY_OR_TIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
+_TIMED = (T.TimestampType, T.TimestampNTZType)
 
 
 def conform(rows: DataFrame, contract: T.StructType) -> DataFrame:
     """The contract's columns in its types; a missing column is an error.
 
-    A date column may also hold timestamps: a time of day stays what it is.
+    A time of day stays where the contract allows one. Columns that already fit pass as they are, without a
+    cast or an alias, so that two uses of one table still look alike to Spark and can
+    share a shuffle.
     """
     present = {f.name.lower(): f.dataType for f in rows.schema}
     missing = [f.name for f in contract if f.name not in present]
     if missing:
         raise ValueError(f"input lacks {', '.join(missing)}")
+
+    def fits(field: T.StructField) -> bool:
+        found = present[field.name]
+        timed = MAY_HOLD_TIME in field.metadata and isinstance(found, _TIMED)
+        return timed or found == field.dataType
+
     return rows.select(*[
-        F.col(f.name).alias(f.name)
-        if isinstance(f.dataType, T.DateType) and isinstance(present[f.name], _DAY_OR_TIME)
-        else F.col(f.name).cast(f.dataType).alias(f.name)
+        F.col(f.name) if fits(f) else F.col(f.name).cast(f.dataType).alias(f.name)
         for f in contract
     ])
 

@@ -1,0 +1,60 @@
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from builders import claims_branch, fact
+from claimtide.schema import FIN_CHANGES, LRD, OUTPUT
+from claimtide.session import shared_folder
+from claimtide.sources import staged
+from claimtide.sources.tables import (
+    conform, from_parquet, from_table, publish_parquet, publish_table,
+)
+from comparing import bag
+from conftest import SMALL
+
+
+def test_missing_column_is_an_error(spark):
+    with pytest.raises(ValueError, match="exposure_id"):
+        conform(spark.createDataFrame([("C1",)], "claim_number string"), FIN_CHANGES)
+
+
+def test_types_are_cast_but_a_time_of_day_stays(spark):
+    rows = spark.sql("SELECT 'C1' claim_number, 1 exposure_id, timestamp_ntz'2024-01-01 10:00' date")
+    kinds = [f.dataType for f in conform(rows, FIN_CHANGES).schema]
+    assert kinds == [T.StringType(), T.LongType(), T.TimestampNTZType()]
+
+
+def test_fact_months_become_dates(spark):
+    rows = fact(spark, {}).withColumn("transaction_month", F.expr("timestamp_ntz'2024-02-01'"))
+    assert conform(rows, LRD).schema["transaction_month"].dataType == T.DateType()
+
+
+def test_inputs_are_staged_once(spark):
+    assert staged.stage(spark, SMALL) == staged.stage(spark, SMALL)
+
+
+def test_expected_counts(spark, small):
+    """The mapping's known totals at this scale."""
+    row = small.lrd.agg(
+        F.count(F.lit(1)), F.count("claim_number"), F.countDistinct("claim_number"),
+        F.countDistinct("policy_reference"), F.count_if(F.col("ay_age") <= 0),
+        F.count_if(F.col("ry_age") < 0), F.count_if(F.col("lob") == "BOP"),
+    ).first()
+    assert tuple(row) == (6000, 3930, 780, 796, 85, 293, 790)
+
+
+def test_publish_parquet_replaces(spark):
+    path = shared_folder(spark, "test-published")
+    result = claims_branch(spark, fact(spark, {}))
+    for _ in range(2):
+        publish_parquet(result, path)
+    back = from_parquet(spark, path, OUTPUT)
+    assert bag(back) == bag(result)
+
+
+def test_publish_table_replaces(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS claims_test LOCATION '{tmp_path}'")
+    result = claims_branch(spark, fact(spark, {}))
+    for _ in range(2):
+        publish_table(result, "claims_test.monthly")
+    assert bag(from_table(spark, "claims_test.monthly", OUTPUT)) == bag(result)
+    spark.sql("DROP DATABASE claims_test CASCADE")
