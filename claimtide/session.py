@@ -26,13 +26,18 @@ def build_session(app: str = "claimtide", cores: int | None = None) -> SparkSess
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the shared one that the session names.
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder that the session names.
 
-    Only where the session names none (tests, a laptop) is a local one made.
+    Only where it names none (tests, a laptop) is a local one made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="claimtide-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder under the shared one."""
+    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"

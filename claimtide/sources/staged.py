@@ -8,14 +8,18 @@ rows it was reading, not the join behind them.
 
 from __future__ import annotations
 
+import hashlib
 import os
+from pathlib import Path
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from claimtide import schema
 from claimtide.operators.salted_join import Skew
 from claimtide.schema import FIN_CHANGES, LEGAL_SCD, LRD
-from claimtide.session import shared_folder
+from claimtide.session import shared_root
 from claimtide.sources import driver_tables
 from claimtide.sources.tables import from_parquet
 
@@ -28,27 +32,51 @@ class Inputs(NamedTuple):
 
 
 _CONTRACTS = {"lrd": LRD, "fin_changes": FIN_CHANGES, "legal_scd": LEGAL_SCD}
-_staged: dict[tuple, str] = {}
+_SOURCES = ["lineitem", "orders", "customer", "nation"]
 
 
-def _version(folder: str) -> float | None:
-    """Changes when the source files do, as far as they can be seen from here."""
-    files = ["lineitem", "orders", "customer", "nation"]
+def _files(path: Path) -> list[Path]:
+    return sorted(p for p in path.rglob("*") if p.is_file()) if path.is_dir() else [path]
+
+
+def _version(spark: SparkSession, folder: str) -> str:
+    """Changes with the source files, their place and the mapping itself.
+
+    Files that cannot be seen from here could change unnoticed, so a copy of them serves
+    one application only.
+    """
+    seen = [os.path.abspath(folder)]
     try:
-        return max(os.path.getmtime(f"{folder}/{name}.parquet") for name in files)
+        for name in _SOURCES:
+            for file in _files(Path(folder) / f"{name}.parquet"):
+                seen.append(f"{file} {file.stat().st_size} {file.stat().st_mtime_ns}")
     except OSError:
-        return None
+        seen = [folder, spark.sparkContext.applicationId]
+    for module in (driver_tables, schema):
+        seen.append(Path(module.__file__).read_text())
+    return hashlib.sha256("\n".join(seen).encode()).hexdigest()[:16]
 
 
 def stage(spark: SparkSession, folder: str) -> str:
-    """Writes the inputs once per session and source; returns where they are."""
-    key = (spark.sparkContext.applicationId, folder, _version(folder))
-    if key not in _staged:
-        target = shared_folder(spark, "inputs")
-        for name in _CONTRACTS:
-            getattr(driver_tables, name)(spark, folder).write.parquet(f"{target}/{name}")
-        _staged[key] = target
-    return _staged[key]
+    """Where the inputs of `folder` are stored; writes them first if they are not.
+
+    A one-row table names the finished copy. It is written last, so a copy that was cut
+    short is never read.
+    """
+    root, version = shared_root(spark), _version(spark, folder)
+    finished = f"{root}/inputs-{version}-finished"
+    try:
+        return spark.read.schema("target string").parquet(finished).first().target
+    except (AnalysisException, AttributeError):
+        pass
+    target = f"{root}/inputs-{version}-{spark.sparkContext.applicationId}"
+    for name in _CONTRACTS:
+        rows = getattr(driver_tables, name)(spark, folder)
+        rows.write.mode("overwrite").parquet(f"{target}/{name}")
+    spark.createDataFrame([(target,)], "target string").coalesce(1).write.mode("append").parquet(
+        finished
+    )
+    return target
 
 
 def inputs(spark: SparkSession, folder: str) -> Inputs:

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 from claimtide.operators.latest import incurred_by_cause, latest_agency
 from claimtide.operators.legal import legal_flags_by_claim_month
+from claimtide.operators.salted_join import Skew
 from claimtide.plans import claims
 from claimtide.schema import FACT_MONEY, FIN_CHANGES, LEGAL_SCD, LRD
 
@@ -40,6 +41,9 @@ def history(spark, *rows):
     return spark.createDataFrame(list(rows), LEGAL_SCD)
 
 
+# A handful of rows has no hot key; test_skew.py covers the salted joins.
+PLAIN = Skew(most_rows=0)
+
 FOREVER = datetime(9999, 12, 31)
 
 
@@ -47,7 +51,8 @@ def claim_level(spark, lrd, fin=None, scd=None):
     fin = fin if fin is not None else changes(spark)
     scd = scd if scd is not None else history(spark)
     return claims.claim_level(
-        lrd, latest_agency(lrd), incurred_by_cause(lrd), legal_flags_by_claim_month(fin, scd)
+        lrd, latest_agency(lrd), incurred_by_cause(lrd),
+        legal_flags_by_claim_month(fin, scd, PLAIN), PLAIN,
     )
 
 
@@ -55,5 +60,6 @@ def claims_branch(spark, lrd, fin=None, scd=None):
     fin = fin if fin is not None else changes(spark)
     scd = scd if scd is not None else history(spark)
     return claims.claims_branch(
-        lrd, latest_agency(lrd), incurred_by_cause(lrd), legal_flags_by_claim_month(fin, scd)
+        lrd, latest_agency(lrd), incurred_by_cause(lrd),
+        legal_flags_by_claim_month(fin, scd, PLAIN), PLAIN,
     )

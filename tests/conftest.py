@@ -14,6 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = build_session("claimtide-tests", cores=4)
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 

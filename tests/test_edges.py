@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from builders import FOREVER, changes, claim_level, claims_branch, fact, history
+from builders import FOREVER, PLAIN, changes, claim_level, claims_branch, fact, history
 from claimtide.functions import dimensions as D
 from claimtide.functions.money import from_cents, to_cents
 from claimtide.operators import latest, legal
@@ -66,13 +66,13 @@ def test_missing_month_comes_last(spark):
 
 def test_exposure_in_policy_years(spark):
     lrd = fact(spark, {"earned_premium": "10.50"}, {"earned_premium": None, "claim_number": None})
-    row = premium.premium_branch(lrd, latest.latest_agency(lrd)).collect()[0]
+    row = premium.premium_branch(lrd, latest.latest_agency(lrd), PLAIN).collect()[0]
     assert (row.earned_policy_years, row.earned_premium) == (45 / 365.0, dec("10.50"))
 
 
 def test_premium_rows_ignore_age_and_claim_but_not_line(spark):
     lrd = fact(spark, {"ay_age": 0}, {"claim_number": None, "coverage": "PD"}, {"lob": "BOP"})
-    rows = premium.premium_branch(lrd, latest.latest_agency(lrd)).collect()
+    rows = premium.premium_branch(lrd, latest.latest_agency(lrd), PLAIN).collect()
     assert sorted(r.coverage for r in rows) == ["BI", "PD"]
 
 
@@ -199,7 +199,7 @@ def test_row_without_a_month_still_finds_its_cause(spark):
 def test_row_without_a_policy_is_kept(spark):
     lrd = fact(spark, {"policy_reference": None, "earned_premium": 5})
     assert [r.agency_type for r in claim_level(spark, lrd).collect()] == [None]
-    row = premium.premium_branch(lrd, latest.latest_agency(lrd)).collect()[0]
+    row = premium.premium_branch(lrd, latest.latest_agency(lrd), PLAIN).collect()[0]
     assert (row.earned_premium, row.earned_policy_years) == (dec(5), 45 / 365.0)
 
 
@@ -217,20 +217,20 @@ def test_status_covers_whole_days_up_to_the_day_before_its_end(spark, when, stat
     fin = spark.createDataFrame(
         [("C1", 1, when)], "claim_number string, exposure_id bigint, date timestamp_ntz"
     )
-    assert [r.legal_status for r in legal.scd_interval_join(fin, scd).collect()] == [status]
+    assert [r.legal_status for r in legal.scd_interval_join(fin, scd, PLAIN).collect()] == [status]
 
 
 def test_status_without_an_end_never_matches(spark):
     scd = history(spark, (1, "in suit", datetime(2024, 2, 1), None))
     fin = changes(spark, ("C1", 1, date(2024, 3, 1)))
-    rows = legal.legal_flags_by_claim_month(fin, scd).collect()
+    rows = legal.legal_flags_by_claim_month(fin, scd, PLAIN).collect()
     assert [(r.in_suit_flag, r.attorney_rep_flag) for r in rows] == [(0, 0)]
 
 
 def test_any_exposure_sets_the_flags_of_a_claim(spark):
     scd = history(spark, (1, "in suit", datetime(2024, 1, 1), FOREVER))
     fin = changes(spark, ("C1", 1, date(2024, 3, 1)), ("C1", 2, date(2024, 3, 9)))
-    rows = legal.legal_flags_by_claim_month(fin, scd).collect()
+    rows = legal.legal_flags_by_claim_month(fin, scd, PLAIN).collect()
     assert [(r.in_suit_flag, r.attorney_rep_flag) for r in rows] == [(1, 1)]
 
 
@@ -241,7 +241,7 @@ def test_last_change_of_the_month_decides(spark):
         (1, "none", datetime(2024, 3, 10), FOREVER),
     )
     fin = changes(spark, ("C1", 1, date(2024, 3, 3)), ("C1", 1, date(2024, 3, 20)))
-    rows = legal.legal_flags_by_claim_month(fin, scd).collect()
+    rows = legal.legal_flags_by_claim_month(fin, scd, PLAIN).collect()
     assert [(r.in_suit_flag, r.attorney_rep_flag) for r in rows] == [(0, 0)]
 
 
@@ -252,9 +252,9 @@ def test_overlapping_statuses_count_by_the_strongest(spark):
         (1, "none", datetime(2024, 2, 1), FOREVER),
     )
     fin = changes(spark, ("C1", 1, date(2024, 3, 3)))
-    row = legal.legal_month_end(fin, scd).collect()[0]
+    row = legal.legal_month_end(fin, scd, PLAIN).collect()[0]
     assert (row.in_suit_flag, row.attorney_rep_flag) == (0, 1)
-    assert legal.scd_interval_join(fin, scd).count() == 2
+    assert legal.scd_interval_join(fin, scd, PLAIN).count() == 2
 
 
 def test_flags_hold_only_in_months_with_a_change(spark):
@@ -328,7 +328,7 @@ def test_bop(spark, bop, expected):
 def test_branch_fill(spark):
     lrd = fact(spark, {"earned_premium": 7})
     claim = claims_branch(spark, lrd).collect()[0]
-    prem = premium.premium_branch(lrd, latest.latest_agency(lrd)).collect()[0]
+    prem = premium.premium_branch(lrd, latest.latest_agency(lrd), PLAIN).collect()[0]
     assert all(claim[m] is None for m in PREMIUM_MEASURES)
     assert prem.claim_number == "" and prem.litigated == "N/A"
     assert all(prem[m] == 0 for m in CLAIM_MEASURES)
@@ -339,7 +339,7 @@ def test_both_branches_have_the_output_contract(spark):
     lrd = fact(spark, {})
     wanted = [(f.name, f.dataType) for f in OUTPUT]
     for branch in (
-        claims_branch(spark, lrd), premium.premium_branch(lrd, latest.latest_agency(lrd))
+        claims_branch(spark, lrd), premium.premium_branch(lrd, latest.latest_agency(lrd), PLAIN)
     ):
         assert [(f.name, f.dataType) for f in branch.schema] == wanted
     assert len(wanted) == 125
