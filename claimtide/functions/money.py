@@ -20,6 +20,10 @@ def to_cents(amount: Column) -> Column:
     return (amount.cast(MONEY_IN) * 100).cast("bigint")
 
 
+def from_cents_sql(cents: str) -> str:
+    return f"CAST(CAST({cents} AS DECIMAL(20,0)) * 0.01BD AS {MONEY_OUT.simpleString()})"
+
+
 def from_cents(cents: Column) -> Column:
     return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY_OUT)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -303,12 +304,12 @@ def _by_year_and_lob(t: Inputs, *totals: Column) -> DataFrame:
 def _result_totals(t: Inputs, names: list[str]) -> DataFrame:
     """Result measures by accident year and line, straight from the claim level."""
     derived = C.derived_measures()
-    labels = ["attorney_represented", "litigated"]
-    rolled = _level_cents(t).groupBy("ay", "lob", *labels).agg(
-        *[total.alias(name) for name, total in C.result_sums().items()]
-    )
-    measures = rolled.select(
-        "ay", "lob", *[derived.get(name, F.col(name)).alias(name) for name in names]
+    used = set(re.findall(r"\w+", " ".join(derived.get(name, name) for name in names)))
+    rolled = _level_cents(t).groupBy("ay", "lob", "attorney_represented", "litigated").agg(*[
+        F.expr(f"{total} AS {name}") for name, total in C.result_sums().items() if name in used
+    ])
+    measures = rolled.selectExpr(
+        "ay", "lob", *[f"{derived.get(name, name)} AS {name}" for name in names]
     )
     return measures.groupBy("ay", "lob").agg(*[
         F.sum(name).alias(name) if name in COUNTS else _cents_total(F.col(name), name)
@@ -366,7 +367,7 @@ def cross_join_caps(t: Inputs) -> DataFrame:
 @_over_inputs
 def cap_ladder(t: Inputs) -> DataFrame:
     return _by_year_and_lob(t, *[
-        _cents_total(C.limit(F.col(amount), cap), f"capped_{level}_{amount}")
+        _cents_total(F.expr(C.limit(amount, cap)), f"capped_{level}_{amount}")
         for amount in C.LIMITED for level, cap in V.CAPS.items()
     ])
 
@@ -379,7 +380,7 @@ def capped_case(t: Inputs) -> DataFrame:
     }
     return _by_year_and_lob(t, *[
         _cents_total(
-            or_zero(C.limit(F.col(reported), cap)) - or_zero(C.limit(F.col(paid), cap)),
+            or_zero(F.expr(C.limit(reported, cap))) - or_zero(F.expr(C.limit(paid, cap))),
             f"capped_{level}_{case}",
         )
         for case, (reported, paid) in pairs.items() for level, cap in V.CAPS.items()

@@ -32,6 +32,8 @@ class Inputs(NamedTuple):
 
 
 _CONTRACTS = {"lrd": LRD, "fin_changes": FIN_CHANGES, "legal_scd": LEGAL_SCD}
+# Finished copies this application has found or made, by the table that names them.
+_targets: dict[tuple[str, str], str] = {}
 _SOURCES = ["lineitem", "orders", "customer", "nation"]
 
 
@@ -65,11 +67,18 @@ def stage(spark: SparkSession, folder: str) -> str:
     """
     root, version = shared_root(spark), _version(spark, folder)
     finished = f"{root}/inputs-{version}-finished"
+    known = (spark.sparkContext.applicationId, finished)
+    if known not in _targets:
+        _targets[known] = _find_or_write(spark, folder, finished, f"{root}/inputs-{version}")
+    return _targets[known]
+
+
+def _find_or_write(spark: SparkSession, folder: str, finished: str, prefix: str) -> str:
     try:
         return spark.read.schema("target string").parquet(finished).first().target
     except (AnalysisException, AttributeError):
         pass
-    target = f"{root}/inputs-{version}-{spark.sparkContext.applicationId}"
+    target = f"{prefix}-{spark.sparkContext.applicationId}"
     for name in _CONTRACTS:
         rows = getattr(driver_tables, name)(spark, folder)
         rows.write.mode("overwrite").parquet(f"{target}/{name}")
@@ -79,13 +88,22 @@ def stage(spark: SparkSession, folder: str) -> str:
     return target
 
 
+# What this process already knows about finished copies: their largest table's rows.
+_most_rows: dict[str, int] = {}
+
+
+def _count_rows(spark: SparkSession, target: str) -> int:
+    """Rows of the largest of the tables that hot keys come from, from file footers."""
+    if target not in _most_rows:
+        _most_rows[target] = max(
+            spark.read.parquet(f"{target}/{name}").count() for name in ("lrd", "fin_changes")
+        )
+    return _most_rows[target]
+
+
 def inputs(spark: SparkSession, folder: str) -> Inputs:
     target = stage(spark, folder)
-    # Counting a stored table reads its file footers only.
-    most_rows = max(
-        spark.read.parquet(f"{target}/{name}").count() for name in ("lrd", "fin_changes")
-    )
     tables = [
         from_parquet(spark, f"{target}/{name}", contract) for name, contract in _CONTRACTS.items()
     ]
-    return Inputs(*tables, Skew(most_rows=most_rows))
+    return Inputs(*tables, Skew(most_rows=_count_rows(spark, target)))
