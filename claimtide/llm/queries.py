@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import packing, personal_data, secret_scan, token_codes
+from claimtide.llm import html_text, packing, personal_data, secret_scan, token_codes, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def _joined(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, folder, "pages"))
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.find_secrets(_table(spark, folder, "documents"))
     base = F.filter("spans", secret_scan.is_base)
@@ -53,10 +57,17 @@ def op6_token_codes(spark: SparkSession, folder: str) -> DataFrame:
     return token_codes.read_codes(spark, path)
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.score_texts(docs, toxicity.learn(docs, _table(spark, folder, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op2_secret_scan, op3_personal_data, op4_curve_packing, op6_token_codes)
+        for f in (
+            op1_html_text, op2_secret_scan, op3_personal_data, op4_curve_packing, op6_token_codes, op8_toxicity,
+        )
     }
 
 
