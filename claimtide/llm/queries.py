@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm import html_text, packing, personal_data, secret_scan, token_codes, toxicity
+from claimtide.llm import (
+    decontamination, html_text, packing, personal_data, quality_lm, secret_scan, token_codes, toxicity,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,11 +64,20 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_texts(docs, toxicity.learn(docs, _table(spark, folder, "labels")))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op10_quality_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_lm.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_html_text, op2_secret_scan, op3_personal_data, op4_curve_packing, op6_token_codes, op8_toxicity,
+            op9_decontamination, op10_quality_lm,
         )
     }
 
