@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimtide.llm import (
-    decontamination, html_text, packing, personal_data, quality_lm, secret_scan, token_codes, toxicity,
+    decontamination, html_text, neighbours, packing, personal_data, quality_lm, secret_scan, token_codes, toxicity,
 )
 
 
@@ -53,6 +53,10 @@ def op4_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"), every=50, count=5)
+
+
 def op6_token_codes(spark: SparkSession, folder: str) -> DataFrame:
     path = token_codes.codes_folder(spark)
     token_codes.write_codes(_table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -76,7 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            op1_html_text, op2_secret_scan, op3_personal_data, op4_curve_packing, op6_token_codes, op8_toxicity,
+            op1_html_text, op2_secret_scan, op3_personal_data, op4_curve_packing, op5_neighbours, op6_token_codes, op8_toxicity,
             op9_decontamination, op10_quality_lm,
         )
     }
