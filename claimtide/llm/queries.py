@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimtide.llm import (
-    decontamination, html_text, neighbours, packing, personal_data, quality_lm, secret_scan, token_codes, toxicity,
+    decontamination, html_text, jaccard_join, neighbours, packing, personal_data, quality_lm, secret_scan, token_codes, toxicity,
 )
 
 
@@ -63,6 +63,10 @@ def op6_token_codes(spark: SparkSession, folder: str) -> DataFrame:
     return token_codes.read_codes(spark, path)
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join_documents(_table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return toxicity.score_texts(docs, toxicity.learn(docs, _table(spark, folder, "labels")))
@@ -80,7 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            op1_html_text, op2_secret_scan, op3_personal_data, op4_curve_packing, op5_neighbours, op6_token_codes, op8_toxicity,
+            op1_html_text, op2_secret_scan, op3_personal_data, op4_curve_packing, op5_neighbours, op6_token_codes, op7_jaccard_join, op8_toxicity,
             op9_decontamination, op10_quality_lm,
         )
     }
