@@ -1,31 +1,41 @@
-"""Money as whole cents.
-
-Amounts come in as decimal(18,2) and leave as decimal(38,2). In between they are
-64-bit integers: a decimal wider than 18 digits is a heap object in every
-addition and 24 bytes in every shuffled row, where a long is 8 bytes and stays in
-a register. Sums are exact up to 9.2e16 currency units per group, and ANSI mode
-turns anything beyond into an error, never a wrong number.
+"""Money as whole units of a ten-thousandth.
+
+Amounts come in as decimals with at most four places and leave as decimal(38,4). In between
+they are 64-bit integers: a decimal wider than 18 digits is a heap object in every
+addition and 24 bytes in every shuffled row, where a long is 8 bytes and stays in a
+register. Nothing is rounded, row by row or after. Sums are exact up to 9.2e14 currency
+units per group; anything beyond is an error in ANSI mode, which `require_exact_sums`
+asks for, as without it Spark would wrap around silently.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
+
+from claimtide.schema import MONEY_IN, MONEY_OUT, PLACES
+
+UNIT = 10**PLACES
+_ONE = Decimal(1).scaleb(-PLACES)
+
 
-from claimtide.schema import MONEY_IN, MONEY_OUT
+def require_exact_sums(spark: SparkSession) -> None:
+    """Raises, when a plan is built, in a session where an overflow would go unseen."""
+    if spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true":
+        raise ValueError("money is summed in 64 bits: set spark.sql.ansi.enabled to true, or sums could overflow unseen")
 
 
-def to_cents(amount: Column) -> Column:
-    return (amount.cast(MONEY_IN) * 100).cast("bigint")
+def to_units(amount: Column) -> Column:
+    return (amount.cast(MONEY_IN) * UNIT).cast("bigint")
 
 
-def from_cents_sql(cents: str) -> str:
-    return f"CAST(CAST({cents} AS DECIMAL(20,0)) * 0.01BD AS {MONEY_OUT.simpleString()})"
+def from_units_sql(units: str) -> str:
+    return f"CAST(CAST({units} AS DECIMAL(20,0)) * {_ONE:f}BD AS {MONEY_OUT.simpleString()})"
 
 
-def from_cents(cents: Column) -> Column:
-    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY_OUT)
+def from_units(units: Column) -> Column:
+    return (units.cast("decimal(20,0)") * F.lit(_ONE)).cast(MONEY_OUT)
 
 
 def or_zero(amount: Column) -> Column:

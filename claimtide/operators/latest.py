@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtide.functions.money import to_cents
+from claimtide.functions.money import to_units
 
 
 def last_per_key(
@@ -30,27 +30,29 @@ def last_per_key(
 
 
 def latest_agency(lrd: DataFrame) -> DataFrame:
-    """Latest agency type of each policy over the whole fact, with the policy's row count."""
+    """Latest agency type of each policy over the whole fact, with the policy's row count.
+
+    Rows without a policy are one group of their own. The fact is counted by its distinct
+    months and agencies first, where strings are only keys and hash; what is ranked after
+    that is a few rows per policy.
+    """
+    distinct = lrd.groupBy("policy_reference", "transaction_month", "agency_type").agg(
+        F.count(F.lit(1)).alias("n")
+    )
     return last_per_key(
-        lrd.filter(F.col("policy_reference").isNotNull()),
+        distinct,
         keys=["policy_reference"],
         order=["transaction_month", "agency_type"],
-        extra=[F.count(F.lit(1)).alias("n_rows")],
+        extra=[F.sum("n").alias("n_rows")],
     ).select("policy_reference", "agency_type", "n_rows")
 
 
 def incurred_by_cause(lrd: DataFrame) -> DataFrame:
-    """Incurred cents by claim, cause and month over the whole fact.
-
-    Rows without a claim can never be looked up, so the largest NULL group stays out.
-    """
-    return (
-        lrd.filter(F.col("claim_number").isNotNull())
-        .groupBy("claim_number", "loss_cause_type_name", "transaction_month")
-        .agg(
-            F.sum(to_cents(F.col("incurred_loss_and_alae_ss"))).alias("total_incurred"),
-            F.count(F.lit(1)).alias("n_rows"),
-        )
+    """Incurred amounts by claim, cause and month over the whole fact; rows without a claim
+    are groups like others, which no join finds."""
+    return lrd.groupBy("claim_number", "loss_cause_type_name", "transaction_month").agg(
+        F.sum(to_units(F.col("incurred_loss_and_alae_ss"))).alias("total_incurred"),
+        F.count(F.lit(1)).alias("n_rows"),
     )
 
 

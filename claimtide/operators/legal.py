@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimtide.functions.dimensions import attorney_flag, in_suit_flag
-from claimtide.operators.salted_join import LANE, Skew, salted_left_join
+from claimtide.operators.salted_join import Skew, salted_left_join
 
 CLAIM_MONTH = ["claim_number", "transaction_month"]
 
@@ -22,17 +22,28 @@ def _days(scd: DataFrame) -> DataFrame:
     })
 
 
-def _changes_per_exposure(changes: DataFrame) -> DataFrame:
-    return changes.groupBy("exposure_id").agg(F.count(F.lit(1)).alias("n_rows"))
+def _rows_per_exposure(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("exposure_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def scd_interval_join(changes: DataFrame, scd: DataFrame, skew: Skew = Skew()) -> DataFrame:
-    """Every change with each status that covers its date; NULL where none does."""
+    """Every change with each status that covers its date; NULL where none does.
+
+    Equal changes are joined once, with their number, and repeated after: they can't be told
+    apart, so no spreading would part them.
+    """
     ranges = _days(scd).select("exposure_id", "legal_status", "first_day", "last_day")
-    return salted_left_join(
-        changes, ranges, ["exposure_id"], _changes_per_exposure(changes),
+    distinct = changes.groupBy("claim_number", "exposure_id", "date").agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+    joined = salted_left_join(
+        distinct, ranges, ["exposure_id"], _rows_per_exposure(distinct),
         spread=["claim_number", "date"], residual=_inside(), skew=skew,
-    ).drop(LANE, "first_day", "last_day")
+    )
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return joined.withColumn("copy", copies).select(
+        "claim_number", "exposure_id", "date", "legal_status"
+    )
 
 
 def last_changes(changes: DataFrame) -> DataFrame:
@@ -52,8 +63,9 @@ def _flags_at_last_change(changes: DataFrame, scd: DataFrame, skew: Skew = Skew(
             F.max(attorney_flag(F.col("legal_status"))).alias("attorney_rep_flag"),
         )
     )
+    last = last_changes(changes)
     return salted_left_join(
-        last_changes(changes), ranges, ["exposure_id"], _changes_per_exposure(changes),
+        last, ranges, ["exposure_id"], _rows_per_exposure(last),
         spread=["claim_number", "transaction_month"], residual=_inside(), skew=skew,
     )
 

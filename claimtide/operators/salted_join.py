@@ -17,31 +17,25 @@ NULL_LANES = 4096
 class Skew:
     """When a key counts as hot."""
 
-    # A key with more rows than this is spread over several lanes.
+    # Rows that one task of a join should read at most: a key with more of them is spread
+    # over as many lanes as it takes. Choose about the joined rows over the number of
+    # shuffle partitions.
     rows_per_lane: int = 2_000_000
-    # At most this many keys are treated as hot, which bounds the broadcast. A key beyond
-    # them holds less than 1/4096 of the rows, a fair share of one task.
-    max_hot_keys: int = 4096
-    # Rows of the largest input, where the caller knows them. Inputs that fit one lane
-    # have no hot key, and are joined plainly.
-    most_rows: int | None = None
-
-    def possible(self) -> bool:
-        return self.most_rows is None or self.most_rows > self.rows_per_lane
+    # A key is hot only if it holds more than this share of all rows, so no more keys than
+    # its inverse can be, whatever the data. A smaller key fits a task of as many partitions.
+    least_share: float = 1 / 4096
 
 
 def hot_keys(weights: DataFrame, keys: list[str], skew: Skew) -> DataFrame:
-    """The heaviest keys and how many lanes each needs: at most `skew.max_hot_keys` rows.
+    """The keys to spread and how many lanes each needs: at most 1 / `skew.least_share` rows.
 
     `weights` has one row per key with its number of rows in `n_rows`.
     """
+    share = weights.agg((F.sum("n_rows") * skew.least_share).alias("least")).scalar()
     lanes = F.ceil(F.col("n_rows") / F.lit(skew.rows_per_lane)).cast("int")
-    return (
-        weights.filter(F.col("n_rows") > skew.rows_per_lane)
-        .orderBy(F.desc("n_rows"), *keys)
-        .limit(skew.max_hot_keys)
-        .select(*keys, lanes.alias("lanes"))
-    )
+    return weights.filter(
+        (F.col("n_rows") > skew.rows_per_lane) & (F.col("n_rows") > share)
+    ).select(*keys, lanes.alias("lanes"))
 
 
 def salted_left_join(
@@ -61,19 +55,14 @@ def salted_left_join(
     stays in the result: a later grouping whose keys contain `keys`, `spread` and
     `lane` groups exactly as without the lane, and reuses the join's partitioning.
     """
-    if not skew.possible():
-        left = rows.withColumn(LANE, F.lit(0))
-        right = lookup.select(*_as_lookup_keys(keys), *_besides(lookup, keys))
-        on = keys
-    else:
-        hot = F.broadcast(hot_keys(weights, keys, skew))
-        left = _dealt(rows.join(hot, keys, "left"), keys, spread)
-        lanes = F.sequence(F.lit(0), F.coalesce(F.col("lanes"), F.lit(1)) - 1)
-        right = lookup.join(hot, keys, "left").select(
-            *_as_lookup_keys(keys), *_besides(lookup, keys),
-            F.explode(lanes).alias(f"lookup_{LANE}"),
-        )
-        on = [*keys, LANE]
+    hot = F.broadcast(hot_keys(weights, keys, skew))
+    left = _dealt(rows.join(hot, keys, "left"), keys, spread)
+    lanes = F.sequence(F.lit(0), F.coalesce(F.col("lanes"), F.lit(1)) - 1)
+    right = lookup.join(hot, keys, "left").select(
+        *_as_lookup_keys(keys), *_besides(lookup, keys),
+        F.explode(lanes).alias(f"lookup_{LANE}"),
+    )
+    on = [*keys, LANE]
     matched = reduce(Column.__and__, [F.col(k) == F.col(f"lookup_{k}") for k in on])
     joined = left.join(right, matched if residual is None else matched & residual, "left")
     return joined.drop(*[f"lookup_{k}" for k in on])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from claimtide.fixed_values import CAPS
 from claimtide.oracle import relations as R
 
 _DIMENSIONS = (
@@ -14,7 +13,7 @@ _DIMENSIONS = (
 
 
 def _money(sql: str) -> str:
-    return f"CAST({sql} AS DECIMAL(38,2))"
+    return f"CAST({sql} AS DECIMAL(38,4))"
 
 
 def _count(sql: str) -> str:
@@ -35,7 +34,7 @@ _WITH_PAY = f"{_CLOSED} AND paid_loss > 0"
 _NO_PAY = f"{_CLOSED} AND paid_loss = 0"
 
 
-def _result_measures() -> dict[str, str]:
+def _result_measures(caps: dict[str, int] = R.CAPS) -> dict[str, str]:
     """The 97 claim measures over claim-level rows."""
     measures = {
         "open_cc": _rows_where(_OPEN),
@@ -60,7 +59,7 @@ def _result_measures() -> dict[str, str]:
         measures[plain] = _money(f"sum({plain})")
     for amount in ("reported_loss_ss", "reported_lossandalae_ss"):
         measures[f"nonzero_{amount}"] = _sum_where(amount, "reported_loss > 0")
-    for level, cap in CAPS.items():
+    for level, cap in caps.items():
         measures[f"ll_{level}_cc"] = _rows_where(f"reported_lossandalae_ss > {cap}")
 
     reported, paid = "reported_lossandalae_ss", "paid_lossandalae_ss"
@@ -78,7 +77,7 @@ def _result_measures() -> dict[str, str]:
         whole = plus if minus is None else f"{plus} - {minus}"
         spelled = "reported_lossalaessss_on_open" if plus == reported and minus is None else name
         measures[spelled] = _sum_where(whole, condition)
-        for level, cap in CAPS.items():
+        for level, cap in caps.items():
             at_most = f"least({plus}, {cap})"
             if minus is not None:
                 at_most += f" - least({minus}, {cap})"
@@ -86,6 +85,9 @@ def _result_measures() -> dict[str, str]:
     return measures
 
 
+# A second set of limits, of the query `cross_join_caps` alone.
+_OTHER_CAPS = {"low": 12_345, "mid": 60_000, "high": 2_500_000}
+
 _MEASURES = _result_measures()
 _COUNTS = [m for m in _MEASURES if m.endswith(("_cc", "_count"))]
 
@@ -96,7 +98,7 @@ def _named(columns: dict[str, str]) -> str:
 
 def _claims() -> str:
     empty = {
-        "earned_premium": "CAST(NULL AS DECIMAL(38,2))",
+        "earned_premium": "CAST(NULL AS DECIMAL(38,4))",
         "earned_policy_years": "CAST(NULL AS DOUBLE)",
     }
     return f"""SELECT {", ".join(_DIMENSIONS)}, {_named({**empty, **_MEASURES})}
@@ -153,7 +155,7 @@ _N_SQL = _named(_N)
 def _capped_case(reported: str, paid: str, name: str) -> dict[str, str]:
     return {
         f"capped_{level}_{name}": _money(f"sum(least({reported}, {cap}) - least({paid}, {cap}))")
-        for level, cap in CAPS.items()
+        for level, cap in R.CAPS.items()
     }
 
 
@@ -173,10 +175,10 @@ def _bodies() -> dict[str, str]:
         "scan_lrd": "SELECT * FROM lrd",
         "scan_fin_changes": "SELECT * FROM fin",
         "scan_legal_scd": """SELECT exposure_id, legal_status,
-            CAST(start_datetime AS DATE) AS start_day, CAST(end_datetime AS DATE) AS end_day
-            FROM scd""",
+            strftime(start_datetime, '%Y-%m-%d %H:%M:%S') AS start_datetime,
+            strftime(end_datetime, '%Y-%m-%d %H:%M:%S') AS end_datetime FROM scd""",
         "cap_inputs": "SELECT lob, " + _N_SQL + ", " + ", ".join(
-            f"CAST({cap} AS DOUBLE) AS cap_{level}" for level, cap in CAPS.items()
+            f"CAST({cap} AS DOUBLE) AS cap_{level}" for level, cap in R.CAPS.items()
         ) + f" FROM {reported_lobs} GROUP BY lob",
         "publish_roundtrip": result,
         "filter_lob": f"""SELECT lob, coverage, {_N_SQL},
@@ -230,16 +232,17 @@ def _bodies() -> dict[str, str]:
         "gross_loss_measures": _level_sums(
             "paid_loss reported_loss paid_dcce paid_aoe reported_dcce reported_aoe "
             "reported_indemnity_loss reported_medical_loss total_ss total_incurred_xss"),
-        "cross_join_caps": _per_year_and_lob({**_N, **{
-            f"room_{level}": _money(f"sum({cap} - reported_lossandalae_ss)")
-            for level, cap in CAPS.items()}}),
+        "cross_join_caps": _per_year_and_lob({
+            name: sql for name, sql in _result_measures(_OTHER_CAPS).items()
+            if name.startswith("ll_") or name.startswith(
+                ("paid_lossalaess_on_closed_capped", "case_lossalae_on_open_capped"))}),
         "cap_ladder": _per_year_and_lob({
             f"capped_{level}_{amount}": _money(f"sum(least({amount}, {cap}))")
-            for amount in limited for level, cap in CAPS.items()}),
+            for amount in limited for level, cap in R.CAPS.items()}),
         "capped_case": _per_year_and_lob({
             **_capped_case(limited[0], limited[1], "case_lossandalae"),
             **_capped_case(limited[2], limited[3], "case_loss")}),
-        "large_loss_counts": _measures([f"ll_{level}_cc" for level in CAPS]),
+        "large_loss_counts": _measures([f"ll_{level}_cc" for level in R.CAPS]),
         "open_closed_status": _measures(
             ["open_cc", "closed_cc", "cwp_cc", "cnp_cc", "closed_expenseonly_cc",
              "closed_nolossorexpense_cc"]),

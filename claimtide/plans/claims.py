@@ -17,11 +17,13 @@ from pyspark.sql.types import StructField
 
 from claimtide import fixed_values as V
 from claimtide.functions import dimensions as D
-from claimtide.functions.money import from_cents, from_cents_sql, or_zero, to_cents
+from claimtide.functions.money import (
+    UNIT, from_units, from_units_sql, or_zero, require_exact_sums, to_units,
+)
 from claimtide.operators.latest import last_per_key
 from claimtide.operators.salted_join import LANE, Skew, salted_left_join
 from claimtide.schema import (
-    CLAIM_MEASURES, COUNTS, DIMENSIONS, OUTPUT, PREMIUM_MEASURES, capped,
+    DIMENSIONS, GIVEN_DIMENSIONS, PREMIUM_MEASURES, capped, claim_measures, counts, output,
 )
 
 # What a raw row is grouped by before anything is looked up.
@@ -106,7 +108,7 @@ def claim_rows(lrd: DataFrame) -> DataFrame:
 
 
 def summed_rows(lrd: DataFrame) -> DataFrame:
-    """Base sums in cents by every raw key, combined map-side before the shuffle."""
+    """Base sums in units by every raw key, combined map-side before the shuffle."""
     keyed = claim_rows(lrd).withColumns({
         "channel": D.partner_spelling(F.col("channel")),
         "py": F.year("policy_start_date"),
@@ -115,16 +117,18 @@ def summed_rows(lrd: DataFrame) -> DataFrame:
         "is_bop": F.coalesce(F.col("is_bop_policy") == 1, F.lit(False)),
     })
 
-    def cents(column: str) -> Column:
-        return to_cents(F.col(column))
+    require_exact_sums(lrd.sparkSession)
+
+    def units(column: str) -> Column:
+        return to_units(F.col(column))
 
     sums = []
     for name, parts in _BASE_SUMS.items():
-        amount = cents(parts[0])
+        amount = units(parts[0])
         for part in parts[1:]:
-            amount = amount + cents(part)
+            amount = amount + units(part)
         sums.append(F.sum(amount).alias(name))
-    recoveries = or_zero(cents("paid_salvage")) + or_zero(cents("paid_subro"))
+    recoveries = or_zero(units("paid_salvage")) + or_zero(units("paid_subro"))
     return keyed.groupBy(*_CARRIED).agg(*sums, F.sum(recoveries).alias("total_ss"))
 
 
@@ -169,10 +173,10 @@ def with_agency(rows: DataFrame, agency: DataFrame, spread: list[str], skew: Ske
     ).drop(LANE).withColumn("channel", D.channel_of(F.col("agency_type"), F.col("channel")))
 
 
-def claim_level_cents(
+def claim_level_units(
     lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew()
 ) -> DataFrame:
-    """Claim-level amounts in cents; keeps the join's `month_number` and `lane`."""
+    """Claim-level amounts in units; keeps the join's `month_number` and `lane`."""
     rows = with_agency(summed_rows(lrd), agency, spread=_CARRIED, skew=skew)
     rows = rows.withColumn("month_number", _month_number(F.col("transaction_month")))
     key = ["claim_number", "month_number"]
@@ -237,9 +241,9 @@ def claim_level(
     lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew()
 ) -> DataFrame:
     """One row per claim, month, coverage and the other 23 dimensions; 18 amounts."""
-    level = claim_level_cents(lrd, agency, by_cause, legal, skew=skew)
+    level = claim_level_units(lrd, agency, by_cause, legal, skew=skew)
     return with_claim_labels(level).select(
-        *CLAIM_LEVEL_DIMENSIONS, *[from_cents(F.col(m)).alias(m) for m in CLAIM_LEVEL_MEASURES]
+        *CLAIM_LEVEL_DIMENSIONS, *[from_units(F.col(m)).alias(m) for m in CLAIM_LEVEL_MEASURES]
     )
 
 
@@ -248,8 +252,8 @@ def claim_level(
 
 
 def limit(amount: str, cap: int) -> str:
-    """The amount in cents, at most `cap`; NULL stays NULL (`least` would return the cap)."""
-    return f"CASE WHEN {amount} > {cap * 100}L THEN {cap * 100}L ELSE {amount} END"
+    """The amount in units, at most `cap`; NULL stays NULL (`least` would return the cap)."""
+    return f"CASE WHEN {amount} > {cap * UNIT}L THEN {cap * UNIT}L ELSE {amount} END"
 
 
 # Statuses of a claim-level row. A NULL or negative paid loss is neither closed with pay nor
@@ -289,7 +293,7 @@ def result_sums(caps: dict[str, int] = V.CAPS) -> dict[str, str]:
     for name in ("reported_loss_ss", "reported_lossandalae_ss"):
         sums[f"nonzero_{name}"] = total(STATUSES["nonzero_reported"], name)
     for level, cap in caps.items():
-        sums[f"ll_{level}_cc"] = count(f"reported_lossandalae_ss > {cap * 100}L")
+        sums[f"ll_{level}_cc"] = count(f"reported_lossandalae_ss > {cap * UNIT}L")
     for name, (amount, state) in _SPLITS.items():
         sums[_UNLIMITED_NAME.get(name, name)] = total(STATUSES[state], amount)
         for level, cap in caps.items():
@@ -297,7 +301,7 @@ def result_sums(caps: dict[str, int] = V.CAPS) -> dict[str, str]:
     return sums
 
 
-def derived_measures() -> dict[str, str]:
+def derived_measures(caps: dict[str, int] = V.CAPS) -> dict[str, str]:
     """Measures that are differences of sums, or sums a group's labels decide."""
     def where_yes(label: str, count: str) -> str:
         return f"CASE WHEN {label} = 'Yes' THEN {count} ELSE 0 END"
@@ -315,29 +319,35 @@ def derived_measures() -> dict[str, str]:
     }
     for name, (reported, paid) in _CASE_ON_OPEN.items():
         derived[name] = f"{_UNLIMITED_NAME.get(reported, reported)} - {paid}"
-        for case, r, p in zip(capped(name), capped(reported), capped(paid)):
+        for case, r, p in zip(
+            capped(name, caps), capped(reported, caps), capped(paid, caps)
+        ):
             derived[case] = f"{r} - {p}"
     return derived
 
 
 def claims_branch(
-    lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew()
+    lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew(),
+    caps: dict[str, int] = V.CAPS,
 ) -> DataFrame:
-    """The claims half of the result, in output columns and types."""
-    level = with_result_labels(claim_level_cents(lrd, agency, by_cause, legal, skew=skew))
+    """The claims half of the result, in output columns and types, limited at `caps`."""
+    level = with_result_labels(claim_level_units(lrd, agency, by_cause, legal, skew=skew))
     # 28 keys and 73 sums: past spark.sql.codegen.maxFields (100), which is as it should
     # be. One generated method for all of them ran four times slower than Spark's
     # per-expression projections, because the JVM hardly optimises methods that size.
     rolled = level.groupBy(*DIMENSIONS, "month_number", LANE).agg(
-        *[F.expr(f"{total} AS {name}") for name, total in result_sums().items()]
+        *[F.expr(f"{total} AS {name}") for name, total in result_sums(caps).items()]
     )
     # Premium has no meaning on a claim row.
-    values = {**derived_measures(), **dict.fromkeys(PREMIUM_MEASURES, "NULL")}
+    values = {**derived_measures(caps), **dict.fromkeys(PREMIUM_MEASURES, "NULL")}
+    money = set(claim_measures(caps)) - counts(caps)
 
-    def output(field: StructField) -> str:
+    def column(field: StructField) -> str:
         value = values.get(field.name, field.name)
-        if field.name in CLAIM_MEASURES and field.name not in COUNTS:
-            value = from_cents_sql(value)
+        if field.name in GIVEN_DIMENSIONS:
+            return value
+        if field.name in money:
+            value = from_units_sql(value)
         return f"CAST({value} AS {field.dataType.simpleString()}) AS {field.name}"
 
-    return rolled.selectExpr(*[output(field) for field in OUTPUT])
+    return rolled.selectExpr(*[column(field) for field in output(caps)])

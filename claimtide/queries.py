@@ -11,17 +11,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from claimtide import fixed_values as V
 from claimtide.functions import dimensions as D
 from claimtide.functions.exposure import policy_years
-from claimtide.functions.money import from_cents, or_zero, to_cents
+from claimtide.functions.money import from_units, or_zero, to_units
 from claimtide.operators import earned_exposure as E, latest as L, legal as G
 from claimtide.operators.salted_join import salted_left_join
 from claimtide.plans import claims as C, premium as P
 from claimtide.plans.emergence import emergence, ordered, rolled_up
-from claimtide.schema import CLAIM_MEASURES, COUNTS, MONEY_OUT, PREMIUM_MEASURES, capped
-from claimtide.session import shared_folder
+from claimtide.schema import (
+    CLAIM_MEASURES, COUNTS, MONEY_OUT, PREMIUM_MEASURES, capped,
+)
+from claimtide.session import shared_root
 from claimtide.sources import driver_tables
 from claimtide.sources.staged import Inputs, inputs
 from claimtide.sources.tables import publish_parquet
 
+# A second set of limits, which the result takes as well as the default ones.
+OTHER_CAPS = {"low": 12_345, "mid": 60_000, "high": 2_500_000}
+
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
@@ -49,12 +54,17 @@ def _n() -> Column:
     return F.count(F.lit(1)).alias("n_rows")
 
 
+def _added() -> Column:
+    """Rows counted before a join, added up after it."""
+    return F.sum("n_rows").alias("n_rows")
+
+
 def _money(expr: Column, name: str) -> Column:
     return expr.cast(MONEY_OUT).alias(name)
 
 
-def _cents_total(cents: Column, name: str) -> Column:
-    return from_cents(F.sum(cents)).alias(name)
+def _units_total(units: Column, name: str) -> Column:
+    return from_units(F.sum(units)).alias(name)
 
 
 # --- scans, constants and the sink -------------------------------------------------
@@ -75,8 +85,7 @@ def scan_legal_scd(spark: SparkSession, folder: str) -> DataFrame:
     return driver_tables.legal_scd(spark, folder).select(
         "exposure_id",
         "legal_status",
-        F.to_date("start_datetime").alias("start_day"),
-        F.to_date("end_datetime").alias("end_day"),
+        *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("start_datetime", "end_datetime")],
     )
 
 
@@ -93,7 +102,7 @@ def cap_inputs(t: Inputs) -> DataFrame:
 @_over_source
 def publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The result, written by the sink and read back."""
-    path = shared_folder(spark, "published")
+    path = f"{shared_root(spark)}/published"  # one place, replaced by every call
     publish_parquet(emergence(*inputs(spark, folder)), path)
     return spark.read.parquet(path)
 
@@ -120,17 +129,17 @@ def filter_claim_rows(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def scd_interval_join(t: Inputs) -> DataFrame:
-    return G.scd_interval_join(t.fin_changes, t.legal_scd, t.skew)
+    return G.scd_interval_join(t.fin_changes, t.legal_scd)
 
 
 @_over_inputs
 def legal_month_end(t: Inputs) -> DataFrame:
-    return G.legal_month_end(t.fin_changes, t.legal_scd, t.skew)
+    return G.legal_month_end(t.fin_changes, t.legal_scd)
 
 
 @_over_inputs
 def legal_flags_by_claim_month(t: Inputs) -> DataFrame:
-    return G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew)
+    return G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd)
 
 
 @_over_inputs
@@ -138,7 +147,7 @@ def legal_status_flags(t: Inputs) -> DataFrame:
     """Flags of every status, and of changes without one."""
     status = F.col("legal_status")
     return (
-        G.scd_interval_join(t.fin_changes, t.legal_scd, t.skew)
+        G.scd_interval_join(t.fin_changes, t.legal_scd)
         .groupBy("legal_status")
         .agg(_n())
         .withColumns({
@@ -150,20 +159,22 @@ def legal_status_flags(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def join_legal_flags(t: Inputs) -> DataFrame:
-    """Every claim row with its month's flags, 0 where the month has no change."""
-    rows = C.claim_rows(t.lrd)
+    """Every claim row with its month's flags, 0 where the month has no change.
+
+    Counted by claim, month and line first: a few rows per key meet the flags, however many
+    the claim has.
+    """
+    rows = C.claim_rows(t.lrd).groupBy(*G.CLAIM_MONTH, "lob").agg(_n())
     weights = rows.groupBy(*G.CLAIM_MONTH).agg(_n())
     flags = ["in_suit_flag", "attorney_rep_flag"]
     return (
         salted_left_join(
-            rows.select(*G.CLAIM_MONTH, "lob", "policy_reference", "coverage"),
-            G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew),
-            G.CLAIM_MONTH, weights, spread=["policy_reference", "coverage"],
-            skew=t.skew,
+            rows, G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd),
+            G.CLAIM_MONTH, weights, spread=["lob"],
         )
         .withColumns({f: F.coalesce(f, F.lit(0)) for f in flags})
         .groupBy("lob", "transaction_month", *flags)
-        .agg(_n())
+        .agg(_added())
     )
 
 
@@ -177,22 +188,25 @@ def latest_agency(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def join_latest_agency(t: Inputs) -> DataFrame:
-    rows = t.lrd.select("policy_reference", "lob", "channel", "coverage", "transaction_month")
+    rows = t.lrd.groupBy("policy_reference", "lob", "channel").agg(_n())
     return (
-        C.with_agency(
-            rows, L.latest_agency(t.lrd), spread=["coverage", "channel", "transaction_month"],
-            skew=t.skew,
-        )
+        C.with_agency(rows, _counted_agency(t, rows), spread=["lob", "channel"])
         .groupBy("lob", "agency_type")
-        .agg(_n())
+        .agg(_added())
     )
 
 
+def _counted_agency(t: Inputs, rows: DataFrame) -> DataFrame:
+    """The agencies, weighed by the rows that are really joined."""
+    weights = rows.groupBy("policy_reference").agg(_n())
+    return L.latest_agency(t.lrd).drop("n_rows").join(weights, "policy_reference")
+
+
 @_over_inputs
 def incurred_by_cause(t: Inputs) -> DataFrame:
     return L.incurred_by_cause(t.lrd).select(
         "claim_number", "loss_cause_type_name", "transaction_month",
-        from_cents(F.col("total_incurred")).alias("total_incurred"),
+        from_units(F.col("total_incurred")).alias("total_incurred"),
     )
 
 
@@ -203,18 +217,15 @@ def dominant_loss_cause(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def join_dominant_cause(t: Inputs) -> DataFrame:
-    by_cause = L.incurred_by_cause(t.lrd)
-    weights = by_cause.groupBy("claim_number").agg(F.sum("n_rows").alias("n_rows"))
-    rows = C.claim_rows(t.lrd).select(
-        "claim_number", "lob", "policy_reference", "coverage", "transaction_month"
-    )
+    rows = C.claim_rows(t.lrd).groupBy("claim_number", "lob").agg(_n())
+    weights = rows.groupBy("claim_number").agg(_n())
     return (
         salted_left_join(
-            rows, L.dominant_cause(by_cause), ["claim_number"], weights,
-            spread=["policy_reference", "coverage", "transaction_month"], skew=t.skew,
+            rows, L.dominant_cause(L.incurred_by_cause(t.lrd)), ["claim_number"], weights,
+            spread=["lob"],
         )
         .groupBy("lob", "loss_cause_type_name")
-        .agg(_n())
+        .agg(_added())
     )
 
 
@@ -232,17 +243,11 @@ def cob_grouping(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def channel_normalised(t: Inputs) -> DataFrame:
-    rows = t.lrd.select(
-        "policy_reference", "channel", F.col("channel").alias("raw_channel"),
-        "coverage", "transaction_month",
-    )
+    rows = t.lrd.groupBy("policy_reference", "channel", F.col("channel").alias("raw_channel")).agg(_n())
     return (
-        C.with_agency(
-            rows, L.latest_agency(t.lrd), spread=["raw_channel", "coverage", "transaction_month"],
-            skew=t.skew,
-        )
+        C.with_agency(rows, _counted_agency(t, rows), spread=["raw_channel"])
         .groupBy("agency_type", "raw_channel", "channel")
-        .agg(_n())
+        .agg(_added())
     )
 
 
@@ -289,30 +294,30 @@ def development_axes_premium(t: Inputs) -> DataFrame:
 # --- claim level -------------------------------------------------------------------
 
 
-def _level_cents(t: Inputs) -> DataFrame:
-    level = C.claim_level_cents(
+def _level_units(t: Inputs) -> DataFrame:
+    level = C.claim_level_units(
         t.lrd, L.latest_agency(t.lrd), L.incurred_by_cause(t.lrd),
-        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew), t.skew,
+        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd),
     )
     return C.with_result_labels(level)
 
 
 def _by_year_and_lob(t: Inputs, *totals: Column) -> DataFrame:
-    return _level_cents(t).groupBy("ay", "lob").agg(*totals)
+    return _level_units(t).groupBy("ay", "lob").agg(*totals)
 
 
 def _result_totals(t: Inputs, names: list[str]) -> DataFrame:
     """Result measures by accident year and line, straight from the claim level."""
     derived = C.derived_measures()
     used = set(re.findall(r"\w+", " ".join(derived.get(name, name) for name in names)))
-    rolled = _level_cents(t).groupBy("ay", "lob", "attorney_represented", "litigated").agg(*[
+    rolled = _level_units(t).groupBy("ay", "lob", "attorney_represented", "litigated").agg(*[
         F.expr(f"{total} AS {name}") for name, total in C.result_sums().items() if name in used
     ])
     measures = rolled.selectExpr(
         "ay", "lob", *[f"{derived.get(name, name)} AS {name}" for name in names]
     )
     return measures.groupBy("ay", "lob").agg(*[
-        F.sum(name).alias(name) if name in COUNTS else _cents_total(F.col(name), name)
+        F.sum(name).alias(name) if name in COUNTS else _units_total(F.col(name), name)
         for name in names
     ])
 
@@ -321,27 +326,27 @@ def _result_totals(t: Inputs, names: list[str]) -> DataFrame:
 def claim_level(t: Inputs) -> DataFrame:
     return C.claim_level(
         t.lrd, L.latest_agency(t.lrd), L.incurred_by_cause(t.lrd),
-        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew), t.skew,
+        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd),
     )
 
 
 @_over_inputs
 def net_loss_measures(t: Inputs) -> DataFrame:
     names = ["paid_loss_ss", "reported_loss_ss", "paid_lossandalae_ss", "reported_lossandalae_ss"]
-    return _by_year_and_lob(t, *[_cents_total(F.col(m), m) for m in names])
+    return _by_year_and_lob(t, *[_units_total(F.col(m), m) for m in names])
 
 
 @_over_inputs
 def alae_measures(t: Inputs) -> DataFrame:
     return _by_year_and_lob(
-        t, *[_cents_total(F.col(m), m) for m in ("paid_alae", "reported_alae")]
+        t, *[_units_total(F.col(m), m) for m in ("paid_alae", "reported_alae")]
     )
 
 
 @_over_inputs
 def case_reserves(t: Inputs) -> DataFrame:
     return _by_year_and_lob(
-        t, *[_cents_total(F.col(m), m) for m in ("case_lossandalae", "case_loss")]
+        t, *[_units_total(F.col(m), m) for m in ("case_lossandalae", "case_loss")]
     )
 
 
@@ -351,23 +356,27 @@ def gross_loss_measures(t: Inputs) -> DataFrame:
         "paid_loss reported_loss paid_dcce paid_aoe reported_dcce reported_aoe "
         "reported_indemnity_loss reported_medical_loss total_ss total_incurred_xss"
     ).split()
-    return _by_year_and_lob(t, *[_cents_total(F.col(m), m) for m in names])
+    return _by_year_and_lob(t, *[_units_total(F.col(m), m) for m in names])
 
 
 @_over_inputs
 def cross_join_caps(t: Inputs) -> DataFrame:
-    """Every claim-level row meets every limit: room left under it, over all rows."""
-    amount = F.col("reported_lossandalae_ss")
-    return _by_year_and_lob(t, _n(), *[
-        _cents_total(F.lit(cap * 100).cast("bigint") - amount, f"room_{level}")
-        for level, cap in V.CAPS.items()
-    ])
+    """The claims branch under other caps than the default ones: counts and limited amounts."""
+    rows = C.claims_branch(
+        t.lrd, L.latest_agency(t.lrd), L.incurred_by_cause(t.lrd),
+        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd), caps=OTHER_CAPS,
+    )
+    limited = ["paid_lossalaess_on_closed", "case_lossalae_on_open"]
+    return rows.groupBy("ay", "lob").agg(
+        *[F.sum(f"ll_{level}_cc").alias(f"ll_{level}_cc") for level in OTHER_CAPS],
+        *[_money(F.sum(name), name) for base in limited for name in capped(base, OTHER_CAPS)],
+    )
 
 
 @_over_inputs
 def cap_ladder(t: Inputs) -> DataFrame:
     return _by_year_and_lob(t, *[
-        _cents_total(F.expr(C.limit(amount, cap)), f"capped_{level}_{amount}")
+        _units_total(F.expr(C.limit(amount, cap)), f"capped_{level}_{amount}")
         for amount in C.LIMITED for level, cap in V.CAPS.items()
     ])
 
@@ -379,7 +388,7 @@ def capped_case(t: Inputs) -> DataFrame:
         "case_loss": ("reported_loss_ss", "paid_loss_ss"),
     }
     return _by_year_and_lob(t, *[
-        _cents_total(
+        _units_total(
             or_zero(F.expr(C.limit(reported, cap))) - or_zero(F.expr(C.limit(paid, cap))),
             f"capped_{level}_{case}",
         )
@@ -431,19 +440,19 @@ def amounts_on_open(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def legal_labels(t: Inputs) -> DataFrame:
-    return _level_cents(t).groupBy(
+    return _level_units(t).groupBy(
         "ay", "in_suit_flag", "attorney_rep_flag", "litigated", "attorney_represented"
     ).agg(_n())
 
 
 @_over_inputs
 def wc_injury_type(t: Inputs) -> DataFrame:
-    return _level_cents(t).groupBy("ay", "lob", "indemnity_medicalonly").agg(_n())
+    return _level_units(t).groupBy("ay", "lob", "indemnity_medicalonly").agg(_n())
 
 
 @_over_inputs
 def wc_appetite(t: Inputs) -> DataFrame:
-    return _level_cents(t).groupBy("lob", "cob_name", "current_appetite").agg(_n())
+    return _level_units(t).groupBy("lob", "cob_name", "current_appetite").agg(_n())
 
 
 # --- premium and exposure ----------------------------------------------------------
@@ -480,23 +489,23 @@ def scalar_dates(t: Inputs) -> DataFrame:
 @_over_inputs
 def scalar_conditional(t: Inputs) -> DataFrame:
     """Coalesce, nested conditions, casts and arithmetic over every fact row."""
-    def cents(name: str) -> Column:
-        return to_cents(F.col(name))
+    def units(name: str) -> Column:
+        return to_units(F.col(name))
 
     paid = reduce(Column.__add__, [
-        or_zero(cents(m)) for m in ("paid_loss", "paid_subro", "paid_salvage")
+        or_zero(units(m)) for m in ("paid_loss", "paid_subro", "paid_salvage")
     ])
     size = (
-        F.when(cents("incurred_loss") > 0, F.when(F.col("paid_loss") > 0, "paid").otherwise("case"))
+        F.when(units("incurred_loss") > 0, F.when(F.col("paid_loss") > 0, "paid").otherwise("case"))
         .when(F.col("incurred_loss").isNull(), "unknown")
         .otherwise("none")
     )
     rows = t.lrd.groupBy("lob", size.alias("loss_kind")).agg(
-        _n(), F.sum(paid).alias("cents"),
+        _n(), F.sum(paid).alias("units"),
         F.sum(F.datediff("policy_end_date", "policy_start_date")).alias("days"),
     )
     return rows.select(
-        "lob", "loss_kind", "n_rows", from_cents(F.col("cents")).alias("paid_net"),
+        "lob", "loss_kind", "n_rows", from_units(F.col("units")).alias("paid_net"),
         policy_years(F.col("days")).alias("term_years"),
     )
 
@@ -508,13 +517,13 @@ def scalar_conditional(t: Inputs) -> DataFrame:
 def claims_branch(t: Inputs) -> DataFrame:
     return C.claims_branch(
         t.lrd, L.latest_agency(t.lrd), L.incurred_by_cause(t.lrd),
-        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd, t.skew), t.skew,
+        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd),
     )
 
 
 @_over_inputs
 def premium_branch(t: Inputs) -> DataFrame:
-    return P.premium_branch(t.lrd, L.latest_agency(t.lrd), t.skew)
+    return P.premium_branch(t.lrd, L.latest_agency(t.lrd))
 
 
 @_over_inputs

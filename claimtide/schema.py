@@ -6,12 +6,18 @@ from pyspark.sql import types as T
 
 from claimtide.fixed_values import CAPS
 
-MONEY_IN = T.DecimalType(18, 2)
-MONEY_OUT = T.DecimalType(38, 2)
+# Decimal places of money: inputs may have fewer, never more.
+PLACES = 4
+MONEY_IN = T.DecimalType(18, PLACES)
+MONEY_OUT = T.DecimalType(38, PLACES)
+
+# What a field's metadata may say: its type is left as it comes, or a time of day is.
+AS_GIVEN = "as_given"
+MAY_HOLD_TIME = "may_hold_time"
 
 
-def _fields(kind: T.DataType, names: str) -> list[T.StructField]:
-    return [T.StructField(name, kind) for name in names.split()]
+def _fields(kind: T.DataType, names: str, *marks: str) -> list[T.StructField]:
+    return [T.StructField(name, kind, metadata=dict.fromkeys(marks, True)) for name in names.split()]
 
 
 FACT_MONEY = (
@@ -22,8 +28,11 @@ FACT_MONEY = (
 
 LRD = T.StructType(
     _fields(T.StringType(), "policy_reference claim_number lob cob_name cob_group channel "
-                            "agency_type loss_cause_type_name state coverage renewal_tag")
-    + _fields(T.IntegerType(), "paygo_indicator food_and_bev_express_ind is_bop_policy")
+                            "agency_type loss_cause_type_name")
+    # Descriptions that are only carried through to the result.
+    + _fields(T.StringType(), "state coverage renewal_tag", AS_GIVEN)
+    + _fields(T.IntegerType(), "paygo_indicator food_and_bev_express_ind", AS_GIVEN)
+    + _fields(T.IntegerType(), "is_bop_policy")
     + _fields(T.DateType(), "accident_month report_month transaction_month "
                             "policy_start_date policy_end_date")
     + _fields(T.IntegerType(), "ay_age py_age ry_age am_age")
@@ -32,16 +41,14 @@ LRD = T.StructType(
 
 # A change may carry a time of day, which decides whether a change on the last day of a
 # status still falls inside it.
-MAY_HOLD_TIME = "may_hold_time"
-
 FIN_CHANGES = T.StructType(
     _fields(T.StringType(), "claim_number")
-    + _fields(T.LongType(), "exposure_id")
-    + [T.StructField("date", T.DateType(), metadata={MAY_HOLD_TIME: True})]
+    + _fields(T.LongType(), "exposure_id", AS_GIVEN)
+    + _fields(T.DateType(), "date", MAY_HOLD_TIME)
 )
 
 LEGAL_SCD = T.StructType(
-    _fields(T.LongType(), "exposure_id")
+    _fields(T.LongType(), "exposure_id", AS_GIVEN)
     + _fields(T.StringType(), "legal_status")
     + _fields(T.TimestampNTZType(), "start_datetime end_datetime")
 )
@@ -57,41 +64,49 @@ DIMENSIONS = (
 PREMIUM_MEASURES = ["earned_premium", "earned_policy_years"]
 
 
-def capped(base: str) -> list[str]:
-    """The seven limited versions of a measure."""
-    return [f"{base}_capped_{level}" for level in CAPS]
+def capped(base: str, caps: dict[str, int] = CAPS) -> list[str]:
+    """The limited versions of a measure, one for each cap."""
+    return [f"{base}_capped_{level}" for level in caps]
 
 
-LARGE_LOSS_COUNTS = [f"ll_{level}_cc" for level in CAPS]
-
 STATUS_COUNTS = (
     "cwp_cc cnp_cc closed_cc open_cc reported_cc nonzero_reported_cc expenseonly_cc "
     "closed_expenseonly_cc closed_nolossorexpense_cc litigated_claim_count "
     "attorney_rep_claim_count litigated_nonzero_claim_count attorney_nonzero_claim_count"
 ).split()
 
-COUNTS = set(STATUS_COUNTS) | set(LARGE_LOSS_COUNTS)
-
-# The claim measures, in output order.
-CLAIM_MEASURES = (
-    STATUS_COUNTS
-    + "paid_alae reported_alae paid_loss_ss reported_loss_ss reported_lossandalae_ss "
-      "paid_lossandalae_ss case_lossandalae nonzero_reported_loss_ss "
-      "nonzero_reported_lossandalae_ss total_ss total_incurred_xss reported_loss "
-      "paid_lossalaess_on_closed reported_lossalaessss_on_open paid_lossalaess_on_open "
-      "reported_lossss_on_open paid_lossss_on_closed".split()
-    + LARGE_LOSS_COUNTS
-    + "case_loss case_lossalae_on_open case_loss_on_open paid_lossss_on_open".split()
-    + capped("paid_lossalaess_on_closed")
-    + capped("paid_lossss_on_closed")
-    + capped("reported_lossalaess_on_open")
-    + capped("case_lossalae_on_open")
-    + capped("paid_lossalaess_on_open")
-    + capped("reported_lossss_on_open")
-    + capped("case_loss_on_open")
-    + capped("paid_lossss_on_open")
-)
 
+def large_loss_counts(caps: dict[str, int] = CAPS) -> list[str]:
+    return [f"ll_{level}_cc" for level in caps]
+
+
+def counts(caps: dict[str, int] = CAPS) -> set[str]:
+    return {*STATUS_COUNTS, *large_loss_counts(caps)}
+
+
+def claim_measures(caps: dict[str, int] = CAPS) -> list[str]:
+    """The claim measures, in output order."""
+    plain = (
+        "paid_alae reported_alae paid_loss_ss reported_loss_ss reported_lossandalae_ss "
+        "paid_lossandalae_ss case_lossandalae nonzero_reported_loss_ss "
+        "nonzero_reported_lossandalae_ss total_ss total_incurred_xss reported_loss "
+        "paid_lossalaess_on_closed reported_lossalaessss_on_open paid_lossalaess_on_open "
+        "reported_lossss_on_open paid_lossss_on_closed"
+    ).split()
+    last = "case_loss case_lossalae_on_open case_loss_on_open paid_lossss_on_open".split()
+    limited = (
+        "paid_lossalaess_on_closed paid_lossss_on_closed reported_lossalaess_on_open "
+        "case_lossalae_on_open paid_lossalaess_on_open reported_lossss_on_open "
+        "case_loss_on_open paid_lossss_on_open"
+    ).split()
+    return [
+        *STATUS_COUNTS, *plain, *large_loss_counts(caps), *last,
+        *(name for base in limited for name in capped(base, caps)),
+    ]
+
+
+COUNTS = counts()
+CLAIM_MEASURES = claim_measures()
 MEASURES = PREMIUM_MEASURES + CLAIM_MEASURES
 
 _INT_DIMENSIONS = set(
@@ -99,7 +114,11 @@ _INT_DIMENSIONS = set(
 )
 
 
-def output_type(name: str) -> T.DataType:
+# Dimensions whose type is that of the input.
+GIVEN_DIMENSIONS = {f.name for f in LRD if AS_GIVEN in f.metadata}
+
+
+def output_type(name: str, caps: dict[str, int] = CAPS) -> T.DataType:
     if name == "transaction_month":
         return T.DateType()
     if name in _INT_DIMENSIONS:
@@ -108,10 +127,16 @@ def output_type(name: str) -> T.DataType:
         return T.StringType()
     if name == "earned_policy_years":
         return T.DoubleType()
-    return T.LongType() if name in COUNTS else MONEY_OUT
+    return T.LongType() if name in counts(caps) else MONEY_OUT
+
+
+def output(caps: dict[str, int] = CAPS) -> T.StructType:
+    """The result's columns under a set of caps."""
+    names = [*DIMENSIONS, *PREMIUM_MEASURES, *claim_measures(caps)]
+    return T.StructType([T.StructField(n, output_type(n, caps)) for n in names])
 
 
-OUTPUT = T.StructType([T.StructField(n, output_type(n)) for n in DIMENSIONS + MEASURES])
+OUTPUT = output()
 
 # The result's sort order.
 SORT_ORDER = "ay py ry ay_age py_age ry_age lob bop_policy_flag".split()

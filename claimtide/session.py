@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,14 +26,8 @@ def build_session(app: str = "claimtide", cores: int | None = None) -> SparkSess
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder that the session names.
-
-    Only where it names none (tests, a laptop) is a local one made.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="claimtide-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    """The shared folder that the session names, or the warehouse, which is shared too."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return root.rstrip("/")
 
 

@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from claimtide.schema import LRD, MONEY_IN
+from claimtide.schema import FIN_CHANGES, LRD, MONEY_IN
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,16 +60,16 @@ def _insured_lines(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     lines = _table(spark, folder, "lineitem")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    # A file too small to split would keep all that follows in one task.
-    tasks = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() < tasks:
-        joined = joined.repartition(tasks)
+    # Shuffled at every size: a file too small to split would keep all that follows in one task.
+    joined = lines.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
     year_and_key = F.concat(F.col("k"), F.lit("-"), F.col("yr"))
     k, pk = F.col("k"), F.col("l_partkey")
     return (
         joined.withColumns({
-            "policy_reference": F.concat(F.lit("P"), year_and_key),
+            # Some line items have no policy.
+            "policy_reference": F.when(
+                (F.col("l_linenumber") == 6) & (F.pmod(k, F.lit(5)) == 0), F.lit(None).cast("string")
+            ).otherwise(F.concat(F.lit("P"), year_and_key)),
             "claim_number": F.when(
                 F.col("l_returnflag") == "N", F.lit(None).cast("string")
             ).otherwise(F.concat(F.lit("C"), year_and_key)),
@@ -84,8 +84,8 @@ def _insured_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def lrd(spark: SparkSession, folder: str) -> DataFrame:
-    """The loss and premium fact."""
+def fact_and_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact's columns, and beside them exposure and date of the row's financial change."""
     lines = _insured_lines(spark, folder).withColumns({
         "q": F.col("l_quantity").cast("int"),
         "n": F.col("l_linenumber"),
@@ -99,11 +99,12 @@ def lrd(spark: SparkSession, folder: str) -> DataFrame:
     zero = F.lit(Decimal("0.00")).cast(MONEY_IN)
     missing = F.lit(None).cast(MONEY_IN)
     amount = money(
-        money(F.col("l_extendedprice")) * F.when(n == 7, F.lit(12)).otherwise(F.lit(1))
+        money(F.col("l_extendedprice").cast("decimal(18,2)")) * F.when(n == 7, F.lit(12)).otherwise(F.lit(1))
     )
     lines = lines.withColumns({
         "incurred_loss": F.when(q % 10 == 0, zero).when(q % 10 == 9, missing).otherwise(amount),
-        "paid_dcce": F.when(n % 3 == 0, zero).otherwise(money(10 * q)),
+        # Allocated amounts have parts of a cent.
+        "paid_dcce": F.when(n % 3 == 0, zero).otherwise(money(10 * q + F.lit(Decimal("0.0025")))),
         "paid_aoe": F.when(n == 5, missing).otherwise(money(q)),
         "paid_subro": F.when(q % 7 == 0, money(F.lit(-50))).otherwise(missing),
         "paid_salvage": F.when(q % 11 == 0, money(F.lit(-25))).otherwise(zero),
@@ -151,29 +152,40 @@ def lrd(spark: SparkSession, folder: str) -> DataFrame:
         "incurred_indemnity_loss": F.when(n % 2 == 0, loss).otherwise(zero),
         "incurred_medical_loss": F.when(n % 2 == 1, loss).otherwise(zero),
         "incurred_loss_and_alae_ss": net_incurred,
-        "earned_premium": money(100 * q),
+        "earned_premium": money(100 * q + F.pmod(F.col("l_partkey"), F.lit(10_000)) * F.lit(Decimal("0.0001"))),
     })
-    return lines.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LRD])
+    return lines.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LRD],
+        F.col("l_orderkey").alias("exposure_id"),
+        F.date_add(
+            "transaction_month", F.pmod(F.col("l_suppkey"), F.lit(28)).cast("int")
+        ).alias("date"),
+    )
 
 
-def fin_changes(spark: SparkSession, folder: str) -> DataFrame:
+def fact_of(lines: DataFrame) -> DataFrame:
+    return lines.select(*LRD.names)
+
+
+def changes_of(lines: DataFrame) -> DataFrame:
     """One financial change per fact row that has a claim."""
-    return (
-        _insured_lines(spark, folder)
-        .filter(F.col("claim_number").isNotNull())
-        .select(
-            "claim_number",
-            F.col("l_orderkey").alias("exposure_id"),
-            F.date_add(
-                "transaction_month", F.pmod(F.col("l_suppkey"), F.lit(28)).cast("int")
-            ).alias("date"),
-        )
-    )
+    return lines.filter(F.col("claim_number").isNotNull()).select(*FIN_CHANGES.names)
+
+
+def lrd(spark: SparkSession, folder: str) -> DataFrame:
+    """The loss and premium fact."""
+    return fact_of(fact_and_changes(spark, folder))
+
+
+def fin_changes(spark: SparkSession, folder: str) -> DataFrame:
+    return changes_of(fact_and_changes(spark, folder))
 
 
 def legal_scd(spark: SparkSession, folder: str) -> DataFrame:
-    """Status history per order: pending orders escalate after 60 days."""
+    """Status history per order: pending orders have an attorney from a morning on, escalate
+    after 60 days, and the two statuses overlap for 30 days."""
     opened = F.to_date("o_orderdate")
+    morning = F.expr("CAST(to_date(o_orderdate) AS TIMESTAMP_NTZ) + INTERVAL '08:30' HOUR TO MINUTE")
 
     def status(name: str, first: Column, end: Column) -> Column:
         return F.struct(
@@ -186,7 +198,10 @@ def legal_scd(spark: SparkSession, folder: str) -> DataFrame:
     escalated = F.date_add(opened, 60)
     history = F.when(
         F.col("o_orderstatus") == "P",
-        F.array(status("attorney rep", opened, escalated), status("in suit", escalated, no_end)),
+        F.array(
+            status("attorney rep", morning, F.date_add(escalated, 30)),
+            status("in suit", escalated, no_end),
+        ),
     ).when(F.col("o_orderstatus") == "F", F.array(status("none", opened, no_end)))
     return (
         _table(spark, folder, "orders")

@@ -3,107 +3,48 @@
 The result reads the fact five times. Where the fact is a view (here: a join of four
 tables), it is written once to the shared folder and read from there, so that every
 use prunes its own columns and pushes its own filters, and a lost executor costs the
-rows it was reading, not the join behind them.
+rows it was reading, not the join behind them. One table holds the fact and the columns of
+the changes, which come from the same rows.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
-from pathlib import Path
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from claimtide import schema
-from claimtide.operators.salted_join import Skew
 from claimtide.schema import FIN_CHANGES, LEGAL_SCD, LRD
-from claimtide.session import shared_root
+from claimtide.session import shared_folder
 from claimtide.sources import driver_tables
-from claimtide.sources.tables import from_parquet
+from claimtide.sources.tables import conform
 
 
 class Inputs(NamedTuple):
     lrd: DataFrame
     fin_changes: DataFrame
     legal_scd: DataFrame
-    skew: Skew
 
 
-_CONTRACTS = {"lrd": LRD, "fin_changes": FIN_CHANGES, "legal_scd": LEGAL_SCD}
-# Finished copies this application has found or made, by the table that names them.
-_targets: dict[tuple[str, str], str] = {}
-_SOURCES = ["lineitem", "orders", "customer", "nation"]
-
-
-def _files(path: Path) -> list[Path]:
-    return sorted(p for p in path.rglob("*") if p.is_file()) if path.is_dir() else [path]
-
-
-def _version(spark: SparkSession, folder: str) -> str:
-    """Changes with the source files, their place and the mapping itself.
-
-    Files that cannot be seen from here could change unnoticed, so a copy of them serves
-    one application only.
-    """
-    seen = [os.path.abspath(folder)]
-    try:
-        for name in _SOURCES:
-            for file in _files(Path(folder) / f"{name}.parquet"):
-                seen.append(f"{file} {file.stat().st_size} {file.stat().st_mtime_ns}")
-    except OSError:
-        seen = [folder, spark.sparkContext.applicationId]
-    for module in (driver_tables, schema):
-        seen.append(Path(module.__file__).read_text())
-    return hashlib.sha256("\n".join(seen).encode()).hexdigest()[:16]
+# Where this application has stored the inputs of a folder. Another application stores its own.
+_stored: dict[tuple[str, str], str] = {}
 
 
 def stage(spark: SparkSession, folder: str) -> str:
-    """Where the inputs of `folder` are stored; writes them first if they are not.
-
-    A one-row table names the finished copy. It is written last, so a copy that was cut
-    short is never read.
-    """
-    root, version = shared_root(spark), _version(spark, folder)
-    finished = f"{root}/inputs-{version}-finished"
-    known = (spark.sparkContext.applicationId, finished)
-    if known not in _targets:
-        _targets[known] = _find_or_write(spark, folder, finished, f"{root}/inputs-{version}")
-    return _targets[known]
-
-
-def _find_or_write(spark: SparkSession, folder: str, finished: str, prefix: str) -> str:
-    try:
-        return spark.read.schema("target string").parquet(finished).first().target
-    except (AnalysisException, AttributeError):
-        pass
-    target = f"{prefix}-{spark.sparkContext.applicationId}"
-    for name in _CONTRACTS:
-        rows = getattr(driver_tables, name)(spark, folder)
-        rows.write.mode("overwrite").parquet(f"{target}/{name}")
-    spark.createDataFrame([(target,)], "target string").coalesce(1).write.mode("append").parquet(
-        finished
-    )
-    return target
-
-
-# What this process already knows about finished copies: their largest table's rows.
-_most_rows: dict[str, int] = {}
-
-
-def _count_rows(spark: SparkSession, target: str) -> int:
-    """Rows of the largest of the tables that hot keys come from, from file footers."""
-    if target not in _most_rows:
-        _most_rows[target] = max(
-            spark.read.parquet(f"{target}/{name}").count() for name in ("lrd", "fin_changes")
-        )
-    return _most_rows[target]
+    """Where the inputs of `folder` are stored; writes them at an application's first use."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _stored:
+        target = shared_folder(spark, "inputs")
+        driver_tables.fact_and_changes(spark, folder).write.parquet(f"{target}/lines")
+        driver_tables.legal_scd(spark, folder).write.parquet(f"{target}/legal_scd")
+        _stored[key] = target
+    return _stored[key]
 
 
 def inputs(spark: SparkSession, folder: str) -> Inputs:
     target = stage(spark, folder)
-    tables = [
-        from_parquet(spark, f"{target}/{name}", contract) for name, contract in _CONTRACTS.items()
-    ]
-    return Inputs(*tables, Skew(most_rows=_count_rows(spark, target)))
+    lines = spark.read.parquet(f"{target}/lines")
+    return Inputs(
+        conform(driver_tables.fact_of(lines), LRD),
+        conform(driver_tables.changes_of(lines), FIN_CHANGES),
+        conform(spark.read.parquet(f"{target}/legal_scd"), LEGAL_SCD),
+    )

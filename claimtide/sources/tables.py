@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from claimtide.plans.emergence import ordered
-from claimtide.schema import MAY_HOLD_TIME
+from claimtide.schema import AS_GIVEN, MAY_HOLD_TIME, MONEY_IN, PLACES
+from claimtide.session import shared_folder
 
 _TIMED = (T.TimestampType, T.TimestampNTZType)
 
@@ -13,9 +16,11 @@ _TIMED = (T.TimestampType, T.TimestampNTZType)
 def conform(rows: DataFrame, contract: T.StructType) -> DataFrame:
     """The contract's columns in its types; a missing column is an error.
 
-    A time of day stays where the contract allows one. Columns that already fit pass as they are, without a
-    cast or an alias, so that two uses of one table still look alike to Spark and can
-    share a shuffle.
+    Descriptions and ids that are only compared or carried through keep their type, and a time
+    of day stays where the contract allows one. Money with more places than the contract's, or
+    in floating point, is refused: it could not be added without rounding. Columns that
+    already fit pass as they are, without a cast or an alias, so that two uses of one table
+    still look alike to Spark and can share a shuffle.
     """
     present = {f.name.lower(): f.dataType for f in rows.schema}
     missing = [f.name for f in contract if f.name not in present]
@@ -24,8 +29,12 @@ def conform(rows: DataFrame, contract: T.StructType) -> DataFrame:
 
     def fits(field: T.StructField) -> bool:
         found = present[field.name]
+        if field.dataType == MONEY_IN and not _exact(found):
+            raise ValueError(
+                f"{field.name} is {found.simpleString()}: cast it to a decimal with at most {PLACES} places"
+            )
         timed = MAY_HOLD_TIME in field.metadata and isinstance(found, _TIMED)
-        return timed or found == field.dataType
+        return timed or AS_GIVEN in field.metadata or found == field.dataType
 
     return rows.select(*[
         F.col(f.name) if fits(f) else F.col(f.name).cast(f.dataType).alias(f.name)
@@ -33,6 +42,10 @@ def conform(rows: DataFrame, contract: T.StructType) -> DataFrame:
     ])
 
 
+def _exact(kind: T.DataType) -> bool:
+    return isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.scale <= PLACES
+
+
 def from_parquet(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
     return conform(spark.read.parquet(path), contract)
 
@@ -42,11 +55,22 @@ def from_table(spark: SparkSession, name: str, contract: T.StructType) -> DataFr
 
 
 def publish_table(rows: DataFrame, name: str) -> None:
-    """Replaces the table: drop if it exists, then create from the rows in result order."""
-    rows.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    ordered(rows).write.saveAsTable(name)
+    """Replaces the table by the rows in result order; a failure leaves the old one."""
+    spark, beside = rows.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    _stored_in_order(rows).write.saveAsTable(beside)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
 
 
 def publish_parquet(rows: DataFrame, path: str) -> None:
-    """Replaces the files at `path` with the rows in result order."""
-    ordered(rows).write.mode("overwrite").parquet(path)
+    """Replaces the files at `path` by the rows in result order. Only finished rows are
+    copied there, so a failing query leaves the old files."""
+    _stored_in_order(rows).write.mode("overwrite").parquet(path)
+
+
+def _stored_in_order(rows: DataFrame) -> DataFrame:
+    """The rows, evaluated once into a folder beside, and put in order from there: a sort samples
+    its input, which would else run the whole pipeline twice."""
+    spark, beside = rows.sparkSession, shared_folder(rows.sparkSession, "unordered")
+    rows.write.parquet(beside)
+    return ordered(spark.read.schema(rows.schema).parquet(beside))

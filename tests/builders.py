@@ -27,7 +27,7 @@ def fact(spark, *rows):
         given = row.get(name, _DEFAULTS.get(name))
         if name in FACT_MONEY.split():
             given = row.get(name, 0)
-            return None if given is None else Decimal(str(given)).quantize(Decimal("0.01"))
+            return None if given is None else Decimal(str(given)).quantize(Decimal("0.0001"))
         return given
 
     return spark.createDataFrame([[value(r, f.name) for f in LRD] for r in rows], LRD)
@@ -41,8 +41,7 @@ def history(spark, *rows):
     return spark.createDataFrame(list(rows), LEGAL_SCD)
 
 
-# A handful of rows has no hot key; test_skew.py covers the salted joins.
-PLAIN = Skew(most_rows=0)
+PLAIN = Skew()
 
 FOREVER = datetime(9999, 12, 31)
 

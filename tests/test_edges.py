@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 
 from builders import FOREVER, PLAIN, changes, claim_level, claims_branch, fact, history
 from claimtide.functions import dimensions as D
-from claimtide.functions.money import from_cents, to_cents
+from claimtide.functions.money import from_units, to_units
 from claimtide.operators import latest, legal
 from claimtide.plans import claims, premium
 from claimtide.schema import CLAIM_MEASURES, OUTPUT, PREMIUM_MEASURES
 
-D2 = Decimal("0.01")
+D4 = Decimal("0.0001")
 
 
 def dec(value):
-    return Decimal(str(value)).quantize(D2)
+    return Decimal(str(value)).quantize(D4)
 
 
 # --- exposure ----------------------------------------------------------------------
@@ -87,15 +87,15 @@ def test_other_lines_do_not_count_as_the_row_before(spark):
 def test_limit(spark):
     rows = [(None,), (Decimal("-10"),), (Decimal("25000"),), (Decimal("25000.01"),)]
     df = spark.createDataFrame(rows, "x decimal(18,2)")
-    cents = df.select(to_cents(F.col("x")).alias("x"))
-    limited = cents.select(from_cents(F.expr(claims.limit("x", 25_000))))
+    cents = df.select(to_units(F.col("x")).alias("x"))
+    limited = cents.select(from_units(F.expr(claims.limit("x", 25_000))))
     assert [r[0] for r in limited.collect()] == [None, dec(-10), dec(25000), dec(25000)]
 
 
-def test_cents_are_exact_at_the_edges_of_the_type(spark):
-    values = [Decimal("9999999999999999.99"), Decimal("-9999999999999999.99"), Decimal("0.01")]
-    df = spark.createDataFrame([(v,) for v in values], "x decimal(18,2)")
-    assert [r[0] for r in df.select(from_cents(to_cents(F.col("x")))).collect()] == values
+def test_units_are_exact_at_the_edges_of_the_type(spark):
+    values = [Decimal("99999999999999.9999"), Decimal("-99999999999999.9999"), Decimal("0.0001")]
+    df = spark.createDataFrame([(v,) for v in values], "x decimal(18,4)")
+    assert [r[0] for r in df.select(from_units(to_units(F.col("x")))).collect()] == values
 
 
 @pytest.mark.parametrize("incurred, paid, is_open", [(5, 5, 0), ("5.01", 5, 1), (4, 5, 0)])

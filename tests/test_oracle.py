@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from claimtide.oracle import oracle_sql
+from claimtide.queries import queries
 from comparing import bag, plain
 from conftest import SMALL
 
@@ -23,13 +24,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, name):
-    result = entry.queries()[name](spark, SMALL)
-    expected = duck.execute(entry.oracle_sql()[name])
+    result = queries()[name](spark, SMALL)
+    expected = duck.execute(oracle_sql()[name])
     types = {column[0]: str(column[1]) for column in expected.description}
     columns = sorted(types)
     assert sorted(result.columns) == columns

@@ -43,7 +43,7 @@ def branches(small, skew):
     )
 
 
-@pytest.mark.parametrize("skew", [Skew(), Skew(most_rows=1)])
+@pytest.mark.parametrize("skew", [Skew(), Skew(rows_per_lane=5)])
 def test_no_cross_product_and_no_python(small, shuffled_joins, skew):
     plan = plan_of(emergence(small.lrd, small.fin_changes, small.legal_scd, skew))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
@@ -59,7 +59,7 @@ def test_filters_and_columns_reach_the_scan(small):
         in agency
 
 
-@pytest.mark.parametrize("skew", [Skew(), Skew(most_rows=1)])
+@pytest.mark.parametrize("skew", [Skew(), Skew(rows_per_lane=5)])
 def test_claim_level_and_result_run_inside_the_last_join(small, shuffled_joins, skew):
     """The top of the claims plan: project and two groupings, no shuffle down to the join."""
     plan = plan_of(branches(small, skew)[0])
@@ -75,15 +75,18 @@ def test_lane_is_part_of_the_join_shuffle(small, shuffled_joins):
 
 
 def test_premium_sums_are_shuffled_once(small, shuffled_joins):
-    plan = plan_of(branches(small, Skew(most_rows=1))[1])
+    plan = plan_of(branches(small, Skew())[1])
     assert plan.count("sum(cast((earned_premium") == 3 and "ReusedExchange" in plan
 
 
-def test_salting_is_left_out_when_no_key_can_be_hot(small, shuffled_joins):
-    salted, plain = (plan_of(branches(small, s)[0]) for s in (Skew(), Skew(most_rows=1)))
-    assert "xxhash64" in salted and "xxhash64" not in plain
+def test_latest_agency_hashes_the_fact(small):
+    """The grouping next to the scan hashes; what is sorted after it is a few rows a policy."""
+    lines = plan_of(latest_agency(small.lrd)).splitlines()
+    scan = next(k for k, line in enumerate(lines) if "FileScan" in line)
+    above = next(line for line in reversed(lines[:scan]) if "Aggregate" in line)
+    assert "HashAggregate" in above and "SortAggregate" not in above
 
 
-def test_hot_key_broadcast_comes_from_a_limited_sort(small, shuffled_joins):
-    plan = plan_of(branches(small, Skew(max_hot_keys=77))[0])
-    assert plan.count("TakeOrderedAndProject(limit=77") >= 3
+def test_hot_keys_need_no_sort_or_limit(small, shuffled_joins):
+    plan = plan_of(emergence(*small))
+    assert "TakeOrderedAndProject" not in plan and plan.count("BroadcastHashJoin") >= 6

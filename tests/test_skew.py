@@ -11,7 +11,7 @@ from claimtide.operators.salted_join import LANE, Skew, hot_keys, salted_left_jo
 from claimtide.plans.emergence import emergence
 from comparing import bag
 
-TINY_LANES = Skew(rows_per_lane=4, max_hot_keys=50)
+TINY_LANES = Skew(rows_per_lane=4, least_share=1 / 50)
 
 
 def test_salted_result_equals_plain_result(small):
@@ -44,17 +44,13 @@ def hot_inputs(spark):
 
 
 def test_hot_policy_claim_and_exposure(hot_inputs):
-    wide = Skew(rows_per_lane=1_000_000)
-    assert bag(emergence(*hot_inputs, TINY_LANES)) == bag(emergence(*hot_inputs, wide))
-    assert bag(emergence(*hot_inputs, TINY_LANES)) == bag(
-        emergence(*hot_inputs, Skew(most_rows=300))
-    )
+    assert bag(emergence(*hot_inputs, TINY_LANES)) == bag(emergence(*hot_inputs))
 
 
 def test_interval_join_with_a_hot_exposure(hot_inputs):
     _, fin, scd = hot_inputs
     assert bag(scd_interval_join(fin, scd, TINY_LANES)) == bag(
-        scd_interval_join(fin, scd, Skew(most_rows=0))
+        scd_interval_join(fin, scd)
     )
 
 
@@ -86,7 +82,27 @@ def test_hot_rows_and_rows_without_a_key_are_dealt_over_lanes(spark):
     assert bag(joined.drop(LANE)) == bag(plain)
 
 
-def test_broadcast_of_hot_keys_is_bounded(spark):
-    weights = spark.range(1000).select("id", (F.col("id") + 10).alias("n_rows"))
-    hot = hot_keys(weights, ["id"], Skew(rows_per_lane=5, max_hot_keys=20)).collect()
-    assert len(hot) == 20 and min(r.id for r in hot) == 980
+def test_hot_keys_bound_themselves(spark):
+    weights = spark.range(1000).select("id", F.when(F.col("id") < 30, 500).otherwise(10).alias("n_rows"))
+    for lane, share, hot in ((5, 1 / 100, 30), (5, 1 / 20, 0), (600, 1 / 4096, 0), (5, 1 / 4096, 1000)):
+        keys = hot_keys(weights, ["id"], Skew(rows_per_lane=lane, least_share=share)).collect()
+        assert len(keys) == hot <= 1 / share
+
+
+def test_a_third_of_the_rows_in_one_key(spark):
+    """No lane of any lookup join gets more than twice a fair share of a hot key."""
+    rows = spark.range(120_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("k"), "id")
+    weights = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n_rows"))
+    lookup = weights.select("k", F.length("k").alias("size"))
+    joined = salted_left_join(rows, lookup, ["k"], weights, spread=["id"], skew=Skew(rows_per_lane=5_000))
+    lanes = joined.filter("k = 'hot'").groupBy(LANE).count().collect()
+    assert len(lanes) == 8 and max(r["count"] for r in lanes) < 2 * 5_000
+
+
+def test_equal_changes_meet_a_status_once(spark):
+    fin = changes(spark, *[("C1", 1, date(2024, 3, 5))] * 500, ("C1", 1, date(2024, 1, 1)))
+    scd = history(spark, (1, "in suit", datetime(2024, 3, 1), FOREVER))
+    rows = scd_interval_join(fin, scd, TINY_LANES).groupBy("date", "legal_status").count().collect()
+    assert {(r.date, r.legal_status): r["count"] for r in rows} == {
+        (date(2024, 3, 5), "in suit"): 500, (date(2024, 1, 1), None): 1}

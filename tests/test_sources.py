@@ -1,8 +1,14 @@
+from datetime import date, datetime
+
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F, types as T
 
-from builders import claims_branch, fact
-from claimtide.schema import FIN_CHANGES, LRD, OUTPUT
+from builders import FOREVER, changes, claims_branch, fact, history
+from claimtide.operators.latest import latest_agency
+from claimtide.plans.emergence import emergence
+from claimtide.plans.premium import premium_branch
+from claimtide.schema import FIN_CHANGES, LEGAL_SCD, LRD, OUTPUT, output
 from claimtide.session import shared_folder
 from claimtide.sources import staged
 from claimtide.sources.tables import (
@@ -17,10 +23,10 @@ def test_missing_column_is_an_error(spark):
         conform(spark.createDataFrame([("C1",)], "claim_number string"), FIN_CHANGES)
 
 
-def test_types_are_cast_but_a_time_of_day_stays(spark):
+def test_types_are_cast_but_ids_and_a_time_of_day_stay(spark):
     rows = spark.sql("SELECT 'C1' claim_number, 1 exposure_id, timestamp_ntz'2024-01-01 10:00' date")
     kinds = [f.dataType for f in conform(rows, FIN_CHANGES).schema]
-    assert kinds == [T.StringType(), T.LongType(), T.TimestampNTZType()]
+    assert kinds == [T.StringType(), T.IntegerType(), T.TimestampNTZType()]
 
 
 def test_fact_months_become_dates(spark):
@@ -39,7 +45,52 @@ def test_expected_counts(spark, small):
         F.countDistinct("policy_reference"), F.count_if(F.col("ay_age") <= 0),
         F.count_if(F.col("ry_age") < 0), F.count_if(F.col("lob") == "BOP"),
     ).first()
-    assert tuple(row) == (6000, 3930, 780, 796, 85, 293, 790)
+    assert tuple(row) == (6000, 3930, 780, 795, 85, 293, 790)
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,6)", "double", "string"])
+def test_money_that_would_be_rounded_is_refused(spark, kind):
+    rows = fact(spark, {}).withColumn("earned_premium", F.lit("0.0040").cast(kind))
+    with pytest.raises(ValueError, match="earned_premium"):
+        conform(rows, LRD)
+
+
+def test_parts_of_a_cent_are_summed(spark):
+    rows = conform(fact(spark, *[{"earned_premium": "0.0040"}] * 3), LRD)
+    assert [str(r.earned_premium) for r in premium_branch(rows, latest_agency(rows)).collect()] == ["0.0120"]
+
+
+def test_sums_never_wrap(spark):
+    rows = fact(spark, *[{"incurred_loss": "90000000000000"}] * 11)
+    with pytest.raises(ArithmeticException):
+        claims_branch(spark, rows).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            claims_branch(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_descriptions_and_ids_keep_their_type(spark):
+    rows = conform(fact(spark, {}, {}).withColumns({
+        "paygo_indicator": F.lit("Y"), "food_and_bev_express_ind": F.lit(True), "state": F.lit(7)}), LRD)
+    fin = conform(spark.createDataFrame([("C1", "E1", date(2024, 2, 3))], "claim_number string, exposure_id string, date date"), FIN_CHANGES)
+    scd = conform(spark.createDataFrame(
+        [("E1", "in suit", datetime(2024, 1, 1), FOREVER)],
+        "exposure_id string, legal_status string, start_datetime timestamp_ntz, end_datetime timestamp_ntz"), LEGAL_SCD)
+    out = {r.claim_number: r for r in emergence(rows, fin, scd).collect()}
+    assert [(r.paygo_indicator, r.food_and_bev_express_ind, r.state) for r in out.values()] == [("Y", True, 7)] * 2
+    assert out["C1"].litigated == "Yes"
+
+
+def test_other_caps(spark):
+    rows = fact(spark, {"incurred_loss": 100, "paid_loss": 0})
+    none = history(spark), changes(spark)
+    result = emergence(rows, none[1], none[0], caps={"x": 30, "y": 1000})
+    assert result.columns == output({"x": 30, "y": 1000}).names
+    row = result.filter("claim_number = 'C1'").first()
+    assert (row.ll_x_cc, row.ll_y_cc, int(row.case_loss_on_open_capped_x)) == (1, 0, 30)
 
 
 def test_publish_parquet_replaces(spark):
@@ -58,3 +109,13 @@ def test_publish_table_replaces(spark, tmp_path):
         publish_table(result, "claims_test.monthly")
     assert bag(from_table(spark, "claims_test.monthly", OUTPUT)) == bag(result)
     spark.sql("DROP DATABASE claims_test CASCADE")
+
+
+def test_a_failing_query_leaves_what_is_published(spark):
+    path = shared_folder(spark, "test-published")
+    result = claims_branch(spark, fact(spark, {}))
+    publish_parquet(result, path)
+    broken = result.withColumn("state", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        publish_parquet(broken, path)
+    assert bag(from_parquet(spark, path, OUTPUT)) == bag(result)
