@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 Batches = Iterator[pa.RecordBatch]
@@ -21,11 +21,16 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/llm-{purpose}-{uuid.uuid4().hex}"
 
 
+def written(frame: DataFrame, compression: str = "zstd") -> DataFrameWriter:
+    """A writer with small row groups: wide binary rows would else fill a task's memory."""
+    return frame.write.option("compression", compression).option("parquet.block.size", 16 << 20)
+
+
 def stored(frame: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     """The frame as a table in the shared folder: lineage ends there and work is not repeated."""
     spark = frame.sparkSession
     path = scratch_folder(spark, purpose)
-    frame.write.option("compression", compression).parquet(path)
+    written(frame, compression).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtide.llm.common import Batches, arrow, chosen, small_batches, stored
+from claimtide.llm.common import Batches, arrow, chosen, small_batches, stored, written
 from claimtide.llm.words import WordHashes
 
 SLOTS = 1 << 16
@@ -283,8 +283,7 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     low = 32 - bits
     read = chosen(docs, doc_id="long", text="string", lang="string").withColumn("text", F.coalesce("text", F.lit("")))
     name = f"quality_packets_{uuid.uuid4().hex}"
-    read.mapInArrow(_packets(bits), _PACKET).write.bucketBy(1 << bits, "shard").option(
-        "compression", "zstd").saveAsTable(name)
+    written(read.mapInArrow(_packets(bits), _PACKET)).bucketBy(1 << bits, "shard").saveAsTable(name)
     table = spark.table(name)
     packets, blocks = table.where("shard >= 0"), table.where("shard < 0")
     rows = blocks.mapInArrow(_doc_rows, "block long, place int, doc_id long, fold int")

@@ -5,7 +5,7 @@ says which ids go on, and only those have a chunk in level 1, and so on. A rank
 (ones before each block of 512 bits) finds where an id goes on, so any id is read by itself,
 without decoding its neighbours.
 
-Documents are range-sorted by doc_id. Each partition writes segments of about a million ids:
+Documents are range-sorted by doc_id. Each partition writes segments of about half a million ids:
 records of a Parquet table, which any store that Spark reads can hold.
 """
 
@@ -20,12 +20,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimtide.llm.common import Batches, arrow, documents, running_base, scratch_folder, small_batches
+from claimtide.llm.common import Batches, arrow, documents, running_base, scratch_folder, small_batches, written
 from claimtide.llm.tokens import END_ID, encoder
 
 CHUNK_BITS = 8
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 19
 BLOCK = 512  # bits of a bitmap for each entry of the rank directory
+_FILE = "part long, place long, n_tokens long, payload binary"
 _MAGIC = b"DAC1"
 _HEAD = struct.Struct("<4sBBQ")  # magic, chunk bits, levels, ids
 _LEVEL = struct.Struct("<Q")  # chunks of a level
@@ -43,14 +44,14 @@ def _directory(bits: np.ndarray) -> np.ndarray:
 def encode_ids(ids: np.ndarray, chunk_bits: int = CHUNK_BITS) -> bytes:
     """The ids' levels: for each, its chunks (a byte or two each), bitmap and directory."""
     kind = "<u1" if chunk_bits <= 8 else "<u2"
-    left, parts, levels = ids.astype(np.uint64), [], 0
+    left, parts, levels = ids.astype(np.uint32, copy=False), [], 0
     while levels == 0 or len(left):
-        more = left >> np.uint64(chunk_bits)
-        bits = (more > 0).astype(np.uint8)
-        chunks = (left & np.uint64((1 << chunk_bits) - 1)).astype(kind)
+        more = left >> np.uint32(chunk_bits)
+        bits = more > 0
+        chunks = (left & np.uint32((1 << chunk_bits) - 1)).astype(kind)
         parts += [_LEVEL.pack(len(left)), chunks.tobytes(), np.packbits(bits, bitorder="little").tobytes(),
                   _directory(bits).tobytes()]
-        left, levels = more[bits > 0], levels + 1
+        left, levels = more[bits], levels + 1
     return b"".join([_HEAD.pack(_MAGIC, chunk_bits, levels, len(ids)), *parts])
 
 
@@ -93,13 +94,13 @@ class Codes:
 
     def all(self) -> np.ndarray:
         """Every id, from the deepest level up."""
-        above = np.zeros(0, np.uint64)
+        above = np.zeros(0, np.uint32)
         for chunks, bitmap, _ in reversed(self.levels):
             goes_on = np.unpackbits(bitmap, count=len(chunks), bitorder="little").astype(bool)
-            values = chunks.astype(np.uint64)
-            values[goes_on] |= above << np.uint64(self.chunk_bits)
+            values = chunks.astype(np.uint32)
+            values[goes_on] |= above << np.uint32(self.chunk_bits)
             above = values
-        return above.astype(np.uint32)
+        return above
 
 
 def segment(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray, chunk_bits: int = CHUNK_BITS) -> bytes:
@@ -156,8 +157,7 @@ def write_codes(frame: DataFrame, path: str, tokenizer: str, end: int = END_ID,
     """
     tie = F.xxhash64("text")
     docs = documents(frame).repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
-    docs.mapInArrow(_write(tokenizer, end, chunk_bits), "part long, place long, n_tokens long, payload binary").write.option(
-        "compression", "zstd").parquet(path)
+    written(docs.mapInArrow(_write(tokenizer, end, chunk_bits), _FILE), "snappy").parquet(path)
 
 
 def _read(base: dict[int, int]):
@@ -165,7 +165,7 @@ def _read(base: dict[int, int]):
         for batch in batches:
             for number, place, raw in zip(*(batch.column(c).to_pylist() for c in ("part", "place", "payload"))):
                 docs, sizes, codes = read_segment(raw)
-                ids, ends = codes.all().astype("<u4"), np.cumsum(sizes)
+                ids, ends = codes.all().astype("<u4", copy=False), np.cumsum(sizes)
                 yield arrow(
                     doc_id=pa.array(docs, pa.int64()), start=base[number] + place + ends - sizes, n_tokens=sizes,
                     ids_crc32=[zlib.crc32(ids[e - n:e].tobytes()) for e, n in zip(ends.tolist(), sizes.tolist())],
@@ -177,7 +177,7 @@ def _read(base: dict[int, int]):
 def read_codes(spark, path: str) -> DataFrame:
     """Per document of the files: doc_id, start (ids of all documents before it), n_tokens,
     ids_crc32 (of its ids as unsigned 32-bit little-endian integers)."""
-    files = spark.read.schema("part long, place long, n_tokens long, payload binary").parquet(path)
+    files = spark.read.schema(_FILE).parquet(path)
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()  # one row a partition
     return files.mapInArrow(_read(running_base((r.part, r.n) for r in totals)),
                             "doc_id long, start long, n_tokens long, ids_crc32 long")
