@@ -1,7 +1,7 @@
 """Packing documents into sequences along a Hilbert curve.
 
-A document's bytes are hashed into a vector, the vector is projected to four dimensions, and
-the cell it falls in gives its place on a Hilbert curve. Spark range-sorts the documents by
+A document's byte pairs are hashed into a vector, the vector is projected to four dimensions, and
+the cell it falls in gives its place on a Hilbert curve. The documents are range-sorted by
 that place, so neighbours in the order have like content; each partition is tokenized where
 it lies, and the gapless stream of ids is cut every `length` ids.
 
@@ -10,13 +10,10 @@ Only the totals of the partitions, one number each, meet on the driver.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimtide.llm.common import Batches, arrow, documents, running_base, small_batches, stored
@@ -24,20 +21,21 @@ from claimtide.llm.tokens import END_ID, encoder
 
 LENGTH = 4096
 SLOTS, DIMENSIONS, BITS, SEED = 256, 4, 10, 20
+TIE_BITS = 20
+SAMPLED = 16
 
 
 def hashed_vectors(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One row of SLOTS square-rooted, unit-length counts of hashed four-byte runs for each
-    text; `data` has the texts' bytes one after the other, `ends` where each ends."""
+    """One row of SLOTS square-rooted, unit-length counts of hashed byte pairs for each text;
+    `data` has the texts' bytes one after the other, `ends` where each ends."""
     out = np.zeros((len(ends), SLOTS))
-    if len(data) >= 4:
-        wide = data.astype(np.uint32)
-        grams = wide[:-3] | wide[1:-2] << 8 | wide[2:-1] << 16 | wide[3:] << 24
-        slot = (grams * np.uint32(2654435761)) >> np.uint32(24)
+    if len(data) >= 2:
+        pairs = data[:-1].astype(np.uint16) << np.uint16(8) | data[1:]
+        slot = (pairs * np.uint16(40503) >> np.uint16(8)).astype(np.uint8)
         begin = 0
         for k, end in enumerate(ends.tolist()):
-            if end - begin >= 4:
-                out[k] = np.bincount(slot[begin:end - 3], minlength=SLOTS)
+            if end - begin >= 2:
+                out[k] = np.bincount(slot[begin:end - 1], minlength=SLOTS)
             begin = end
     out = np.sqrt(out)
     norm = np.linalg.norm(out, axis=1, keepdims=True)
@@ -91,25 +89,43 @@ def curve_keys(texts: pa.Array) -> np.ndarray:
     return hilbert_keys(cells(hashed_vectors(data, offsets[1:] - offsets[0])))
 
 
-def _with_key(batches: Batches) -> Batches:
-    for batch in batches:
-        for part in small_batches(batch, "text", 4 << 20):
-            yield arrow(doc_id=part.column("doc_id"), text=part.column("text"),
-                        curve=curve_keys(part.column("text")))
+def _spots(borders: list[int]):
+    """A function of texts and hashes of their ids: the place on the curve, with the hash in the
+    lowest bits because copies share a place, and the part of the curve between borders."""
+
+    @F.arrow_udf("struct<spot: long, part: int>")
+    def spots(texts: pa.Array, ties: pa.Array) -> pa.Array:
+        spot = curve_keys(texts) << TIE_BITS | np.asarray(ties) & (1 << TIE_BITS) - 1
+        part = np.searchsorted(borders, spot, "right").astype(np.int32)
+        return pa.StructArray.from_arrays([pa.array(spot), pa.array(part)], ["spot", "part"])
+
+    return spots(F.col("text"), F.xxhash64("doc_id"))
+
+
+def _borders(frame: DataFrame, parts: int) -> list[int]:
+    """Borders that cut the curve into parts of about equal length of text, from one row in
+    SAMPLED, picked by a hash. They only balance the partitions; every row is packed whatever
+    they are."""
+    sample = frame.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(SAMPLED)) == 0)
+    weight = (F.octet_length("text") / 1024 + 1).cast("int")
+    spots = sample.select(_spots([]).alias("s"), weight.alias("weight")).select(
+        F.explode(F.array_repeat("s.spot", F.col("weight"))).alias("spot"))
+    shares = [k / parts for k in range(1, parts)]
+    return sorted(spots.agg(F.percentile_approx("spot", shares, 20 * parts).alias("b")).first().b or [])
 
 
 def _tokenize(path: str, end: int):
     def run(batches: Batches) -> Batches:
         number, place, coder = TaskContext.get().partitionId(), 0, encoder(path)
         for batch in batches:
-            for part in small_batches(batch, "text", 4 << 20):
+            for part in small_batches(batch, "text", 2 << 20):
                 flat, sizes = coder.encode_ended(part.column("text").to_pylist(), end)
                 flat = flat.astype(coder.dtype, copy=False)
                 ends = np.cumsum(sizes)
                 ids = [flat[e - n:e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist())]
                 yield arrow(
                     part=np.full(len(sizes), number), doc_id=part.column("doc_id"),
-                    curve=part.column("curve"), place=place + ends - sizes, n_tokens=sizes,
+                    place=place + ends - sizes, n_tokens=sizes,
                     width=np.full(len(sizes), coder.dtype().itemsize, np.int32),
                     ids=pa.array(ids, pa.binary()),
                 )
@@ -129,15 +145,15 @@ def _cut(base: dict[int, int], length: int):
                     while start < total:
                         offset = at % length
                         size = min(length - offset, total - start)
-                        piece = raw[start * width:(start + size) * width]
-                        rows.append((doc, start, size, total, at // length, offset, width, piece))
+                        piece = np.frombuffer(raw, f"<u{width}", size, start * width).astype("<u4").tobytes()
+                        rows.append((doc, start, size, total, at // length, offset, piece))
                         at, start = at + size, start + size
-                doc, start, size, total, sequence, offset, width, piece = zip(*rows)
+                doc, start, size, total, sequence, offset, piece = zip(*rows)
                 yield arrow(
                     doc_id=pa.array(doc, pa.int64()), start=pa.array(start, pa.int64()),
                     length=pa.array(size, pa.int64()), doc_tokens=pa.array(total, pa.int64()),
                     sequence_id=pa.array(sequence, pa.int64()), offset=pa.array(offset, pa.int64()),
-                    width=pa.array(width, pa.int32()), ids=pa.array(piece, pa.binary()),
+                    ids=pa.array(piece, pa.binary()),
                 )
 
     return run
@@ -146,33 +162,25 @@ def _cut(base: dict[int, int], length: int):
 def pack(frame: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END_ID) -> DataFrame:
     """Documents (doc_id, text) as pieces of sequences of `length` ids.
 
-    Columns: doc_id, start, length, doc_tokens, sequence_id, offset, width, ids. `ids` holds
-    the piece's ids, little-endian, `width` bytes each. All sequences are full but the last.
+    Columns: doc_id, start, length, doc_tokens, sequence_id, offset, ids. `ids` holds the
+    piece's ids as unsigned 32-bit little-endian integers. All sequences are full but the last.
 
     A null or empty text is just the end id. Rows that share a doc_id are packed each for
-    itself; a null doc_id stays null. Ties on the curve go by doc_id, then by a hash of the
-    text. An empty table gives no pieces; other columns are ignored.
+    itself; a null doc_id stays null. Ties on the curve go by a hash of doc_id, then by doc_id
+    and a hash of the text. An empty table gives no pieces; other columns are ignored.
     """
-    placed = documents(frame).mapInArrow(_with_key, "doc_id long, text string, curve long")
-    tie = F.xxhash64("text")
-    ordered = placed.repartitionByRange("curve", "doc_id", tie).sortWithinPartitions("curve", "doc_id", tie)
+    docs = documents(frame)
+    parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    borders = _borders(docs, parts) if parts > 1 else []
+    placed = docs.withColumn("s", _spots(borders)).select("doc_id", "text", F.col("s.spot").alias("spot"), F.col("s.part").alias("part"))
+    ordered = placed.repartitionById(parts, F.col("part")).sortWithinPartitions("spot", "doc_id", F.xxhash64("text"))
     tokens = stored(ordered.mapInArrow(
         _tokenize(tokenizer, end),
-        "part long, doc_id long, curve long, place long, n_tokens long, width int, ids binary",
+        "part long, doc_id long, place long, n_tokens long, width int, ids binary",
     ), "packing")
     totals = tokens.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()  # one row a partition
     return tokens.mapInArrow(
         _cut(running_base((r.part, r.n) for r in totals), length),
-        "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, width int, ids binary",
+        "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary",
     )
 
-
-def ids_crc32(ids: Column, width: Column) -> Column:
-    """CRC-32 of stored ids as unsigned 32-bit little-endian integers."""
-
-    @F.pandas_udf("long")
-    def checksum(raw: pd.Series, widths: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.frombuffer(r, f"<u{w}").astype("<u4").tobytes())
-                          for r, w in zip(raw, widths)], dtype="int64")
-
-    return checksum(ids, width)

@@ -48,7 +48,7 @@ def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op4_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
-        "doc_id", "start", "length", packing.ids_crc32(F.col("ids"), F.col("width")).alias("ids_crc32"),
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
         "doc_tokens", "sequence_id", "offset",
     )
 
