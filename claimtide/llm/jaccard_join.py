@@ -100,8 +100,8 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     kept, least = stored(counts, "common"), COMMON
     while kept.where(F.col("n") >= least).count() > MOST_COMMON:
         least *= 2
-    found = kept.where(F.col("n") >= least).select("item").toPandas()
-    return np.sort(found["item"].to_numpy(np.int64).view(np.uint64))
+    found = kept.where(F.col("n") >= least).select("item").toArrow()
+    return np.sort(found.column("item").to_numpy().view(np.uint64))
 
 
 def _sets(last):
@@ -210,9 +210,9 @@ def _texts(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         sets.select("uid", "doc_id", "k1", "k2"), "uid")
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
     words = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toPandas()
+        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toArrow()
     bits = np.zeros(1 << FILTER_BITS - 6, np.int64)
-    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
     @F.arrow_udf("boolean")
