@@ -21,6 +21,7 @@ from claimtide.sources.staged import stage
 HEADLINE = [
     "latest_agency", "dominant_loss_cause", "legal_flags_by_claim_month",
     "earned_exposure_incremental", "premium_branch", "claims_branch", "emergence_full",
+    "publish_roundtrip",
 ]
 RUNS = 3
 
@@ -34,7 +35,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        # A folder of its own, so that no earlier copy of the inputs is found.
+        # One machine: its own folder serves as the shared one.
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="claimtide-bench-"))
     )
     spark = builder.getOrCreate()

@@ -265,7 +265,8 @@ def _bodies() -> dict[str, str]:
             policy_start_date, policy_end_date, CAST(cumulative_days AS INTEGER)
             AS cumulative_days, {_N_SQL} FROM exposure GROUP BY ALL""",
         "earned_exposure_incremental": f"""SELECT policy_reference, transaction_month, lob,
-            coverage, {_count("sum(earned_days)")} AS earned_days FROM earning GROUP BY ALL""",
+            coverage, {_count("sum(earned_days)")} AS earned_days,
+            {_money("sum(earned_premium)")} AS earned_premium FROM earning GROUP BY ALL""",
         "scalar_dates": f"""SELECT date, {_N_SQL},
             CAST(date_trunc('month', date) AS DATE) AS month_start,
             CAST(date - INTERVAL 1 DAY AS DATE) AS day_before, last_day(date) AS month_end,

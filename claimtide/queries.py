@@ -465,11 +465,12 @@ def earned_exposure_cumulative(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def earned_exposure_incremental(t: Inputs) -> DataFrame:
-    """Earned days by policy, month and coverage; the tie order decides the coverage."""
+    """Earned days and premium by policy, month and coverage; the tie order decides the
+    coverage. Days and premium come from the same summed rows, which are shuffled once."""
     return (
         P.earning_rows(t.lrd)
         .groupBy("policy_reference", "transaction_month", "lob", "coverage")
-        .agg(F.sum("earned_days").alias("earned_days"))
+        .agg(F.sum("earned_days").alias("earned_days"), _units_total(F.col("premium"), "earned_premium"))
     )
 
 

@@ -11,6 +11,8 @@ from claimtide.operators.legal import legal_flags_by_claim_month
 from claimtide.operators.salted_join import Skew
 from claimtide.plans import claims, premium
 from claimtide.plans.emergence import emergence
+from claimtide.queries import queries
+from conftest import SMALL
 
 
 def plan_of(df) -> str:
@@ -79,6 +81,11 @@ def test_premium_sums_are_shuffled_once(small, shuffled_joins):
     assert plan.count("sum(cast((earned_premium") == 3 and "ReusedExchange" in plan
 
 
+def test_exposure_and_premium_share_one_scan(spark, shuffled_joins):
+    plan = plan_of(queries()["earned_exposure_incremental"](spark, SMALL))
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
 def test_latest_agency_hashes_the_fact(small):
     """The grouping next to the scan hashes; what is sorted after it is a few rows a policy."""
     lines = plan_of(latest_agency(small.lrd)).splitlines()
