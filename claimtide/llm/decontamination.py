@@ -242,12 +242,16 @@ def find_leaks(frame: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_leaked(frame: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents in which no test item is found, with all their columns."""
     for shard in shards(benchmark):
-        hashes = WordHashes()
-
-        @F.pandas_udf("boolean")
-        def leaked(texts: pd.Series, shard=shard, hashes=hashes) -> pd.Series:
-            return texts.fillna("").map(lambda t: bool(shard.leaks(t, hashes))).astype(bool)
-
         made = spare_name(frame, "leaked")
-        frame = frame.withColumn(made, leaked(F.col("text"))).where(~F.col(made)).drop(made)
+        frame = frame.withColumn(made, _leaked(shard)(F.col("text"))).where(~F.col(made)).drop(made)
     return frame
+
+
+def _leaked(shard: Shard):
+    hashes = WordHashes()
+
+    @F.pandas_udf("boolean")
+    def leaked(texts: pd.Series) -> pd.Series:
+        return texts.fillna("").map(lambda t: bool(shard.leaks(t, hashes))).astype(bool)
+
+    return leaked

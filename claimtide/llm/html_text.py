@@ -77,8 +77,8 @@ def _hint(tag: str, attributes: str) -> str:
                     return "tag"
                 continue
             for label in value.split():
-                words = [w.lower() for w in _WORD.findall(label)]
-                if words and words[0] not in ("has", "no", "with", "without", "is"):
+                words = [w.lower() for w in _WORD.findall(label)] + re.split(r"[^a-z0-9]+", label.lower())
+                if words[0] not in ("has", "no", "with", "without", "is"):
                     if not DROPPED_WORDS.isdisjoint(words):
                         return "label"
                     if not HEADERS.isdisjoint(words):
