@@ -31,6 +31,7 @@ FOLDS = 5
 WINDOW = 128  # characters, about: windows end with a word
 MOST_ROWS = 2500  # labelled rows of each class that the fit may read
 COMMON_WORDS = 400
+TAIL = b"0" * 48  # both dictionaries have it: zstandard stores what hardly shrinks as it is
 FILLER = 30_000  # bytes before a dictionary: zstandard sizes its tables by the dictionary
 SIZES = (4, 8, 12, 16, 24, 32, 64, 128)  # numbers of weighing words to choose from
 PREFIXES = (4, 5, 6)  # letters of a word's beginning that may weigh by itself
@@ -60,9 +61,9 @@ def windows(text: str) -> list[bytes]:
     line, out, at = plain(text), [], 0
     while at < len(line) - 1:
         end = line.find(" ", min(at + WINDOW, len(line) - 1))
-        out.append(line[at:end + 1].encode())
+        out.append(line[at:end + 1].encode() + TAIL)
         at = end
-    return out or [b" "]
+    return out or [b" " + TAIL]
 
 
 @dataclass(frozen=True)
@@ -100,10 +101,16 @@ def _features(gains: list[np.ndarray]) -> np.ndarray:
     return np.array(rows)
 
 
+def _words(text: str) -> set[str]:
+    return {w for w in plain(text).split() if len(w) > 2}
+
+
 def _units(text: str) -> set[str]:
-    """The whole words of a text and the beginnings of its words, each with its spaces."""
+    """The short words of a text and the beginnings of the others, with the space before: the end
+    of a long word would match those of many ordinary words."""
     words = set(plain(text).split())
-    return {f" {w} " for w in words if len(w) > 2} | {f" {w[:k]}" for w in words for k in PREFIXES if len(w) > k}
+    short = {f" {w} " for w in words if 2 < len(w) <= max(PREFIXES)}
+    return short | {f" {w[:k]}" for w in words for k in PREFIXES if len(w) > k}
 
 
 def _dictionaries(common: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
@@ -126,9 +133,9 @@ def _weighing(texts: list[str], labels: np.ndarray) -> tuple[list[str], list[str
         units = _units(text)
         counts[label].update(units)
         if not label:
-            words.update(u for u in units if u[-1] == " ")
+            words.update(_words(text))
     sizes = np.array([max(1, int((labels == k).sum())) for k in (0, 1)], float)
-    common = [w.strip() for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:COMMON_WORDS]]
+    common = [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:COMMON_WORDS]]
     found = list(counts[1])
     seen = np.array([[counts[0][u] for u in found], [counts[1][u] for u in found]], float).reshape(2, -1).T
     meant = seen.sum(axis=1, keepdims=True) * sizes / sizes.sum()
