@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +27,21 @@ def written(frame: DataFrame, compression: str = "zstd") -> DataFrameWriter:
     return frame.write.option("compression", compression).option("parquet.block.size", 16 << 20)
 
 
-def stored(frame: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
-    """The frame as a table in the shared folder: lineage ends there and work is not repeated."""
+def stored(frame: DataFrame, purpose: str, files: int | None = None) -> DataFrame:
+    """The frame as a table in the shared folder, of at most so many files: lineage ends there
+    and work is not repeated."""
     spark = frame.sparkSession
     path = scratch_folder(spark, purpose)
-    written(frame, compression).parquet(path)
+    written(frame.coalesce(files) if files else frame).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def kept(frame: DataFrame) -> DataFrame:
+    """The frame, computed once and kept on the executors' disks. What a lost executor kept is
+    computed again from the tables behind it."""
+    return frame.persist(StorageLevel.DISK_ONLY)
+
+
 def chosen(frame: DataFrame, **columns: str) -> DataFrame:
     """Just the named columns, typed; all other columns, whatever their names, are left behind."""
     return frame.select(*(F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimtide.llm.common import Batches, arrow, documents, per_batch, small_batches, spare_name, stored
+from claimtide.llm.common import Batches, arrow, documents, kept, per_batch, small_batches, spare_name, stored
 from claimtide.llm.words import WordHashes, runs
 
 SHINGLE = 4
@@ -33,9 +33,11 @@ SHARE = 85  # percent of the union that two linked sets have in common at least
 COMMON = 64  # documents from which on a shingle comes last in the order, and in tiles
 MOST_COMMON = 1 << 20  # shingles that may come last; more documents are asked for beyond
 TILE = 2048
+EDGES_A_FILE = 1 << 20
 BEST = 3  # pairs of a set that the first round checks
 FILTER_BITS = 26  # of the filter that fetches texts; a full filter lets all texts pass
 _BAND = math.log(100 / SHARE)
+HASHES = WordHashes(200_000)  # of a Python worker, which keeps it from task to task
 
 
 def shingles(text: str, hashes: WordHashes) -> np.ndarray:
@@ -86,8 +88,8 @@ def _key(items: np.ndarray) -> tuple[int, int]:
 
 
 def _prefix_counts(batch: pa.RecordBatch) -> pa.RecordBatch:
-    hashes, nothing = WordHashes(), np.zeros(0, np.uint64)
-    found = [prefix(shingles(t, hashes), nothing) for t in batch.column("text").to_pylist()]
+    nothing = np.zeros(0, np.uint64)
+    found = [prefix(shingles(t, HASHES), nothing) for t in batch.column("text").to_pylist()]
     items, count = np.unique(np.concatenate([nothing, *found]), return_counts=True)
     return arrow(item=items.view(np.int64), n=count)
 
@@ -97,10 +99,11 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     documents; the number of documents doubles until there are at most MOST_COMMON."""
     counts = docs.select("text").mapInArrow(per_batch(_prefix_counts), "item long, n long").groupBy("item").agg(
         F.sum("n").alias("n")).where(F.col("n") >= COMMON)
-    kept, least = stored(counts, "common"), COMMON
-    while kept.where(F.col("n") >= least).count() > MOST_COMMON:
+    leading, least = kept(counts), COMMON
+    while leading.where(F.col("n") >= least).count() > MOST_COMMON:
         least *= 2
-    found = kept.where(F.col("n") >= least).select("item").toArrow()
+    found = leading.where(F.col("n") >= least).select("item").toArrow()
+    leading.unpersist()
     return np.sort(found.column("item").to_numpy().view(np.uint64))
 
 
@@ -108,8 +111,7 @@ def _sets(last):
     """Per document: the key of its set, the set's size, bitmap and prefix."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes = WordHashes()
-        found = [shingles(t, hashes) for t in batch.column("text").to_pylist()]
+        found = [shingles(t, HASHES) for t in batch.column("text").to_pylist()]
         keys = [_key(s) for s in found]
         return arrow(
             doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), k1=pa.array([k for k, _ in keys], pa.int64()),
@@ -221,21 +223,19 @@ def _texts(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return pa.array(np.frombuffer(shared.value, np.int64)[at >> 6] >> (at & 63) & 1 == 1)
 
     near = docs.where(may(slot)).join(wanted.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
-    return near.mapInArrow(_right_text, "uid long, text string").dropDuplicates(["uid"])
+    return kept(near.mapInArrow(_right_text, "uid long, text string").dropDuplicates(["uid"]))
 
 
 def _right_text(batches: Batches) -> Batches:
     """Rows whose text has the wanted set: an id may stand for several texts."""
-    hashes = WordHashes()
     for batch in batches:
         for part in small_batches(batch, "text", 4 << 20):
             rows = list(zip(*(part.column(c).to_pylist() for c in ("uid", "k1", "k2", "text"))))
-            own = [r for r in rows if _key(shingles(r[3], hashes)) == (r[1], r[2])]
+            own = [r for r in rows if _key(shingles(r[3], HASHES)) == (r[1], r[2])]
             yield arrow(uid=pa.array([r[0] for r in own], pa.int64()), text=pa.array([r[3] for r in own], pa.string()))
 
 
 def _checked(batches: Batches) -> Batches:
-    hashes = WordHashes()
     for batch in batches:
         for part in small_batches(batch, "text", 4 << 20):
             rows = zip(*(part.column(c).to_pylist() for c in ("a", "b", "text", "other")))
@@ -244,7 +244,7 @@ def _checked(batches: Batches) -> Batches:
             for a, b, text, other in rows:
                 for uid, words in ((a, text), (b, other)):
                     if uid not in sets:
-                        sets[uid] = shingles(words, hashes)
+                        sets[uid] = shingles(words, HASHES)
                 if linked(sets[a], sets[b]):
                     own.append((a, b))
             yield arrow(a=pa.array([a for a, _ in own], pa.int64()), b=pa.array([b for _, b in own], pa.int64()))
@@ -252,19 +252,24 @@ def _checked(batches: Batches) -> Batches:
 
 def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that link, by exact intersection."""
-    texts = stored(_texts(docs, pairs, sets), "texts")
+    texts = _texts(docs, pairs, sets)
     both = pairs.select("a", "b").join(texts.withColumnRenamed("uid", "a"), "a").join(
         texts.select(F.col("uid").alias("b"), F.col("text").alias("other")), "b")
-    return stored(both.mapInArrow(_checked, "a long, b long"), "links")
+    return both.mapInArrow(_checked, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(uid, grp): the smallest uid that each uid of the edges (a, b) reaches, by turns of
-    large and small stars until nothing changes."""
-    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars")
-    state = None
+    large and small stars until nothing changes. Each turn's edges are a table of files of up
+    to EDGES_A_FILE edges; there are never more edges than at first."""
+    first = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    edges, state, files = kept(first), None, None
     while True:
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        files = files or 1 + now.n // EDGES_A_FILE
+        if state is None:
+            edges, memory = stored(edges, "stars", files), edges
+            memory.unpersist()
         if now == state or not now.n:
             return edges.groupBy("a").agg(F.min("b").alias("grp")).withColumnRenamed("a", "uid").unionByName(
                 edges.select(F.col("b").alias("uid"), F.col("b").alias("grp")).distinct().join(
@@ -275,7 +280,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), "stars")
+        edges = stored(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), "stars", files)
 
 
 def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -286,27 +291,29 @@ def groups_of_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(uid, grp) of the sets (uid, doc_id, k1, k2, n, bits, lead) that link with others."""
     lead = sets.mapInArrow(_leading, "item long, uid long, n long").withColumn("h", F.xxhash64("uid", "item"))
     counts = lead.groupBy("item").agg(F.count("*").alias("df"), F.min("h").alias("least")).where("df > 1")
-    rows = stored(lead.join(counts, "item").select("item", "uid", "n", "df", (F.col("h") == F.col("least")).alias("picked")), "lead")
+    rows = kept(lead.join(counts, "item").select("item", "uid", "n", "df", (F.col("h") == F.col("least")).alias("picked")))
     picked = rows.where("picked").select("item", F.col("uid").alias("other"), F.col("n").alias("m"))
     first = rows.join(picked, "item").where((F.col("uid") != F.col("other")) & _sizes_fit(F.col("n"), F.col("m"))).select(
         F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b")).distinct()
-    first = stored(_passing(first, sets), "first")
-    links = _links(docs, _likeliest(first), sets)
-    groups = stored(components(links), "groups")
+    first = kept(_passing(first, sets))
+    links = kept(_links(docs, _likeliest(first), sets))
+    groups = components(links)
     # The second round: only shingles whose sets lie in several groups still matter.
-    now = stored(_grouped(rows.drop("picked"), groups), "rows")
+    now = _grouped(rows.drop("picked"), groups)
     open_ = now.groupBy("item").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("item")
-    left = stored(now.join(open_, "item"), "open")
+    left = kept(now.join(open_, "item"))
     few = left.where(F.col("df") <= COMMON).select("item", "uid", "n", "grp")
     other = few.select("item", F.col("uid").alias("uid2"), F.col("n").alias("n2"), F.col("grp").alias("grp2"))
     joined = few.join(other, "item").where((F.col("uid") < F.col("uid2")) & (F.col("grp") != F.col("grp2"))
                                            & _sizes_fit(F.col("n"), F.col("n2"))).select(
         F.col("uid").alias("a"), F.col("uid2").alias("b")).distinct()
     second = _passing(joined, sets).select("a", "b").unionByName(_tiled(left.where(F.col("df") > COMMON), sets)).distinct()
-    second = stored(second, "second")
-    if second.isEmpty():
-        return groups
-    return components(links.unionByName(_links(docs, second, sets)))
+    second = kept(second)
+    if not second.isEmpty():
+        groups = components(links.unionByName(_links(docs, second, sets)))
+    for done in (rows, first, links, left, second):
+        done.unpersist()
+    return groups
 
 
 def join_documents(frame: DataFrame) -> DataFrame:
@@ -329,7 +336,7 @@ def _rows(frame: DataFrame) -> DataFrame:
     last = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
     kinds = "doc_id long, text_hash long, k1 long, k2 long, n long, bits binary, lead binary"
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    all_rows = stored(hashed.mapInArrow(per_batch(_sets(last)), kinds), "sets")
+    all_rows = kept(hashed.mapInArrow(per_batch(_sets(last)), kinds))
     worded = all_rows.where("n > 0")
     ids = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
     one = worded.select("k1", "k2", "n", "bits", "lead").dropDuplicates(["k1", "k2"]).join(ids, ["k1", "k2"])
