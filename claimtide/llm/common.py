@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,12 +35,6 @@ def stored(frame: DataFrame, purpose: str, files: int | None = None) -> DataFram
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def kept(frame: DataFrame) -> DataFrame:
-    """The frame, computed once and kept on the executors' disks. What a lost executor kept is
-    computed again from the tables behind it."""
-    return frame.persist(StorageLevel.DISK_ONLY)
-
-
 def chosen(frame: DataFrame, **columns: str) -> DataFrame:
     """Just the named columns, typed; all other columns, whatever their names, are left behind."""
     return frame.select(*(F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()))

@@ -6,7 +6,7 @@ with shingles of many documents last, so passages that many share make no candid
 set has a parity bitmap whose width follows its size: the bits in which two bitmaps differ are
 a lower bound of the elements in which the sets do, and so bound the overlap from above.
 
-Candidates come in two rounds. First each set meets, for every shingle of its prefix, one set
+Candidates come in two rounds. First each set meets, for every shingle of its prefix, two sets
 picked for that shingle; the likeliest pairs are checked, and this joins nearly all of a large
 group of copies at a cost in proportion to its size. Then sets that still lie in different
 groups are compared: by a join for shingles of few sets, in tiles for others. A tile holds a
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimtide.llm.common import Batches, arrow, documents, kept, per_batch, small_batches, spare_name, stored
+from claimtide.llm.common import Batches, arrow, documents, per_batch, small_batches, spare_name, stored
 from claimtide.llm.words import WordHashes, runs
 
 SHINGLE = 4
@@ -34,6 +34,7 @@ COMMON = 64  # documents from which on a shingle comes last in the order, and in
 MOST_COMMON = 1 << 20  # shingles that may come last; more documents are asked for beyond
 TILE = 2048
 EDGES_A_FILE = 1 << 20
+SKETCH = 128
 BEST = 3  # pairs of a set that the first round checks
 FILTER_BITS = 26  # of the filter that fetches texts; a full filter lets all texts pass
 _BAND = math.log(100 / SHARE)
@@ -56,9 +57,19 @@ def prefix(items: np.ndarray, last: np.ndarray) -> np.ndarray:
     return items[:size]
 
 
+def common_share(items: np.ndarray, last: np.ndarray) -> int:
+    """In how many thousandths a set consists of common shingles, by its SKETCH smallest
+    hashes. It only picks whom others meet first."""
+    few = items[:SKETCH]
+    if not len(last) or not len(few):
+        return 0
+    at = np.minimum(np.searchsorted(last, few), len(last) - 1)
+    return 1000 * int((last[at] == few).sum()) // len(few)
+
+
 def bitmap(items: np.ndarray) -> np.ndarray:
-    """Parities of hashed elements, in a power of two of bits that is at least the size."""
-    bits = max(64, 1 << max(0, len(items) - 1).bit_length())
+    """Parities of hashed elements, in a power of two of bits that is at least twice the size."""
+    bits = max(64, 1 << max(0, 2 * len(items) - 1).bit_length())
     odd = np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
 
@@ -87,6 +98,17 @@ def _key(items: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
+def _table(frame: DataFrame, purpose: str) -> DataFrame:
+    """A stored table of few files: each costs an executor several processes in some file
+    systems, and these tables are much smaller than what is shuffled for them."""
+    return stored(frame, purpose, _few(frame))
+
+
+def _few(frame: DataFrame) -> int:
+    """An eighth as many as shuffle partitions."""
+    return max(1, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
 def _prefix_counts(batch: pa.RecordBatch) -> pa.RecordBatch:
     nothing = np.zeros(0, np.uint64)
     found = [prefix(shingles(t, HASHES), nothing) for t in batch.column("text").to_pylist()]
@@ -99,16 +121,15 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     documents; the number of documents doubles until there are at most MOST_COMMON."""
     counts = docs.select("text").mapInArrow(per_batch(_prefix_counts), "item long, n long").groupBy("item").agg(
         F.sum("n").alias("n")).where(F.col("n") >= COMMON)
-    leading, least = kept(counts), COMMON
+    leading, least = _table(counts, "common"), COMMON
     while leading.where(F.col("n") >= least).count() > MOST_COMMON:
         least *= 2
     found = leading.where(F.col("n") >= least).select("item").toArrow()
-    leading.unpersist()
     return np.sort(found.column("item").to_numpy().view(np.uint64))
 
 
 def _sets(last):
-    """Per document: the key of its set, the set's size, bitmap and prefix."""
+    """Per document: the key of its set, the set's size, bitmap, prefix and common share."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingles(t, HASHES) for t in batch.column("text").to_pylist()]
@@ -118,6 +139,7 @@ def _sets(last):
             k2=pa.array([k for _, k in keys], pa.int64()), n=pa.array([len(s) for s in found], pa.int64()),
             bits=pa.array([bitmap(s).tobytes() for s in found], pa.binary()),
             lead=pa.array([prefix(s, last.value).tobytes() for s in found], pa.binary()),
+            shared=pa.array([common_share(s, last.value) for s in found], pa.int64()),
         )
 
     return run
@@ -130,7 +152,8 @@ def _leading(batches: Batches) -> Batches:
             lead = [np.frombuffer(raw, np.int64) for raw in part.column("lead").to_pylist()]
             size = [len(x) for x in lead]
             yield arrow(item=np.concatenate(lead), uid=np.repeat(np.asarray(part.column("uid")), size),
-                        n=np.repeat(np.asarray(part.column("n")), size))
+                        n=np.repeat(np.asarray(part.column("n")), size),
+                        shared=np.repeat(np.asarray(part.column("shared")), size))
 
 
 def _sizes_fit(n: Column, m: Column) -> Column:
@@ -160,12 +183,19 @@ def _passing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         "a", "b", (F.col("apart") / (F.col("na") + F.col("nb"))).alias("far"))
 
 
+def _first_common(a: np.ndarray, b: np.ndarray) -> int:
+    return int(np.intersect1d(a, b, assume_unique=True)[0])
+
+
 def _tile(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Pairs of a tile that lie in different groups and whose sizes and bitmaps allow a link.
-    Sets on the left are of the tile's band; on the right are these too, and the next band's."""
+    """Pairs of a tile that lie in different groups and whose sizes and bitmaps allow a link, in
+    the tile of the first shingle that their prefixes share. Sets on the left are of the tile's
+    band; on the right are these too, and the next band's."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
     if left.num_rows and right.num_rows:
         own, other = ([np.asarray(t.column(c)) for c in ("uid", "n", "grp", "band")] for t in (left, right))
+        item = left.column("item")[0].as_py()
+        leads = [[np.frombuffer(raw, np.int64) for raw in t.column("lead").to_pylist()] for t in (left, right)]
         maps = [[np.frombuffer(raw, "<u8") for raw in t.column("bits").to_pylist()] for t in (left, right)]
         words = min(len(m) for side in maps for m in side)
         bits = [np.stack([folded(m, words) for m in side]) for side in maps]
@@ -175,6 +205,7 @@ def _tile(left: pa.Table, right: pa.Table) -> pa.Table:
             at = np.flatnonzero(fits)
             apart = np.bitwise_count(bits[0][k] ^ bits[1][at]).sum(axis=1, dtype=np.int64)
             at = at[may_link(apart, own[1][k] + other[1][at])]
+            at = at[[_first_common(leads[0][k], leads[1][j]) == item for j in at.tolist()]] if len(at) else at
             found.append((np.minimum(own[0][k], other[0][at]), np.maximum(own[0][k], other[0][at])))
     a, b = (np.concatenate([f[s] for f in found] + [np.zeros(0, np.int64)]) for s in (0, 1))
     return pa.table({"a": a, "b": b})
@@ -183,11 +214,11 @@ def _tile(left: pa.Table, right: pa.Table) -> pa.Table:
 def _tiled(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Candidate pairs from the shingles of many sets: rows (item, uid, n, grp, df)."""
     blocks = F.ceil(F.col("df") / TILE).cast("int")
-    base = rows.join(sets.select("uid", "bits"), "uid").withColumn(
+    base = rows.join(sets.select("uid", "bits", "lead"), "uid").withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / _BAND).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("uid"), blocks).cast("int")).withColumn(
         "others", F.sequence(F.lit(0), blocks - 1))
-    keep = ("uid", "n", "grp", "bits", "band")
+    keep = ("uid", "n", "grp", "bits", "lead", "band")
     left = base.select("item", F.col("band").alias("tile"), F.col("block").alias("i"), F.explode("others").alias("j"), *keep)
     right = base.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") - 1))).select(
         "item", "tile", F.explode("others").alias("i"), F.col("block").alias("j"), *keep)
@@ -223,7 +254,7 @@ def _texts(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return pa.array(np.frombuffer(shared.value, np.int64)[at >> 6] >> (at & 63) & 1 == 1)
 
     near = docs.where(may(slot)).join(wanted.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
-    return kept(near.mapInArrow(_right_text, "uid long, text string").dropDuplicates(["uid"]))
+    return _table(near.mapInArrow(_right_text, "uid long, text string").dropDuplicates(["uid"]), "texts")
 
 
 def _right_text(batches: Batches) -> Batches:
@@ -263,13 +294,10 @@ def components(edges: DataFrame) -> DataFrame:
     large and small stars until nothing changes. Each turn's edges are a table of files of up
     to EDGES_A_FILE edges; there are never more edges than at first."""
     first = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges, state, files = kept(first), None, None
+    edges, state, files = _table(first, "stars"), None, None
     while True:
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         files = files or 1 + now.n // EDGES_A_FILE
-        if state is None:
-            edges, memory = stored(edges, "stars", files), edges
-            memory.unpersist()
         if now == state or not now.n:
             return edges.groupBy("a").agg(F.min("b").alias("grp")).withColumnRenamed("a", "uid").unionByName(
                 edges.select(F.col("b").alias("uid"), F.col("b").alias("grp")).distinct().join(
@@ -288,32 +316,38 @@ def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def groups_of_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(uid, grp) of the sets (uid, doc_id, k1, k2, n, bits, lead) that link with others."""
-    lead = sets.mapInArrow(_leading, "item long, uid long, n long").withColumn("h", F.xxhash64("uid", "item"))
-    counts = lead.groupBy("item").agg(F.count("*").alias("df"), F.min("h").alias("least")).where("df > 1")
-    rows = kept(lead.join(counts, "item").select("item", "uid", "n", "df", (F.col("h") == F.col("least")).alias("picked")))
+    """(uid, grp) of the sets (uid, doc_id, k1, k2, n, bits, lead, shared) that link with others.
+
+    For each shingle two sets are picked that all others of it meet: the one that consists of
+    common shingles the most, which in a large group of copies is the one with the fewest
+    changes, and a random one.
+    """
+    lead = sets.mapInArrow(_leading, "item long, uid long, n long, shared long").select(
+        "item", "uid", "n", F.xxhash64("uid", "item").alias("h"),
+        (F.shiftleft(1000 - F.col("shared"), 40) + F.pmod(F.xxhash64("uid"), F.lit(1 << 40))).alias("far"))
+    counts = lead.groupBy("item").agg(F.count("*").alias("df"), F.min("h").alias("h0"), F.min("far").alias("far0")).where("df > 1")
+    rows = _table(lead.join(counts, "item").select(
+        "item", "uid", "n", "df", F.expr("h = h0 OR far = far0").alias("picked")), "lead")
     picked = rows.where("picked").select("item", F.col("uid").alias("other"), F.col("n").alias("m"))
     first = rows.join(picked, "item").where((F.col("uid") != F.col("other")) & _sizes_fit(F.col("n"), F.col("m"))).select(
         F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b")).distinct()
-    first = kept(_passing(first, sets))
-    links = kept(_links(docs, _likeliest(first), sets))
+    first = _table(_passing(first, sets), "first")
+    links = _table(_links(docs, _likeliest(first), sets), "links")
     groups = components(links)
     # The second round: only shingles whose sets lie in several groups still matter.
     now = _grouped(rows.drop("picked"), groups)
     open_ = now.groupBy("item").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("item")
-    left = kept(now.join(open_, "item"))
+    left = _table(now.join(open_, "item"), "open")
     few = left.where(F.col("df") <= COMMON).select("item", "uid", "n", "grp")
     other = few.select("item", F.col("uid").alias("uid2"), F.col("n").alias("n2"), F.col("grp").alias("grp2"))
     joined = few.join(other, "item").where((F.col("uid") < F.col("uid2")) & (F.col("grp") != F.col("grp2"))
                                            & _sizes_fit(F.col("n"), F.col("n2"))).select(
         F.col("uid").alias("a"), F.col("uid2").alias("b")).distinct()
     second = _passing(joined, sets).select("a", "b").unionByName(_tiled(left.where(F.col("df") > COMMON), sets)).distinct()
-    second = kept(second)
-    if not second.isEmpty():
-        groups = components(links.unionByName(_links(docs, second, sets)))
-    for done in (rows, first, links, left, second):
-        done.unpersist()
-    return groups
+    second = _table(second, "second")
+    if second.isEmpty():
+        return groups
+    return components(links.unionByName(_links(docs, second, sets)))
 
 
 def join_documents(frame: DataFrame) -> DataFrame:
@@ -327,20 +361,20 @@ def join_documents(frame: DataFrame) -> DataFrame:
     """
     rows = _rows(frame)
     return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(
-        F.col("doc_id")).alias("component_id"))
+        F.col("doc_id")).alias("component_id")).coalesce(_few(frame))
 
 
 def _rows(frame: DataFrame) -> DataFrame:
     """As join_documents, with the group and a hash of the text."""
     docs = documents(frame)
     last = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
-    kinds = "doc_id long, text_hash long, k1 long, k2 long, n long, bits binary, lead binary"
+    kinds = "doc_id long, text_hash long, k1 long, k2 long, n long, bits binary, lead binary, shared long"
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    all_rows = kept(hashed.mapInArrow(per_batch(_sets(last)), kinds))
+    all_rows = stored(hashed.mapInArrow(per_batch(_sets(last)), kinds), "sets")
     worded = all_rows.where("n > 0")
     ids = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
-    one = worded.select("k1", "k2", "n", "bits", "lead").dropDuplicates(["k1", "k2"]).join(ids, ["k1", "k2"])
-    sets = stored(one.withColumn("uid", F.monotonically_increasing_id()), "classes")
+    one = worded.select("k1", "k2", "n", "bits", "lead", "shared").dropDuplicates(["k1", "k2"]).join(ids, ["k1", "k2"])
+    sets = _table(one.withColumn("uid", F.monotonically_increasing_id()), "classes")
     named = _grouped(sets.select("uid", "k1", "k2", "doc_id"), groups_of_sets(docs, sets))
     smallest = named.groupBy("grp").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "grp").select("k1", "k2", "grp", "component_id")
