@@ -27,11 +27,11 @@ def written(frame: DataFrame, compression: str = "zstd") -> DataFrameWriter:
 
 
 def stored(frame: DataFrame, purpose: str, files: int | None = None) -> DataFrame:
-    """The frame as a table in the shared folder, of at most so many files: lineage ends there
-    and work is not repeated."""
+    """The frame as a table in the shared folder, of so many files if they are given: lineage
+    ends there and work is not repeated."""
     spark = frame.sparkSession
     path = scratch_folder(spark, purpose)
-    written(frame.coalesce(files) if files else frame).parquet(path)
+    written(frame.repartition(files) if files else frame).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -361,7 +361,7 @@ def join_documents(frame: DataFrame) -> DataFrame:
     """
     rows = _rows(frame)
     return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(
-        F.col("doc_id")).alias("component_id")).coalesce(_few(frame))
+        F.col("doc_id")).alias("component_id")).repartition(_few(frame))
 
 
 def _rows(frame: DataFrame) -> DataFrame:
@@ -374,7 +374,9 @@ def _rows(frame: DataFrame) -> DataFrame:
     worded = all_rows.where("n > 0")
     ids = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
     one = worded.select("k1", "k2", "n", "bits", "lead", "shared").dropDuplicates(["k1", "k2"]).join(ids, ["k1", "k2"])
-    sets = _table(one.withColumn("uid", F.monotonically_increasing_id()), "classes")
+    # Numbered where they are written: a task that runs again numbers its rows alike or anew, but
+    # only what it commits is ever read.
+    sets = stored(one.repartition(_few(frame)).withColumn("uid", F.monotonically_increasing_id()), "classes")
     named = _grouped(sets.select("uid", "k1", "k2", "doc_id"), groups_of_sets(docs, sets))
     smallest = named.groupBy("grp").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "grp").select("k1", "k2", "grp", "component_id")
