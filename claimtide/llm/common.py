@@ -6,12 +6,24 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 Batches = Iterator[pa.RecordBatch]
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_session(spark: SparkSession) -> SparkSession:
+    """The session, set to send tasks' Python 1,000 rows at a time unless it says otherwise: the
+    default of 10,000 texts would take tens of megabytes on either side. For applications, such
+    as the registered queries and the pipeline; the operators leave their session alone."""
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
+    return spark
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared one that the session names.
 
@@ -72,7 +84,7 @@ def small_batches(batch: pa.RecordBatch, column: str, most_chars: int) -> Iterat
 
 
 def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text",
-              most_chars: int = 4 << 20) -> Callable[[Batches], Batches]:
+              most_chars: int = 2 << 20) -> Callable[[Batches], Batches]:
     """A function for mapInArrow that gives `work` parts of bounded size."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Batches:
@@ -91,11 +103,6 @@ def arrow(**columns) -> pa.RecordBatch:
     )
 
 
-def joined_spans(spans: Iterable[tuple[int, int, int, str]]) -> str:
-    """`kind:start:end`, comma-joined, from (start, order of the kind, end, kind)."""
-    return ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in sorted(spans))
-
-
 def running_base(rows: Iterable[tuple[int, int]]) -> dict[int, int]:
     """Partition number -> how much lies in the partitions before it."""
     base, total = {}, 0
@@ -104,6 +111,3 @@ def running_base(rows: Iterable[tuple[int, int]]) -> dict[int, int]:
         total += amount
     return base
 
-
-def bytes_of(column: Column) -> Column:
-    return F.octet_length(column)

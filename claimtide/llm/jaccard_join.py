@@ -38,7 +38,7 @@ SKETCH = 128
 BEST = 3  # pairs of a set that the first round checks
 FILTER_BITS = 26  # of the filter that fetches texts; a full filter lets all texts pass
 _BAND = math.log(100 / SHARE)
-HASHES = WordHashes(200_000)  # of a Python worker, which keeps it from task to task
+HASHES = WordHashes()  # of a Python worker, which keeps it from task to task
 
 
 def shingles(text: str, hashes: WordHashes) -> np.ndarray:
@@ -148,7 +148,7 @@ def _sets(last):
 def _leading(batches: Batches) -> Batches:
     """A row for each element of each set's prefix."""
     for batch in batches:
-        for part in small_batches(batch, "lead", 4 << 20):
+        for part in small_batches(batch, "lead", 1 << 20):
             lead = [np.frombuffer(raw, np.int64) for raw in part.column("lead").to_pylist()]
             size = [len(x) for x in lead]
             yield arrow(item=np.concatenate(lead), uid=np.repeat(np.asarray(part.column("uid")), size),

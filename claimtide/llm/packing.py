@@ -23,6 +23,7 @@ LENGTH = 4096
 SLOTS, DIMENSIONS, BITS, SEED = 256, 4, 10, 20
 TIE_BITS = 20
 SAMPLED = 16
+MOST_PIECES = 120_000  # of the tokenizer that a worker remembers
 
 
 def hashed_vectors(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -116,7 +117,7 @@ def _borders(frame: DataFrame, parts: int) -> list[int]:
 
 def _tokenize(path: str, end: int):
     def run(batches: Batches) -> Batches:
-        number, place, coder = TaskContext.get().partitionId(), 0, encoder(path)
+        number, place, coder = TaskContext.get().partitionId(), 0, encoder(path, MOST_PIECES)
         for batch in batches:
             for part in small_batches(batch, "text", 2 << 20):
                 flat, sizes = coder.encode_ended(part.column("text").to_pylist(), end)

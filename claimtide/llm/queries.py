@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from claimtide.llm import (
     decontamination, html_text, jaccard_join, neighbours, packing, personal_data, quality_lm, secret_scan, token_codes, toxicity,
 )
+from claimtide.llm.common import text_session
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return text_session(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def _joined(spans):

@@ -135,11 +135,12 @@ class Encoder:
         return out, lengths + 1
 
 
-_KEPT: dict[str, Encoder] = {}
+_KEPT: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, most_pieces: int = 250_000) -> Encoder:
     """The worker's encoder for a vocabulary file, shared by the tasks that it runs."""
-    if path not in _KEPT:
-        _KEPT[path] = Encoder(path)
-    return _KEPT[path]
+    key = path, most_pieces
+    if key not in _KEPT:
+        _KEPT[key] = Encoder(path, most_pieces)
+    return _KEPT[key]

@@ -11,7 +11,7 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """Word (bytes) -> hash, remembered up to a bounded number of words."""
 
-    def __init__(self, most: int = 500_000) -> None:
+    def __init__(self, most: int = 100_000) -> None:
         super().__init__()
         self.most = most
 
