@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimtide.llm import decontamination, jaccard_join, packing, personal_data, toxicity
-from claimtide.llm.common import stored
+from claimtide.llm.common import stored, text_session
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labels of these documents, accepts."""
+    text_session(spark)
     return toxicity.drop_toxic(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
