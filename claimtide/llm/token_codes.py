@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ from claimtide.llm.tokens import END_ID, encoder
 
 CHUNK_BITS = 8
 SEGMENT_IDS = 1 << 19
+GATHERED = 6 << 20
 BLOCK = 512  # bits of a bitmap for each entry of the rank directory
 _FILE = "part long, place long, n_tokens long, payload binary"
 _MAGIC = b"DAC1"
@@ -119,6 +121,24 @@ def read_segment(raw: bytes) -> tuple[list[int | None], np.ndarray, Codes]:
     return [int(d) if k else None for d, k in zip(table, known)], sizes, Codes(raw[8 + 17 * n:])
 
 
+def _gathered(batches: Batches) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Ids and texts of about GATHERED characters: small batches would cost the encoder more."""
+    ids: list[int | None] = []
+    texts: list[str] = []
+    held = 0
+    for batch in batches:
+        for part in small_batches(batch, "text", 2 << 20):
+            ids += part.column("doc_id").to_pylist()
+            new = part.column("text").to_pylist()
+            texts += new
+            held += sum(map(len, new))
+            if held >= GATHERED:
+                yield ids, texts
+                ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def _write(path: str, end: int, chunk_bits: int):
     def run(batches: Batches) -> Batches:
         number, coder = TaskContext.get().partitionId(), encoder(path)
@@ -131,15 +151,14 @@ def _write(path: str, end: int, chunk_bits: int):
             docs, sizes, flats, held, place = [], [], [], 0, place + held
             return made
 
-        for batch in batches:
-            for part in small_batches(batch, "text", 2 << 20):
-                flat, size = coder.encode_ended(part.column("text").to_pylist(), end)
-                docs += part.column("doc_id").to_pylist()
-                sizes.append(size)
-                flats.append(flat)
-                held += len(flat)
-                if held >= SEGMENT_IDS:
-                    yield flush()
+        for ids, texts in _gathered(batches):
+            flat, size = coder.encode_ended(texts, end)
+            docs += ids
+            sizes.append(size)
+            flats.append(flat)
+            held += len(flat)
+            if held >= SEGMENT_IDS:
+                yield flush()
         if docs:
             yield flush()
 
