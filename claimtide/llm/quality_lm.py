@@ -1,15 +1,17 @@
 """Quality by the perplexity of a Kneser-Ney model of trusted text.
 
-The model is an interpolated modified Kneser-Ney bigram model. A word is its hash in one of
-65,535 slots, so what is kept per word is bounded, and a pair of slots has 32 bits, which a
-bijection spreads evenly over shards. Documents are cut into blocks; each block sends every
-shard the distinct pairs of its documents with their counts, as packed integers. The packets
+The model is an interpolated modified Kneser-Ney bigram model. A word is its 64-bit hash and a
+pair of words both hashes, so neither words nor pairs are merged. Pairs are dealt evenly over
+shards by a hash of both. Documents are cut into blocks; each block sends every shard the
+distinct pairs of its documents with their counts, as packed places in a list of the packet's words. The packets
 are a table bucketed by shard: reading it shard by shard, once to count and once to score,
 shuffles nothing.
 
-A shard counts the pairs of its trusted documents. What the model needs per slot is summed over
-the shards. Then each shard joins its packets with its counts and returns a partial
-log-probability per document; these are added up.
+A shard counts the pairs of its trusted documents. What the model needs per word is a table too,
+dealt by word: each shard sends its words with what it has counted of them, and gets the
+sums over all shards back for these words. Only sums over all words go through the driver. Then each shard
+joins its packets with its counts and returns a partial log-probability per document; these are
+added up.
 
 Trusted text is split in two folds by a hash of the text, and a document is scored with the
 counts of the other fold, so none is judged by counts it is part of. A document is kept if
@@ -30,24 +32,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimtide.llm.common import Batches, arrow, chosen, small_batches, stored, written
-from claimtide.llm.words import WordHashes
+from claimtide.llm.words import WordHashes, mixed
 
-SLOTS = 1 << 16
-SLICES = 64  # of the slots, for summing
+SLOTS = 1 << 32  # words that the uniform part of the model allows for, more than a corpus has
 QUANTILE = 0.98
 MOST_DOCS = 10_000  # of a block
 LEAST_SHARDS = 64
-_ODD = np.uint32(2654435769)
-_BACK = np.uint32(pow(2654435769, -1, 1 << 32))
-_PACKET = ("shard int, block long, docs binary, sizes binary, pairs binary, repeated binary, repeats binary, "
+_PACKET = ("shard int, block long, docs binary, sizes binary, words binary, pairs binary, repeated binary, repeats binary, "
            "langs array<string>")
-_STAT_ROWS = 5  # total, N1, N2, N3+, continuations
+_SUMS = "slice int, shard int, words binary, stats binary, sums array<double>"
+_ANSWER = "shard int, slice int, stats binary, sums array<double>"
+_STAT_ROWS = 5  # of a word in each fold: total, N1, N2, N3+ as first word, continuations as second
 
 
 def slots_of(text: str, hashes: WordHashes) -> np.ndarray:
-    """The words of a text (as they are, between white space) as slots from 1 on."""
-    own = text.encode().split()
-    return (hashes.of(own) % np.uint64(SLOTS - 1)).astype(np.uint32) + np.uint32(1)
+    """The words of a text (as they are, between white space) as hashes from 1 on; 0 stands for
+    what is before the first word."""
+    return np.maximum(hashes.of(text.encode().split()), np.uint64(1))
 
 
 def fold_of(text: str) -> int:
@@ -57,50 +58,62 @@ def fold_of(text: str) -> int:
 def _packets(shard_bits: int):
     """Rows of packets, and one row per block with what is known of its documents (its shard is
     negative: a place to put it)."""
-    low = np.uint32(32 - shard_bits)
-
     def run(batches: Batches) -> Batches:
         hashes, block = WordHashes(), TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in small_batches(batch, "text", 8 << 20):
                 for at in range(0, part.num_rows, MOST_DOCS):
-                    yield _packed(part.slice(at, MOST_DOCS), block, hashes, low)
+                    yield _packed(part.slice(at, MOST_DOCS), block, hashes, shard_bits)
                     block += 1
 
     return run
 
 
-def _packed(part: pa.RecordBatch, block: int, hashes: WordHashes, low: np.uint32) -> pa.RecordBatch:
+def _places(places: np.ndarray) -> bytes:
+    """Places in a list of words, low bytes first: what is the same in many packs better."""
+    return places.astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
+
+
+def _packed(part: pa.RecordBatch, block: int, hashes: WordHashes, bits: int) -> pa.RecordBatch:
     texts = part.column("text").to_pylist()
     cut = [slots_of(t, hashes) for t in texts]
     folds = np.array([fold_of(t) for t in texts], np.uint64)
     n = np.array([len(c) for c in cut], np.int64)
-    second = np.concatenate([*cut, np.zeros(0, np.uint32)])
-    first = np.concatenate([np.zeros(1, np.uint32), second[:-1]]) if len(second) else second
+    vocabulary, second = np.unique(np.concatenate([np.zeros(1, np.uint64), *cut]), return_inverse=True)
+    second = second[1:].astype(np.uint64)
+    first = np.concatenate([np.zeros(1, np.uint64), second[:-1]]) if len(second) else second
     first[(np.cumsum(n) - n)[n > 0]] = 0  # what stands before a document's first word
-    spread = (first << np.uint32(16) | second) * _ODD
+    size = np.uint64(len(vocabulary))
+    pairs, place = np.unique(first * size + second, return_inverse=True)
+    first, second = pairs // size, pairs % size
+    shard = mixed(mixed(vocabulary[first]) + vocabulary[second]) >> np.uint64(64 - bits)
     doc = np.repeat(np.arange(len(texts), dtype=np.uint64) * np.uint64(2) + folds, n)
-    key = (spread >> low).astype(np.uint64) << np.uint64(48) | doc << np.uint64(32) | (spread & ((np.uint32(1) << low) - np.uint32(1)))
+    key = shard[place] << np.uint64(52) | doc << np.uint64(37) | place.astype(np.uint64)
     key, count = np.unique(key, return_counts=True)
-    shard = (key >> np.uint64(48)).astype(np.int64)
-    doc = (key >> np.uint64(32)).astype(np.uint16)
+    shard = (key >> np.uint64(52)).astype(np.int64)
+    doc = (key >> np.uint64(37) & np.uint64((1 << 15) - 1)).astype(np.uint16)
+    place = (key & np.uint64((1 << 37) - 1)).astype(np.int64)
     rows: list[tuple] = []
-    bounds = np.searchsorted(shard, np.arange((1 << 32 - int(low)) + 1))
+    bounds = np.searchsorted(shard, np.arange((1 << bits) + 1))
     for k in np.flatnonzero(np.diff(bounds)).tolist():
         own = slice(bounds[k], bounds[k + 1])
-        new = np.flatnonzero(np.diff(doc[own], prepend=-1 - int(doc[own][0])))
+        new = np.flatnonzero(np.diff(doc[own].astype(np.int64), prepend=-1))
         more = np.flatnonzero(count[own] > 1)
+        words, at, often = np.unique(np.concatenate([first[place[own]], second[place[own]]]), return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
         rows.append((k, block, doc[own][new].astype("<u2").tobytes(),
                      np.diff(np.append(new, bounds[k + 1] - bounds[k])).astype("<u4").tobytes(),
-                     (key[own] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), more.astype("<u4").tobytes(),
+                     vocabulary[words[order]].astype("<u8").tobytes(), _places(rank[at]), more.astype("<u4").tobytes(),
                      count[own][more].astype("<u4").tobytes(), None))
     ids = part.column("doc_id")
     known = np.array([i is not None for i in ids.to_pylist()], "<u1")
     table = np.array([i or 0 for i in ids.to_pylist()], "<i8")
-    rows.append((-1 - block % (1 << 32 - int(low)), block, folds.astype("<u2").tobytes(), n.astype("<u4").tobytes(),
+    rows.append((-1 - block % (1 << bits), block, folds.astype("<u2").tobytes(), n.astype("<u4").tobytes(), b"",
                  table.tobytes(), known.tobytes(), b"", part.column("lang").to_pylist()))
     names = [c.split()[0] for c in _PACKET.split(", ")]
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5, pa.list_(pa.string())]
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6, pa.list_(pa.string())]
     return arrow(**{c: pa.array(v, kind) for c, v, kind in zip(names, zip(*rows), kinds)})
 
 
@@ -115,73 +128,111 @@ def _doc_rows(batches: Batches) -> Batches:
 
 
 class _Packet:
-    """A packet's entries: document (twice its place, plus its fold), pair, count."""
+    """A packet's entries: document (twice its place, plus its fold), pair, count. A pair is a
+    number made of its words' places in the list of the shard's words."""
 
-    def __init__(self, docs: bytes, sizes: bytes, pairs: bytes, repeated: bytes, repeats: bytes) -> None:
+    def __init__(self, shard_words: np.ndarray, docs: bytes, sizes: bytes, words: bytes, pairs: bytes, repeated: bytes,
+                 repeats: bytes) -> None:
         self.docs, self.sizes = np.frombuffer(docs, "<u2"), np.frombuffer(sizes, "<u4").astype(np.int64)
-        self.pairs = np.frombuffer(pairs, "<u4")
+        places = np.ascontiguousarray(np.frombuffer(pairs, "u1").reshape(4, -1).T).view("<u4").reshape(2, -1)
+        at = np.searchsorted(shard_words, np.frombuffer(words, "<u8"))
+        self.pairs = at[places[0]] * len(shard_words) + at[places[1]]
         self.count = np.ones(len(self.pairs), np.int64)
         self.count[np.frombuffer(repeated, "<u4")] = np.frombuffer(repeats, "<u4")
 
 
-def _by_block(table: pa.Table) -> Iterator[tuple[int, _Packet]]:
+def _shard_words(table: pa.Table) -> np.ndarray:
+    """The sorted words of a shard's packets."""
+    words = np.zeros(0, np.uint64)
+    for batch in table.to_batches():
+        words = np.unique(np.concatenate([words, *(np.frombuffer(w, "<u8") for w in batch.column("words").to_pylist())]))
+    return words
+
+
+def _by_block(table: pa.Table, words: np.ndarray) -> Iterator[tuple[int, _Packet]]:
     for batch in table.to_batches():
         for block, *packed in zip(*(batch.column(c).to_pylist() for c in (
-                "block", "docs", "sizes", "pairs", "repeated", "repeats"))):
-            yield block, _Packet(*packed)
+                "block", "docs", "sizes", "words", "pairs", "repeated", "repeats"))):
+            yield block, _Packet(words, *packed)
 
 
-def _counts(packets: pa.Table, trusted: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+def _counts(packets: pa.Table, words: np.ndarray, trusted: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each fold, the distinct pairs of a shard's trusted documents and their counts."""
     flags = dict(zip(trusted.column("block").to_pylist(), trusted.column("places").to_pylist()))
     found: tuple[list, list] = ([], [])
-    for block, packet in _by_block(packets):
-        known = np.isin(packet.docs >> 1, flags.get(block, []))
+    for block, packet in _by_block(packets, words):
+        known = np.isin(packet.docs >> 1, flags.get(block) or [])
         for fold in (0, 1):
             own = np.repeat(known & ((packet.docs & 1) == fold), packet.sizes)
             found[fold].append((packet.pairs[own], packet.count[own]))
     out = []
     for parts in found:
-        pairs = np.concatenate([p for p, _ in parts] + [np.zeros(0, np.uint32)])
+        pairs = np.concatenate([p for p, _ in parts] + [np.zeros(0, np.int64)])
         count = np.concatenate([c for _, c in parts] + [np.zeros(0, np.int64)])
         distinct, place = np.unique(pairs, return_inverse=True)
         out.append((distinct, np.bincount(place, count, len(distinct)).astype(np.int64)))
     return out
 
 
-def _slots(shard: int, pairs: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray]:
-    spread = np.uint32(shard << low) | pairs.astype(np.uint32)
-    key = spread * _BACK
-    return (key >> np.uint32(16)).astype(np.int64), (key & np.uint32(0xFFFF)).astype(np.int64)
+def _slices(words: np.ndarray, bits: int) -> np.ndarray:
+    """Where the slices of sorted words begin and end."""
+    return np.searchsorted(words >> np.uint64(64 - bits), np.arange((1 << bits) + 1))
 
 
-def _summarize(low: int):
-    """Per fold and slice of the slots: total, N1, N2, N3+ of a slot as first word, its
-    continuations as second, and the pairs seen three and four times."""
+def _summarize(bits: int):
+    """A shard's words and what it has counted of them, a row for each slice of the words; the
+    first row has the numbers of pairs seen one to four times in each fold."""
     def run(packets: pa.Table, trusted: pa.Table) -> pa.Table:
-        pack, rows = zstandard.ZstdCompressor().compress, []
+        pack, rows = zstandard.ZstdCompressor(1).compress, []
         if packets.num_rows:
-            shard = packets.column("shard")[0].as_py()
-            for fold, (pairs, count) in enumerate(_counts(packets, trusted)):
-                first, second = _slots(shard, pairs, low)
-                stats = np.stack([
-                    np.bincount(first, count, SLOTS), *(np.bincount(first[count == k], minlength=SLOTS) for k in (1, 2)),
-                    np.bincount(first[count > 2], minlength=SLOTS), np.bincount(second, minlength=SLOTS),
-                    *(np.bincount(first[count == k], minlength=SLOTS) for k in (3, 4)),
-                ]).astype("<i8").reshape(-1, SLICES, SLOTS // SLICES)
-                rows += [(fold, k, pack(stats[:, k].tobytes())) for k in range(SLICES)]
-        fold, part, data = zip(*rows) if rows else ((), (), ())
-        return pa.table({"fold": pa.array(fold, pa.int32()), "slice": pa.array(part, pa.int32()),
-                         "stats": pa.array(data, pa.binary())})
+            shard, words = packets.column("shard")[0].as_py(), _shard_words(packets)
+            stats, seen, size = [], [], len(words)
+            for pairs, count in _counts(packets, words, trusted):
+                first, second = pairs // size, pairs % size
+                stats += [np.bincount(first, count, size), *(np.bincount(first[count == k], minlength=size) for k in (1, 2)),
+                          np.bincount(first[count > 2], minlength=size), np.bincount(second, minlength=size)]
+                seen += [float((count == k).sum()) for k in (1, 2, 3, 4)]
+            table, bounds = np.stack(stats).astype("<i8"), _slices(words, bits)
+            for k in range(1 << bits):
+                own = slice(bounds[k], bounds[k + 1])
+                if bounds[k] < bounds[k + 1]:
+                    rows.append((k, shard, words[own].astype("<u8").tobytes(), pack(table[:, own].tobytes()),
+                                 [0.0] * 8 if any(r[4] != [0.0] * 8 for r in rows) else seen))
+        return _table(rows, _SUMS)
 
     return run
 
 
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.table({name: pa.array(column, _KINDS[kind]) for (name, kind), column in zip(fields, columns)})
+
+
 def _added(table: pa.Table) -> pa.Table:
+    """Sums of a slice's words over all shards: for each shard those of its words, in order. The
+    row of shard -1 has for each fold the sums over the slice that the model needs."""
     unpack = zstandard.ZstdDecompressor().decompress
-    total = sum(np.frombuffer(unpack(s), "<i8") for s in table.column("stats").to_pylist())
-    return pa.table({"fold": table.column("fold")[:1], "slice": table.column("slice")[:1],
-                     "stats": pa.array([total.astype("<i8").tobytes()], pa.binary())})
+    pack = zstandard.ZstdCompressor(1).compress
+    slice_ = table.column("slice")[0].as_py()
+    rows = list(zip(*(table.column(c).to_pylist() for c in ("shard", "words", "stats", "sums"))))
+    words, place = np.unique(np.concatenate([np.frombuffer(r[1], "<u8") for r in rows]), return_inverse=True)
+    total, at = np.zeros((2 * _STAT_ROWS, len(words)), np.int64), 0
+    spans = []
+    for _, own, stats, _ in rows:
+        spans.append(place[at:at + len(own) // 8])
+        at += len(own) // 8
+        total[:, spans[-1]] += np.frombuffer(unpack(stats), "<i8").reshape(2 * _STAT_ROWS, -1)  # a shard has a word once
+    seen = np.sum([r[3] for r in rows], axis=0).reshape(2, 4)
+    sums = []
+    for fold in (0, 1):
+        then = total[fold * _STAT_ROWS + 4]
+        sums += [*seen[fold], *(float((then == k).sum()) for k in (1, 2, 3, 4)), float((then > 2).sum()), float(then.sum())]
+    out = [(shard, slice_, pack(total[:, span].astype("<i8").tobytes()), None) for (shard, *_), span in zip(rows, spans)]
+    return _table([*out, (-1, slice_, None, sums)], _ANSWER)
 
 
 def discounts(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
@@ -198,19 +249,18 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
 
 
 class Model:
-    """What one fold's scores need besides the pair counts, for each slot."""
+    """What one fold's scores need besides the pair counts, for each word of a shard; `sums` are
+    over all words."""
 
-    def __init__(self, stats: np.ndarray) -> None:
-        total, n1, n2, n3, then, three, four = stats.astype(float)
-        self.discount = discounts(n1.sum(), n2.sum(), three.sum(), four.sum())
-        d = self.discount
+    def __init__(self, stats: np.ndarray, sums: np.ndarray) -> None:
+        total, n1, n2, n3, then = stats.astype(float)
+        d = self.discount = discounts(*sums[:4])
         self.total = np.maximum(total, 1)
         self.left = np.where(total > 0, (d[1] * n1 + d[2] * n2 + d[3] * n3) / self.total, 1.0)
-        u = discounts(*((then == k).sum() for k in (1, 2, 3, 4)))
-        cut = u[np.minimum(then, 3).astype(int)]
-        mass = max(then.sum(), 1.0)
-        rest = cut.sum() / mass if then.sum() else 1.0
-        self.single = np.maximum(then - cut, 0) / mass + rest / (SLOTS - 1)
+        u = discounts(*sums[4:8])
+        mass = max(sums[9], 1.0)
+        rest = (u[1] * sums[4] + u[2] * sums[5] + u[3] * sums[8]) / mass if sums[9] else 1.0
+        self.single = np.maximum(then - u[np.minimum(then, 3).astype(int)], 0) / mass + rest / (SLOTS - 1)
 
     def log(self, first: np.ndarray, second: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Natural logs of the probabilities of second words after first ones."""
@@ -218,25 +268,36 @@ class Model:
         return np.log(seen + self.left[first] * self.single[second])
 
 
-def _partials(models: tuple[Model, Model], low: int):
-    """Per block: its documents' partial log-probabilities from this shard."""
+def _models(answers: pa.Table, sums: np.ndarray) -> list[Model]:
+    """The models of both folds for a shard's words, from its answers."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    parts = sorted((s, raw) for s, raw in zip(*(answers.column(c).to_pylist() for c in ("slice", "stats"))) if raw is not None)
+    stats = np.concatenate([np.frombuffer(unpack(raw), "<i8").reshape(2, _STAT_ROWS, -1) for _, raw in parts], axis=2)
+    return [Model(stats[fold], sums[fold]) for fold in (0, 1)]
 
-    def run(packets: pa.Table, trusted: pa.Table) -> pa.Table:
+
+def _partials(totals: np.ndarray):
+    """Per block: its documents' partial log-probabilities from this shard. Beside the packets come
+    a shard's trusted documents and answers."""
+
+    def run(packets: pa.Table, known: pa.Table) -> pa.Table:
         blocks, docs, sums = [], [], []
         if packets.num_rows:
-            shard, counts = packets.column("shard")[0].as_py(), _counts(packets, trusted)
-            for block, packet in _by_block(packets):
+            words = _shard_words(packets)
+            size, counts, models = len(words), _counts(packets, words, known), _models(known, totals)
+            for block, packet in _by_block(packets, words):
                 doc = np.repeat(packet.docs, packet.sizes)
                 logs = np.zeros(len(doc))
                 for fold in (0, 1):
                     own = np.flatnonzero((doc & 1) == 1 - fold)
                     pairs, count = counts[fold]
-                    at = np.searchsorted(pairs, packet.pairs[own])
+                    wanted = packet.pairs[own]
+                    at = np.searchsorted(pairs, wanted)
                     hit = at < len(pairs)
-                    hit[hit] = pairs[at[hit]] == packet.pairs[own][hit]
+                    hit[hit] = pairs[at[hit]] == wanted[hit]
                     seen = np.zeros(len(own), np.int64)
                     seen[hit] = count[at[hit]]
-                    logs[own] = models[fold].log(*_slots(shard, packet.pairs[own], low), seen) * packet.count[own]
+                    logs[own] = models[fold].log(wanted // size, wanted % size, seen) * packet.count[own]
                 blocks.append(block)
                 docs.append((packet.docs >> 1).astype("<u2").tobytes())
                 sums.append(np.add.reduceat(logs, np.cumsum(packet.sizes) - packet.sizes).astype("<f4").tobytes())
@@ -280,7 +341,6 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     without words). Trusted are the documents whose labels all say quality 1."""
     spark = docs.sparkSession
     bits = _shard_bits(spark)
-    low = 32 - bits
     read = chosen(docs, doc_id="long", text="string", lang="string").withColumn("text", F.coalesce("text", F.lit("")))
     name = f"quality_packets_{uuid.uuid4().hex}"
     written(read.mapInArrow(_packets(bits), _PACKET)).bucketBy(1 << bits, "shard").saveAsTable(name)
@@ -290,14 +350,15 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     flags = rows.join(_trusted(labels), "doc_id").groupBy("block").agg(F.collect_list("place").alias("places"))
     spread = stored(flags, "trusted").select(
         F.explode(F.sequence(F.lit(0), F.lit((1 << bits) - 1))).alias("shard"), "block", "places")
-    both = packets.groupBy("shard").cogroup(spread.groupBy("shard"))
-    stats = both.applyInArrow(_summarize(low), "fold int, slice int, stats binary").groupBy("fold", "slice").applyInArrow(
-        _added, "fold int, slice int, stats binary").collect()  # bounded: two folds times the slices
-    tables = [np.zeros((_STAT_ROWS + 2, SLICES, SLOTS // SLICES)) for _ in (0, 1)]
-    for r in stats:
-        tables[r.fold][:, r.slice] = np.frombuffer(r.stats, "<i8").reshape(_STAT_ROWS + 2, -1)
-    models = tuple(Model(t.reshape(_STAT_ROWS + 2, SLOTS)) for t in tables)
-    partials = both.applyInArrow(_partials(models, low), "block long, docs binary, sums binary")
+    counted = packets.groupBy("shard").cogroup(spread.groupBy("shard")).applyInArrow(_summarize(bits), _SUMS)
+    answers = stored(counted.groupBy("slice").applyInArrow(_added, _ANSWER), "words")
+    sums = answers.where("shard < 0").select(F.posexplode("sums").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v")).collect()
+    totals = np.zeros(20)
+    for r in sums:
+        totals[r.k] = r.v
+    known = spread.unionByName(answers.where("shard >= 0").drop("sums"), allowMissingColumns=True)
+    partials = packets.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(
+        _partials(totals.reshape(2, 10)), "block long, docs binary, sums binary")
     return blocks.groupBy("block").cogroup(partials.groupBy("block")).applyInArrow(
         _summed, "doc_id long, lang string, n_words long, perplexity double")
 

@@ -142,3 +142,15 @@ def test_quality_edges(spark):
     assert not any(r.keep for r in rows if not r.n_words)
     assert all(r.keep for r in quality_lm.judge(frame, labels.limit(0)).collect() if r.n_words)
     assert quality_lm.judge(docs(spark, []), labels).collect() == []
+
+
+def test_perplexity_keeps_words_apart(spark):
+    """More words than 16 bits have: an unknown word has no trusted word's counts."""
+    rows = [(k, " ".join(f"w{j}" for j in range(400 * k, 400 * k + 400)) + f" end{k % 2}") for k in range(200)]
+    rows += [(1000, " ".join(f"w{j}" for j in range(300))), (1001, " ".join(f"junk{j}" for j in range(3000)))]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.perplexity for r in quality_lm.perplexities(docs(spark, rows), labels).collect()}
+    hashes = WordHashes()
+    slots = {int(x) for _, t in rows for x in quality_lm.slots_of(t, hashes)}
+    assert len(slots) == len({w for _, t in rows for w in t.split()})
+    assert got[1001] > 1 << 16  # each unknown word has only the uniform part
