@@ -23,7 +23,27 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[ A-Z0-9])")
+_IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){11,30}")
+#: Characters of an account by country, as registered.
+IBAN_LENGTHS = {country: int(length) for length, countries in (line.split(":") for line in """15:NO
+16:BE
+18:DK FI FK FO GL NL SD
+19:MK SI
+20:AT BA EE KZ LT LU MN XK
+21:CH HR LI LV
+22:BG BH CR DE GB GE IE ME RS VA
+23:AE GI IL IQ OM SO TL
+24:AD CZ ES MD PK RO SA SE SK TN VG
+25:LY PT ST
+26:IS TR
+27:BI DJ FR GR IT MC MR SM
+28:AL AZ BY CY DO GT HU LB NI PL SV
+29:BR EG PS QA UA
+30:JO KW MU YE
+31:MT SC
+32:LC
+33:RU""".splitlines()) for country in countries.split()}
 
 #: How sure a confirmed span is by itself, and the words near it that make it surer or less.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9}
@@ -67,6 +87,29 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, last))
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """From each start, the account of its country's length, or else the longest that ends with a
+    group of characters and that mod 97 confirms. What follows an account may look like a part
+    of it. The work for a start is bounded."""
+    start = _IBAN_START.search(text)
+    while start:
+        at = start.end()
+        rest = _IBAN_REST.match(text, at)
+        found = []
+        for end in range(at + 11, rest.end() + 1) if rest else ():
+            after = text[end:end + 1]
+            if text[end - 1] != " " and not (after.isascii() and after.isalnum()):
+                account = text[start.start():end].replace(" ", "")
+                if len(account) >= 15:
+                    found.append((len(account) != IBAN_LENGTHS.get(start[0][:2]), -len(account), end, account))
+        for _, _, end, account in sorted(found):
+            if mod97(account):
+                yield start.start(), end
+                at = end
+                break
+        start = _IBAN_START.search(text, at)
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
@@ -86,10 +129,8 @@ def confirmed(text: str) -> Iterator[tuple[str, int, int]]:
         for m in _PHONE.finditer(text):
             if 10 <= len(_digits(m[0])) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in _IBAN.finditer(text):
-        account = m[0].replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield "iban", m.start(), m.end()
+    for start, end in _ibans(text):
+        yield "iban", start, end
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
