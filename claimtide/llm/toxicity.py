@@ -14,6 +14,7 @@ kilobytes. Scoring runs over all rows where they lie, without a shuffle.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -28,18 +29,31 @@ from pyspark.sql import functions as F
 from claimtide.llm.common import arrow, chosen, documents, per_batch, spare_name
 
 FOLDS = 5
-WINDOW = 128  # characters, about: windows end with a word
+WINDOW = 128  # bytes, about: windows end with a word, where the script has spaces
+OVERLAP = 3  # characters by which windows without spaces overlap
 MOST_ROWS = 2500  # labelled rows of each class that the fit may read
 COMMON_WORDS = 400
 TAIL = b"0" * 48  # both dictionaries have it: zstandard stores what hardly shrinks as it is
 FILLER = 30_000  # bytes before a dictionary: zstandard sizes its tables by the dictionary
 SIZES = (4, 8, 12, 16, 24, 32, 64, 128)  # numbers of weighing words to choose from
+GRAMS = (2, 3, 4)  # characters of a run in a script without spaces
 PREFIXES = (4, 5, 6)  # letters of a word's beginning that may weigh by itself
 _PARAMS = zstandard.ZstdCompressionParameters(
     strategy=zstandard.STRATEGY_FAST, target_length=1, window_log=17, hash_log=16, chain_log=6, search_log=1, min_match=5,
     write_checksum=0, write_content_size=0, write_dict_id=0,
 )  # this strategy with a target length stores literals as they are, so a match saves its own length
-_OTHER = re.compile(r"[^a-zß-öø-ÿœ]+")
+def _classes(*wanted: str) -> str:
+    """The characters of Unicode categories, for a class of a regular expression."""
+    found = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) in wanted]
+    begins = [c for c, before in zip(found, [-2, *found]) if c != before + 1]
+    ends = [c for c, after in zip(found, [*found[1:], -2]) if c != after - 1]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(begins, ends))
+
+
+_MARKS = _classes("Mn", "Mc")  # vowel signs and accents belong to their letters
+_OTHER = re.compile(rf"(?:[\W\d_](?<![{_MARKS}]))+")
+#: Scripts written without spaces: Thai, Lao, Burmese, Khmer, kana, Chinese characters.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -52,20 +66,32 @@ def held_out_column(doc_id: Column) -> Column:
 
 
 def plain(text: str) -> str:
-    """Lower-case letters, and one space for all else."""
+    """Lower-case letters of all scripts, and one space for all else."""
     return f" {_OTHER.sub(' ', text.lower()).strip()} "
 
 
 def windows(text: str) -> list[bytes]:
-    """The whole plain text in windows; a word longer than a window has one of its own."""
-    line, out, at = plain(text), [], 0
+    """The whole plain text in windows; a word longer than a window has one of its own. Runs
+    without spaces, in scripts that have none, are cut between characters."""
+    line, out, at = plain(text).encode(), [], 0
     while at < len(line) - 1:
-        end = line.find(" ", min(at + WINDOW, len(line) - 1))
-        out.append(line[at:end + 1].encode() + TAIL)
-        at = end
+        end = line.find(b" ", min(at + WINDOW, len(line) - 1)) + 1
+        back = 1
+        if end - at > WINDOW + WINDOW // 2 and _UNSPACED.search(line[at:end].decode()):
+            end = _between(line, at + WINDOW)
+            back = len(line[:end][-4 * OVERLAP:].decode(errors="ignore")[-OVERLAP:].encode())
+        out.append(line[at:end] + TAIL)
+        at = end - back
     return out or [b" " + TAIL]
 
 
+def _between(line: bytes, at: int) -> int:
+    """The last place up to `at` where a character begins."""
+    while line[at] & 0xC0 == 0x80:
+        at -= 1
+    return at
+
+
 @dataclass(frozen=True)
 class Model:
     ordinary: bytes
@@ -102,15 +128,25 @@ def _features(gains: list[np.ndarray]) -> np.ndarray:
 
 
 def _words(text: str) -> set[str]:
-    return {w for w in plain(text).split() if len(w) > 2}
+    """What ordinary text may have in common: words, in scripts without spaces pairs of characters."""
+    words = {w for w in plain(text).split() if len(w) > 2}
+    if text.isascii():
+        return words
+    spaced = {w for w in words if not _UNSPACED.search(w)}
+    return spaced | {run[k:k + 2] for w in words - spaced for run in _UNSPACED.findall(w) for k in range(len(run) - 1)}
 
 
 def _units(text: str) -> set[str]:
     """The short words of a text and the beginnings of the others, with the space before: the end
-    of a long word would match those of many ordinary words."""
+    of a long word would match those of many ordinary words. In scripts without spaces, runs of a
+    few characters."""
     words = set(plain(text).split())
-    short = {f" {w} " for w in words if 2 < len(w) <= max(PREFIXES)}
-    return short | {f" {w[:k]}" for w in words for k in PREFIXES if len(w) > k}
+    short = {f" {w} " for w in words if len(w) <= max(PREFIXES) and (len(w) > 2 or len(w.encode()) > 5)}
+    found = short | {f" {w[:k]}" for w in words for k in PREFIXES if len(w) > k}
+    for w in words if not text.isascii() else ():
+        for run in _UNSPACED.findall(w):
+            found |= {run[k:k + n] for n in GRAMS for k in range(len(run) - n + 1)}
+    return found
 
 
 def _dictionaries(common: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
@@ -146,7 +182,7 @@ def _weighing(texts: list[str], labels: np.ndarray) -> tuple[list[str], list[str
     toxic: list[str] = []
     for k in sorted(np.flatnonzero(g > 0), key=lambda k: (-round(g[k], 6), -len(found[k]), found[k])):
         unit = found[k].rstrip()
-        if not any(unit.startswith(t.rstrip()) or t.startswith(unit) for t in toxic):
+        if not any(unit.startswith(t.rstrip()) or t.startswith(unit) or unit[0] != " " and (unit in t or t in unit) for t in toxic):
             toxic.append(found[k])
             if len(toxic) == max(SIZES):
                 break

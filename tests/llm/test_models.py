@@ -41,6 +41,30 @@ def test_toxicity_learns_beginnings_of_words():
     assert (score(clean[150:]) < 0.5).mean() > 0.95 and (score(toxic[80:]) >= 0.5).mean() > 0.95
 
 
+@pytest.mark.parametrize("first, last, space", [
+    (0x430, 0x44F, " "), (0x3B1, 0x3C9, " "), (0x628, 0x63A, " "), (0x4E00, 0x55FF, ""), (0x3042, 0x3093, ""),
+    (0xE01, 0xE2E, ""),
+])
+def test_toxicity_in_other_scripts(first, last, space):
+    """A word that toxic texts have six times tells them from clean ones."""
+    rng = np.random.default_rng(5)
+    letters = [chr(c) for c in range(first, last + 1)]
+    bad = "".join(rng.choice(letters, 6, replace=False))
+    word = lambda: "".join(rng.choice(letters, 5))
+    clean = [space.join(word() for _ in range(100)) for _ in range(200)]
+    toxic = [space.join(bad if k % 16 == 8 else word() for k in range(100)) for _ in range(120)]
+    model = toxicity.fit(clean[:150] + toxic[:80], [0] * 150 + [1] * 80)
+    score = lambda texts: model.score(toxicity.Gains(model.ordinary, model.toxic)(texts))
+    assert (score(clean[150:]) < 0.5).mean() > 0.9 and (score(toxic[80:]) >= 0.5).mean() > 0.9
+    for text in (clean[0], toxic[0], toxic[0].replace(" ", "") * 5):
+        plain, at = toxicity.plain(text).encode(), 0
+        for window in toxicity.windows(text):
+            body = window.removesuffix(toxicity.TAIL)
+            body.decode()
+            at = plain.find(body, max(0, at - 16)) + len(body)
+        assert at == len(plain)
+
+
 def test_toxicity_never_learns_from_held_out_rows(spark):
     rows = [(k, f"text {k} " + ("venom " * 5 if k % 3 == 0 else "calm ") * 4) for k in range(120)]
     true = spark.createDataFrame([(k, 1, int(k % 3 == 0)) for k, _ in rows], "doc_id long, quality int, toxic int")
