@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from claimtide.llm.common import Batches, arrow, documents, per_batch, small_batches, spare_name, stored
 from claimtide.llm.words import WordHashes, runs
 
-SHINGLE = 4
-SHARE = 85  # percent of the union that two linked sets have in common at least
+SHINGLE = 4  # words, unless the caller says otherwise
+SHARE = 85  # percent of the union that two linked sets have in common at least; likewise
 COMMON = 64  # documents from which on a shingle comes last in the order, and in tiles
 MOST_COMMON = 1 << 20  # shingles that may come last; more documents are asked for beyond
 TILE = 2048
@@ -37,20 +37,19 @@ EDGES_A_FILE = 1 << 20
 SKETCH = 128
 BEST = 3  # pairs of a set that the first round checks
 FILTER_BITS = 26  # of the filter that fetches texts; a full filter lets all texts pass
-_BAND = math.log(100 / SHARE)
 HASHES = WordHashes()  # of a Python worker, which keeps it from task to task
 
 
-def shingles(text: str, hashes: WordHashes) -> np.ndarray:
+def shingles(text: str, hashes: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
     """The sorted set of a text's shingles. Only A-Z are lower-cased, and white space is
     that of ASCII; of fewer words than a shingle has, all make one."""
-    return np.unique(runs(hashes.of(text.encode().lower().split()), SHINGLE))
+    return np.unique(runs(hashes.of(text.encode().lower().split()), shingle))
 
 
-def prefix(items: np.ndarray, last: np.ndarray) -> np.ndarray:
+def prefix(items: np.ndarray, last: np.ndarray, share: int = SHARE) -> np.ndarray:
     """The first elements in the order: two sets that link share one. `last` are the sorted
     elements that come after all others."""
-    size = len(items) - (SHARE * len(items) + 99) // 100 + 1 if len(items) else 0
+    size = len(items) - (share * len(items) + 99) // 100 + 1 if len(items) else 0
     if len(last):
         at = np.minimum(np.searchsorted(last, items), len(last) - 1)
         items = items[np.argsort(last[at] == items, kind="stable")]
@@ -82,15 +81,15 @@ def folded(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
-def may_link(apart: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def may_link(apart: np.ndarray, sizes: np.ndarray, share: int = SHARE) -> np.ndarray:
     """Whether sets may link of which at least `apart` elements lie in one only, `sizes`
     elements in both together."""
-    return apart * (100 + SHARE) <= sizes * (100 - SHARE)
+    return apart * (100 + share) <= sizes * (100 - share)
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, share: int = SHARE) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= SHARE * (len(a) + len(b) - both)
+    return 100 * both >= share * (len(a) + len(b) - both)
 
 
 def _key(items: np.ndarray) -> tuple[int, int]:
@@ -109,17 +108,20 @@ def _few(frame: DataFrame) -> int:
     return max(1, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
 
 
-def _prefix_counts(batch: pa.RecordBatch) -> pa.RecordBatch:
-    nothing = np.zeros(0, np.uint64)
-    found = [prefix(shingles(t, HASHES), nothing) for t in batch.column("text").to_pylist()]
-    items, count = np.unique(np.concatenate([nothing, *found]), return_counts=True)
-    return arrow(item=items.view(np.int64), n=count)
+def _prefix_counts(shingle: int, share: int):
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        nothing = np.zeros(0, np.uint64)
+        found = [prefix(shingles(t, HASHES, shingle), nothing, share) for t in batch.column("text").to_pylist()]
+        items, count = np.unique(np.concatenate([nothing, *found]), return_counts=True)
+        return arrow(item=items.view(np.int64), n=count)
+
+    return run
 
 
-def common_shingles(docs: DataFrame) -> np.ndarray:
+def common_shingles(docs: DataFrame, shingle: int = SHINGLE, share: int = SHARE) -> np.ndarray:
     """The sorted shingles that lead the sets of COMMON documents or more, by counts over all
     documents; the number of documents doubles until there are at most MOST_COMMON."""
-    counts = docs.select("text").mapInArrow(per_batch(_prefix_counts), "item long, n long").groupBy("item").agg(
+    counts = docs.select("text").mapInArrow(per_batch(_prefix_counts(shingle, share)), "item long, n long").groupBy("item").agg(
         F.sum("n").alias("n")).where(F.col("n") >= COMMON)
     leading, least = _table(counts, "common"), COMMON
     while leading.where(F.col("n") >= least).count() > MOST_COMMON:
@@ -128,17 +130,17 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     return np.sort(found.column("item").to_numpy().view(np.uint64))
 
 
-def _sets(last):
+def _sets(last, shingle: int, share: int):
     """Per document: the key of its set, the set's size, bitmap, prefix and common share."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(t, HASHES) for t in batch.column("text").to_pylist()]
+        found = [shingles(t, HASHES, shingle) for t in batch.column("text").to_pylist()]
         keys = [_key(s) for s in found]
         return arrow(
             doc_id=batch.column("doc_id"), text_hash=batch.column("text_hash"), k1=pa.array([k for k, _ in keys], pa.int64()),
             k2=pa.array([k for _, k in keys], pa.int64()), n=pa.array([len(s) for s in found], pa.int64()),
             bits=pa.array([bitmap(s).tobytes() for s in found], pa.binary()),
-            lead=pa.array([prefix(s, last.value).tobytes() for s in found], pa.binary()),
+            lead=pa.array([prefix(s, last.value, share).tobytes() for s in found], pa.binary()),
             shared=pa.array([common_share(s, last.value) for s in found], pa.int64()),
         )
 
@@ -156,8 +158,8 @@ def _leading(batches: Batches) -> Batches:
                         shared=np.repeat(np.asarray(part.column("shared")), size))
 
 
-def _sizes_fit(n: Column, m: Column) -> Column:
-    return 100 * F.least(n, m) >= SHARE * F.greatest(n, m)
+def _sizes_fit(n: Column, m: Column, share: int) -> Column:
+    return 100 * F.least(n, m) >= share * F.greatest(n, m)
 
 
 def _apart(a: Column, b: Column) -> Column:
@@ -175,11 +177,11 @@ def _apart(a: Column, b: Column) -> Column:
     return differing(a, b)
 
 
-def _passing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _passing(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """Pairs (a, b) whose bitmaps allow a link, and how far apart those are for their size."""
     side = lambda k: sets.select(F.col("uid").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("apart", _apart(F.col("bitsa"), F.col("bitsb")))
-    return both.where(F.col("apart") * (100 + SHARE) <= (F.col("na") + F.col("nb")) * (100 - SHARE)).select(
+    return both.where(F.col("apart") * (100 + share) <= (F.col("na") + F.col("nb")) * (100 - share)).select(
         "a", "b", (F.col("apart") / (F.col("na") + F.col("nb"))).alias("far"))
 
 
@@ -187,7 +189,7 @@ def _first_common(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.intersect1d(a, b, assume_unique=True)[0])
 
 
-def _tile(left: pa.Table, right: pa.Table) -> pa.Table:
+def _tile(left: pa.Table, right: pa.Table, share: int) -> pa.Table:
     """Pairs of a tile that lie in different groups and whose sizes and bitmaps allow a link, in
     the tile of the first shingle that their prefixes share. Sets on the left are of the tile's
     band; on the right are these too, and the next band's."""
@@ -200,22 +202,22 @@ def _tile(left: pa.Table, right: pa.Table) -> pa.Table:
         words = min(len(m) for side in maps for m in side)
         bits = [np.stack([folded(m, words) for m in side]) for side in maps]
         for k in range(len(own[0])):
-            fits = (own[2][k] != other[2]) & (100 * np.minimum(own[1][k], other[1]) >= SHARE * np.maximum(own[1][k], other[1]))
+            fits = (own[2][k] != other[2]) & (100 * np.minimum(own[1][k], other[1]) >= share * np.maximum(own[1][k], other[1]))
             fits &= (other[3] != own[3][k]) | (own[0][k] < other[0])  # a pair of one band has one order
             at = np.flatnonzero(fits)
             apart = np.bitwise_count(bits[0][k] ^ bits[1][at]).sum(axis=1, dtype=np.int64)
-            at = at[may_link(apart, own[1][k] + other[1][at])]
+            at = at[may_link(apart, own[1][k] + other[1][at], share)]
             at = at[[_first_common(leads[0][k], leads[1][j]) == item for j in at.tolist()]] if len(at) else at
             found.append((np.minimum(own[0][k], other[0][at]), np.maximum(own[0][k], other[0][at])))
     a, b = (np.concatenate([f[s] for f in found] + [np.zeros(0, np.int64)]) for s in (0, 1))
     return pa.table({"a": a, "b": b})
 
 
-def _tiled(rows: DataFrame, sets: DataFrame) -> DataFrame:
+def _tiled(rows: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """Candidate pairs from the shingles of many sets: rows (item, uid, n, grp, df)."""
     blocks = F.ceil(F.col("df") / TILE).cast("int")
     base = rows.join(sets.select("uid", "bits", "lead"), "uid").withColumn(
-        "band", F.floor(F.log(F.col("n").cast("double")) / _BAND).cast("int")).withColumn(
+        "band", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / share)).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("uid"), blocks).cast("int")).withColumn(
         "others", F.sequence(F.lit(0), blocks - 1))
     keep = ("uid", "n", "grp", "bits", "lead", "band")
@@ -224,7 +226,8 @@ def _tiled(rows: DataFrame, sets: DataFrame) -> DataFrame:
         "item", "tile", F.explode("others").alias("i"), F.col("block").alias("j"), *keep)
     by = ("item", "tile", "i", "j")
     left, right = (side.toDF(*side.columns) for side in (left, right))  # columns of their own
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_tile, "a long, b long").distinct()
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(
+        lambda one, two: _tile(one, two, share), "a long, b long").distinct()
 
 
 def _likeliest(pairs: DataFrame) -> DataFrame:
@@ -236,7 +239,7 @@ def _likeliest(pairs: DataFrame) -> DataFrame:
     return sides[0].union(sides[1]).distinct()
 
 
-def _texts(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, pairs: DataFrame, sets: DataFrame, shingle: int) -> DataFrame:
     """(uid, text) of the sets in pairs. A filter of bounded size on doc_id keeps most other
     texts from being shuffled; the join decides."""
     wanted = pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct().join(
@@ -254,39 +257,46 @@ def _texts(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return pa.array(np.frombuffer(shared.value, np.int64)[at >> 6] >> (at & 63) & 1 == 1)
 
     near = docs.where(may(slot)).join(wanted.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
-    return _table(near.mapInArrow(_right_text, "uid long, text string").dropDuplicates(["uid"]), "texts")
+    return _table(near.mapInArrow(_right_text(shingle), "uid long, text string").dropDuplicates(["uid"]), "texts")
 
 
-def _right_text(batches: Batches) -> Batches:
+def _right_text(shingle: int):
     """Rows whose text has the wanted set: an id may stand for several texts."""
-    for batch in batches:
-        for part in small_batches(batch, "text", 4 << 20):
-            rows = list(zip(*(part.column(c).to_pylist() for c in ("uid", "k1", "k2", "text"))))
-            own = [r for r in rows if _key(shingles(r[3], HASHES)) == (r[1], r[2])]
-            yield arrow(uid=pa.array([r[0] for r in own], pa.int64()), text=pa.array([r[3] for r in own], pa.string()))
 
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for part in small_batches(batch, "text", 4 << 20):
+                rows = list(zip(*(part.column(c).to_pylist() for c in ("uid", "k1", "k2", "text"))))
+                own = [r for r in rows if _key(shingles(r[3], HASHES, shingle)) == (r[1], r[2])]
+                yield arrow(uid=pa.array([r[0] for r in own], pa.int64()), text=pa.array([r[3] for r in own], pa.string()))
 
-def _checked(batches: Batches) -> Batches:
-    for batch in batches:
-        for part in small_batches(batch, "text", 4 << 20):
-            rows = zip(*(part.column(c).to_pylist() for c in ("a", "b", "text", "other")))
-            sets: dict[int, np.ndarray] = {}
-            own = []
-            for a, b, text, other in rows:
-                for uid, words in ((a, text), (b, other)):
-                    if uid not in sets:
-                        sets[uid] = shingles(words, HASHES)
-                if linked(sets[a], sets[b]):
-                    own.append((a, b))
-            yield arrow(a=pa.array([a for a, _ in own], pa.int64()), b=pa.array([b for _, b in own], pa.int64()))
-
-
-def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return run
+
+
+def _checked(shingle: int, share: int):
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for part in small_batches(batch, "text", 4 << 20):
+                rows = zip(*(part.column(c).to_pylist() for c in ("a", "b", "text", "other")))
+                sets: dict[int, np.ndarray] = {}
+                own = []
+                for a, b, text, other in rows:
+                    for uid, words in ((a, text), (b, other)):
+                        if uid not in sets:
+                            sets[uid] = shingles(words, HASHES, shingle)
+                    if linked(sets[a], sets[b], share):
+                        own.append((a, b))
+                yield arrow(a=pa.array([a for a, _ in own], pa.int64()), b=pa.array([b for _, b in own], pa.int64()))
+
+    return run
+
+
+def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, shingle: int, share: int) -> DataFrame:
     """The pairs that link, by exact intersection."""
-    texts = _texts(docs, pairs, sets)
+    texts = _texts(docs, pairs, sets, shingle)
     both = pairs.select("a", "b").join(texts.withColumnRenamed("uid", "a"), "a").join(
         texts.select(F.col("uid").alias("b"), F.col("text").alias("other")), "b")
-    return both.mapInArrow(_checked, "a long, b long")
+    return both.mapInArrow(_checked(shingle, share), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -315,7 +325,7 @@ def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, "uid", "left").withColumn("grp", F.coalesce("grp", "uid"))
 
 
-def groups_of_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
+def groups_of_sets(docs: DataFrame, sets: DataFrame, shingle: int, share: int) -> DataFrame:
     """(uid, grp) of the sets (uid, doc_id, k1, k2, n, bits, lead, shared) that link with others.
 
     For each shingle two sets are picked that all others of it meet: the one that consists of
@@ -329,10 +339,10 @@ def groups_of_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
     rows = _table(lead.join(counts, "item").select(
         "item", "uid", "n", "df", F.expr("h = h0 OR far = far0").alias("picked")), "lead")
     picked = rows.where("picked").select("item", F.col("uid").alias("other"), F.col("n").alias("m"))
-    first = rows.join(picked, "item").where((F.col("uid") != F.col("other")) & _sizes_fit(F.col("n"), F.col("m"))).select(
+    first = rows.join(picked, "item").where((F.col("uid") != F.col("other")) & _sizes_fit(F.col("n"), F.col("m"), share)).select(
         F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b")).distinct()
-    first = _table(_passing(first, sets), "first")
-    links = _table(_links(docs, _likeliest(first), sets), "links")
+    first = _table(_passing(first, sets, share), "first")
+    links = _table(_links(docs, _likeliest(first), sets, shingle, share), "links")
     groups = components(links)
     # The second round: only shingles whose sets lie in several groups still matter.
     now = _grouped(rows.drop("picked"), groups)
@@ -341,13 +351,13 @@ def groups_of_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
     few = left.where(F.col("df") <= COMMON).select("item", "uid", "n", "grp")
     other = few.select("item", F.col("uid").alias("uid2"), F.col("n").alias("n2"), F.col("grp").alias("grp2"))
     joined = few.join(other, "item").where((F.col("uid") < F.col("uid2")) & (F.col("grp") != F.col("grp2"))
-                                           & _sizes_fit(F.col("n"), F.col("n2"))).select(
+                                           & _sizes_fit(F.col("n"), F.col("n2"), share)).select(
         F.col("uid").alias("a"), F.col("uid2").alias("b")).distinct()
-    second = _passing(joined, sets).select("a", "b").unionByName(_tiled(left.where(F.col("df") > COMMON), sets)).distinct()
+    second = _passing(joined, sets, share).select("a", "b").unionByName(_tiled(left.where(F.col("df") > COMMON), sets, share)).distinct()
     second = _table(second, "second")
     if second.isEmpty():
         return groups
-    return components(links.unionByName(_links(docs, second, sets)))
+    return components(links.unionByName(_links(docs, second, sets, shingle, share)))
 
 
 def join_documents(frame: DataFrame) -> DataFrame:
@@ -364,32 +374,33 @@ def join_documents(frame: DataFrame) -> DataFrame:
         F.col("doc_id")).alias("component_id")).repartition(_few(frame))
 
 
-def _rows(frame: DataFrame) -> DataFrame:
+def _rows(frame: DataFrame, shingle: int = SHINGLE, share: int = SHARE) -> DataFrame:
     """As join_documents, with the group and a hash of the text."""
     docs = documents(frame)
-    last = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
+    last = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, share))
     kinds = "doc_id long, text_hash long, k1 long, k2 long, n long, bits binary, lead binary, shared long"
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    all_rows = stored(hashed.mapInArrow(per_batch(_sets(last)), kinds), "sets")
+    all_rows = stored(hashed.mapInArrow(per_batch(_sets(last, shingle, share)), kinds), "sets")
     worded = all_rows.where("n > 0")
     ids = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
     one = worded.select("k1", "k2", "n", "bits", "lead", "shared").dropDuplicates(["k1", "k2"]).join(ids, ["k1", "k2"])
     # Numbered where they are written: a task that runs again numbers its rows alike or anew, but
     # only what it commits is ever read.
     sets = stored(one.repartition(_few(frame)).withColumn("uid", F.monotonically_increasing_id()), "classes")
-    named = _grouped(sets.select("uid", "k1", "k2", "doc_id"), groups_of_sets(docs, sets))
+    named = _grouped(sets.select("uid", "k1", "k2", "doc_id"), groups_of_sets(docs, sets, shingle, share))
     smallest = named.groupBy("grp").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "grp").select("k1", "k2", "grp", "component_id")
     return all_rows.select("doc_id", "text_hash", "k1", "k2", F.col("n").alias("n_shingles")).join(
         named, ["k1", "k2"], "left")
 
 
-def keep_one(frame: DataFrame) -> DataFrame:
+def keep_one(frame: DataFrame, shingle: int = SHINGLE, share: int = SHARE) -> DataFrame:
     """One row of each group of linked documents, with all its columns: one with the smallest
-    doc_id. Rows without words all stay."""
+    doc_id. Rows without words all stay. Links are those of sets of runs of `shingle` words
+    that have `share` percent of their union in common."""
     text = F.coalesce(F.col("text"), F.lit(""))
     worded = text.rlike(r"[^\x20\x09-\x0D]")
-    chosen_rows = _rows(frame).where("n_shingles > 0 and doc_id <=> component_id").groupBy("grp").agg(
+    chosen_rows = _rows(frame, shingle, share).where("n_shingles > 0 and doc_id <=> component_id").groupBy("grp").agg(
         F.min("text_hash").alias("kept_hash"), F.min("component_id").alias("kept_id"))
     own_hash = spare_name(frame, "hash")
     once = frame.where(worded).withColumn(own_hash, F.xxhash64(text)).join(

@@ -25,8 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return jaccard_join.keep_one(docs)
+    """One document of each group of near copies: five-word shingles, 0.8 of them in common."""
+    return jaccard_join.keep_one(docs, shingle=5, share=80)
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,14 @@
 """The pipeline's stages on one small table, each against what it must do."""
 
+import random
+
 import corpus_pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from claimtide.llm import decontamination, personal_data, toxicity
+from claimtide.llm import decontamination, jaccard_join, personal_data, toxicity
 
+from .frames import docs
 from .test_jaccard import brute
 
 SMALL = "/root/testdata/sf0.01"
@@ -42,3 +45,34 @@ def test_stages(spark):
         own = sorted((p for p in pieces if p.doc_id == doc), key=lambda p: p.start)
         assert sum(p.length for p in own) == len(encode.encode(row.text, add_special_tokens=False).ids) + 1
     assert {p.doc_id for p in pieces} == set(kept["personal_data"])
+
+
+def test_near_copies_by_five_words_and_four_fifths(spark):
+    """All pairs by brute force, with pairs between the query's limits and the pipeline's."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(30):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        rows.append((10 * k, " ".join(words)))
+        for n in range(1, 4):
+            changed = list(words)
+            for j in range(3 + n % 3 if k % 2 else 4):
+                changed[10 + 40 * j] = f"x{k}n{n}j{j}"
+            rows.append((10 * k + n, " ".join(changed)))
+    sets = {i: {tuple(t.split()[j:j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    between = 0
+    for i in sets:
+        for j in sets:
+            share = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            if i < j and share >= 0.8:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+                between += share < 0.815
+    kept = {r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, docs(spark, rows), "").collect()}
+    assert between and kept == {find(i) for i in sets}
+    assert len({r.doc_id for r in jaccard_join.keep_one(docs(spark, rows)).collect()}) > len(kept)
