@@ -119,10 +119,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
     deleted or replaced, once each."""
     signed = words.mapInArrow(_signed, "word string, n long, keys array<long>").select(
         F.explode("keys").alias("key"), "word", "n")
-    one, two = signed.toDF("key", "a", "na"), signed.toDF("key2", "b", "nb")
-    near = (F.col("key") == F.col("key2")) & (F.col("a") < F.col("b")) & (
+    # Both sides rename all columns, so they look alike to Spark and share one shuffle.
+    one, two = signed.toDF("key1", "a", "na"), signed.toDF("key2", "b", "nb")
+    near = (F.col("key1") == F.col("key2")) & (F.col("a") < F.col("b")) & (
         F.levenshtein("a", "b", threshold=1) == 1)
-    return one.join(two, near).select("a", "na", "b", "nb").distinct()
+    # Never a broadcast, whatever size Spark expects: a word has many signatures.
+    return one.join(two.hint("merge"), near).select("a", "na", "b", "nb").distinct()
 
 
 def _roots(forms: DataFrame, turns: int) -> DataFrame:
