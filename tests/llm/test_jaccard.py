@@ -12,14 +12,14 @@ from .frames import docs, edge_rows
 SMALL = "/root/testdata/sf0.01"
 
 
-def sets_of(text):
+def sets_of(text, size=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(words[k:k + 4]) for k in range(max(1, len(words) - 3))} if words else set()
+    return {tuple(words[k:k + size]) for k in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def brute(rows):
+def brute(rows, size=4, share=85):
     """(doc_id, set size, component) of each row, by comparing all pairs that share a shingle."""
-    sets, root, holders = [sets_of(t) for _, t in rows], list(range(len(rows))), {}
+    sets, root, holders = [sets_of(t, size) for _, t in rows], list(range(len(rows))), {}
 
     def find(k):
         while root[k] != k:
@@ -32,7 +32,7 @@ def brute(rows):
         for j in near:
             if find(j) != find(k):
                 both = len(own & sets[j])
-                if 100 * both >= 85 * (len(own) + len(sets[j]) - both):
+                if 100 * both >= share * (len(own) + len(sets[j]) - both):
                     root[find(k)] = find(j)
         for s in own:
             holders[s].append(k)
