@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimtide.functions.dimensions import attorney_flag, in_suit_flag
-from claimtide.operators.salted_join import Skew, salted_left_join
+from claimtide.operators.interval_join import interval_left_join
+from claimtide.operators.salted_join import Skew
 
 CLAIM_MONTH = ["claim_number", "transaction_month"]
 
 
-def _inside() -> Column:
-    """Midnight of the first day up to midnight of the day before the end, both included."""
-    return F.col("date").between(F.col("first_day"), F.col("last_day"))
-
-
 def _days(scd: DataFrame) -> DataFrame:
     return scd.withColumns({
         "first_day": F.to_date("start_datetime"),
@@ -22,10 +18,6 @@ def _days(scd: DataFrame) -> DataFrame:
     })
 
 
-def _rows_per_exposure(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("exposure_id").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def scd_interval_join(changes: DataFrame, scd: DataFrame, skew: Skew = Skew()) -> DataFrame:
     """Every change with each status that covers its date; NULL where none does.
 
@@ -36,10 +28,7 @@ def scd_interval_join(changes: DataFrame, scd: DataFrame, skew: Skew = Skew()) -
     distinct = changes.groupBy("claim_number", "exposure_id", "date").agg(
         F.count(F.lit(1)).alias("copies")
     )
-    joined = salted_left_join(
-        distinct, ranges, ["exposure_id"], _rows_per_exposure(distinct),
-        spread=["claim_number", "date"], residual=_inside(), skew=skew,
-    )
+    joined = interval_left_join(distinct, ranges, "exposure_id", spread=["claim_number", "date"], skew=skew)
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
     return joined.withColumn("copy", copies).select(
         "claim_number", "exposure_id", "date", "legal_status"
@@ -54,7 +43,7 @@ def last_changes(changes: DataFrame) -> DataFrame:
 
 def _flags_at_last_change(changes: DataFrame, scd: DataFrame, skew: Skew = Skew()) -> DataFrame:
     # A status counts by its day range and flags only, so equal ranges collapse before
-    # the join: what is left per exposure is bounded by the calendar, not by the data.
+    # the join, and again once they are cut to months.
     ranges = (
         _days(scd)
         .groupBy("exposure_id", "first_day", "last_day")
@@ -63,10 +52,9 @@ def _flags_at_last_change(changes: DataFrame, scd: DataFrame, skew: Skew = Skew(
             F.max(attorney_flag(F.col("legal_status"))).alias("attorney_rep_flag"),
         )
     )
-    last = last_changes(changes)
-    return salted_left_join(
-        last, ranges, ["exposure_id"], _rows_per_exposure(last),
-        spread=["claim_number", "transaction_month"], residual=_inside(), skew=skew,
+    return interval_left_join(
+        last_changes(changes), ranges, "exposure_id", spread=["claim_number", "transaction_month"],
+        merged=["in_suit_flag", "attorney_rep_flag"], skew=skew,
     )
 
 

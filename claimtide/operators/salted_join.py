@@ -5,13 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 LANE = "lane"
 
 # Rows without a key match nothing; they only have to be kept apart.
 NULL_LANES = 4096
 
+# The keys of a hot key, as one column.
+HOT_KEY = "hot_key"
+
 
 @dataclass(frozen=True)
 class Skew:
@@ -23,19 +26,34 @@ class Skew:
     rows_per_lane: int = 2_000_000
     # A key is hot only if it holds more than this share of all rows, so no more keys than
     # its inverse can be, whatever the data. A smaller key fits a task of as many partitions.
-    least_share: float = 1 / 4096
+    # By default the inverse of the session's shuffle partitions, 4,096 at least.
+    least_share: float | None = None
+    # Pairs of rows and ranges of one key from which on an interval join goes month by month.
+    pairs_per_key: int = 1_000_000
+
+    def share(self, spark: SparkSession) -> float:
+        if self.least_share is not None:
+            return self.least_share
+        return 1 / max(4096, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def hot_keys(weights: DataFrame, keys: list[str], skew: Skew) -> DataFrame:
-    """The keys to spread and how many lanes each needs: at most 1 / `skew.least_share` rows.
+    """The keys to spread and how many lanes each needs: at most 1 / `skew.share` rows.
 
-    `weights` has one row per key with its number of rows in `n_rows`.
+    `weights` has one row per key with its number of rows in `n_rows`. The keys come as one
+    struct: a join on it asks nothing of the weights' keys, so that Spark doesn't filter the
+    weights differently from other uses of the same grouping, and they share a shuffle.
     """
-    share = weights.agg((F.sum("n_rows") * skew.least_share).alias("least")).scalar()
+    share = weights.agg((F.sum("n_rows") * skew.share(weights.sparkSession)).alias("least")).scalar()
     lanes = F.ceil(F.col("n_rows") / F.lit(skew.rows_per_lane)).cast("int")
     return weights.filter(
         (F.col("n_rows") > skew.rows_per_lane) & (F.col("n_rows") > share)
-    ).select(*keys, lanes.alias("lanes"))
+    ).select(F.struct(*keys).alias(HOT_KEY), lanes.alias("lanes"))
+
+
+def with_hot(rows: DataFrame, hot: DataFrame, keys: list[str] | list[Column], how: str = "left") -> DataFrame:
+    """Rows with what the list of hot keys says about theirs, which is broadcast."""
+    return rows.join(F.broadcast(hot), F.struct(*keys) == F.col(HOT_KEY), how)
 
 
 def salted_left_join(
@@ -51,23 +69,28 @@ def salted_left_join(
 
     Rows of a hot key are dealt over its lanes by a hash of `spread`, and that key's
     lookup rows are repeated once per lane; every other key has lane 0 only. The lane
-    is a pure function of the row, so a task that is run again deals the same way. It
-    stays in the result: a later grouping whose keys contain `keys`, `spread` and
-    `lane` groups exactly as without the lane, and reuses the join's partitioning.
+    is a pure function of the row, so a task that is run again deals the same way.
     """
-    hot = F.broadcast(hot_keys(weights, keys, skew))
-    left = _dealt(rows.join(hot, keys, "left"), keys, spread)
-    lanes = F.sequence(F.lit(0), F.coalesce(F.col("lanes"), F.lit(1)) - 1)
-    right = lookup.join(hot, keys, "left").select(
-        *_as_lookup_keys(keys), *_besides(lookup, keys),
-        F.explode(lanes).alias(f"lookup_{LANE}"),
+    hot = hot_keys(weights, keys, skew)
+    left = dealt(with_hot(rows, hot, keys).drop(HOT_KEY), keys, spread)
+    right = with_hot(lookup, hot, keys).select(
+        *_as_lookup_keys(keys), *_besides(lookup, keys), F.explode(lanes_of()).alias(f"lookup_{LANE}"),
     )
-    on = [*keys, LANE]
-    matched = reduce(Column.__and__, [F.col(k) == F.col(f"lookup_{k}") for k in on])
-    joined = left.join(right, matched if residual is None else matched & residual, "left")
+    return matched(left, right, [*keys, LANE], residual)
+
+
+def matched(left: DataFrame, right: DataFrame, on: list[str], residual: Column | None) -> DataFrame:
+    """The left join on columns that are called lookup_… on the right."""
+    equal = reduce(Column.__and__, [F.col(k) == F.col(f"lookup_{k}") for k in on])
+    joined = left.join(right, equal if residual is None else equal & residual, "left")
     return joined.drop(*[f"lookup_{k}" for k in on])
 
 
+def lanes_of() -> Column:
+    """The lanes of a row's key, after `with_hot`."""
+    return F.sequence(F.lit(0), F.coalesce(F.col("lanes"), F.lit(1)) - 1)
+
+
 def _as_lookup_keys(keys: list[str]) -> list[Column]:
     return [F.col(k).alias(f"lookup_{k}") for k in keys]
 
@@ -76,7 +99,7 @@ def _besides(lookup: DataFrame, keys: list[str]) -> list[Column]:
     return [F.col(c) for c in lookup.columns if c not in keys]
 
 
-def _dealt(rows: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+def dealt(rows: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
     """Gives each row its lane: its key's `lanes` decide among how many."""
     deal = F.xxhash64(*spread)
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])

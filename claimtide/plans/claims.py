@@ -8,6 +8,12 @@ The wide fact is shuffled three times, and never by a bare business key:
 
 Claim level and result are both groupings within claim and month, so they run inside
 the third partitioning: the 99-column rows are never shuffled.
+
+A claim and month with more rows than a task should take (a placeholder claim of many
+policies) goes another way, from the scan on: such hot claim months are few, so their cause
+and flags are broadcast, the claim level is shuffled by all its keys, and the result's sums are
+merged map-side before one more shuffle. Where there are none, adaptive execution finds the
+list empty and leaves that branch out.
 """
 
 from __future__ import annotations
@@ -21,7 +27,9 @@ from claimtide.functions.money import (
     UNIT, from_units, from_units_sql, or_zero, require_exact_sums, to_units,
 )
 from claimtide.operators.latest import last_per_key
-from claimtide.operators.salted_join import LANE, Skew, salted_left_join
+from claimtide.operators.salted_join import (
+    LANE, Skew, hot_keys, salted_left_join, with_hot,
+)
 from claimtide.schema import (
     DIMENSIONS, GIVEN_DIMENSIONS, PREMIUM_MEASURES, capped, claim_measures, counts, output,
 )
@@ -35,9 +43,6 @@ _CARRIED = (
 
 _LOOKED_UP = ["agency_type", "loss_cause_type_name", "in_suit_flag", "attorney_rep_flag"]
 
-# Of those, what the result is still grouped by (accident month counts as its year).
-_RESULT_KEYS = [c for c in _CARRIED if c not in ("policy_reference", "accident_month")]
-
 # Sums from which every claim-level amount follows.
 _BASE_SUMS = {
     "paid_loss": ["paid_loss"],
@@ -107,9 +112,14 @@ def claim_rows(lrd: DataFrame) -> DataFrame:
     )
 
 
-def summed_rows(lrd: DataFrame) -> DataFrame:
-    """Base sums in units by every raw key, combined map-side before the shuffle."""
-    keyed = claim_rows(lrd).withColumns({
+def summed_rows(lrd: DataFrame, hot: DataFrame | None = None, side: str = "left_anti") -> DataFrame:
+    """Base sums in units by every raw key, combined map-side before the shuffle; of rows outside
+    the hot claim months (`left_anti`) or of these (`left_semi`), if they are given."""
+    rows = claim_rows(lrd)
+    if hot is not None:
+        month = _month_number(F.col("transaction_month")).alias("month_number")
+        rows = with_hot(rows, hot, [F.col("claim_number"), month], side)
+    keyed = rows.withColumns({
         "channel": D.partner_spelling(F.col("channel")),
         "py": F.year("policy_start_date"),
         "ry": F.year("report_month"),
@@ -142,7 +152,7 @@ def claim_context(by_cause: DataFrame, legal: DataFrame) -> DataFrame:
     number = _month_number(F.col("transaction_month")).alias("month_number")
     months = (
         last_per_key(
-            by_cause,
+            by_cause.filter("n_rows > 0"),  # all; see hot_claim_months
             keys=["claim_number"],
             order=["transaction_month", "total_incurred", "loss_cause_type_name"],
             extra=[F.collect_set(_month_number(F.col("transaction_month"))).alias("months")],
@@ -151,45 +161,70 @@ def claim_context(by_cause: DataFrame, legal: DataFrame) -> DataFrame:
             "claim_number", "loss_cause_type_name", F.explode("months").alias("month_number")
         )
     )
-    flags = legal.filter(F.col("transaction_month").isNotNull()).select(
-        "claim_number", number, "in_suit_flag", "attorney_rep_flag"
-    )
+    flags = legal.select("claim_number", number, "in_suit_flag", "attorney_rep_flag")
+    # Rows without a month have no flags. Asked here and not of `legal`: a filter would reach one
+    # of two uses of its changes, which then couldn't share a shuffle.
+    has_month = F.col("month_number") != _NO_MONTH
     return months.join(flags, ["claim_number", "month_number"], "left").withColumns({
-        "in_suit_flag": F.coalesce("in_suit_flag", F.lit(0)),
-        "attorney_rep_flag": F.coalesce("attorney_rep_flag", F.lit(0)),
+        name: F.coalesce(F.when(has_month, F.col(name)), F.lit(0)) for name in ("in_suit_flag", "attorney_rep_flag")
     })
 
 
-def rows_per_claim_month(by_cause: DataFrame) -> DataFrame:
+def hot_claim_months(by_cause: DataFrame, skew: Skew = Skew()) -> DataFrame:
+    """Claim months with more rows than a task should take: at most 1 / `skew.share`."""
     number = _month_number(F.col("transaction_month")).alias("month_number")
-    return by_cause.groupBy("claim_number", number).agg(F.sum("n_rows").alias("n_rows"))
+    # Amounts are asked for so that this use of the grouping has the same columns as the causes'.
+    counted = by_cause.filter(
+        F.col("claim_number").isNotNull() & (F.col("total_incurred").isNotNull() | (F.col("n_rows") > 0))
+    )
+    weights = counted.groupBy("claim_number", number).agg(F.sum("n_rows").alias("n_rows"))
+    return hot_keys(weights, ["claim_number", "month_number"], skew)
 
 
 def with_agency(rows: DataFrame, agency: DataFrame, spread: list[str], skew: Skew = Skew()) -> DataFrame:
-    """Adds the policy's latest agency type and lets it decide the channel."""
+    """Adds the policy's latest agency type and lets it decide the channel.
+
+    The agencies weigh their policies, too. Both uses ask for the same columns and rows, so
+    they share one shuffle, also with those of the other branch.
+    """
+    known = agency.filter("policy_reference IS NOT NULL")
     return salted_left_join(
-        rows, agency.select("policy_reference", "agency_type"), ["policy_reference"],
-        weights=agency, spread=spread, skew=skew,
+        rows, known.filter("n_rows > 0").select("policy_reference", "agency_type"), ["policy_reference"],
+        weights=known.filter("agency_type IS NOT NULL OR n_rows > 0"), spread=spread, skew=skew,
     ).drop(LANE).withColumn("channel", D.channel_of(F.col("agency_type"), F.col("channel")))
 
 
+def _level(rows: DataFrame) -> DataFrame:
+    # A raw channel is finer than the final one, so the sums are added up once more.
+    return with_claim_amounts(rows.groupBy(*_CARRIED, *_LOOKED_UP, "month_number").agg(
+        *[F.sum(name).alias(name) for name in [*_BASE_SUMS, "total_ss"]]
+    ))
+
+
+def claim_level_parts(
+    lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew()
+) -> tuple[DataFrame, DataFrame]:
+    """Claim-level amounts in units outside the hot claim months, partitioned by claim and
+    month, and those of the hot ones, partitioned by all keys."""
+    key = ["claim_number", "month_number"]
+    hot = hot_claim_months(by_cause, skew)
+    context = claim_context(by_cause, legal)
+
+    def joined(side: str, lookup: DataFrame) -> DataFrame:
+        rows = with_agency(summed_rows(lrd, hot, side), agency, spread=_CARRIED, skew=skew)
+        return rows.withColumn("month_number", _month_number(F.col("transaction_month"))).join(lookup, key, "left")
+
+    # One row a claim month, so no more than the list has.
+    few = F.broadcast(with_hot(context, hot, key, "left_semi"))
+    return _level(joined("left_anti", context)), _level(joined("left_semi", few))
+
+
 def claim_level_units(
     lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew()
 ) -> DataFrame:
-    """Claim-level amounts in units; keeps the join's `month_number` and `lane`."""
-    rows = with_agency(summed_rows(lrd), agency, spread=_CARRIED, skew=skew)
-    rows = rows.withColumn("month_number", _month_number(F.col("transaction_month")))
-    key = ["claim_number", "month_number"]
-    spread = [c for c in _RESULT_KEYS if c not in ("claim_number", "transaction_month")]
-    rows = salted_left_join(
-        rows, claim_context(by_cause, legal), key,
-        weights=rows_per_claim_month(by_cause), spread=[*spread, "agency_type"], skew=skew,
-    )
-    # A raw channel is finer than the final one, so the sums are added up once more.
-    level = rows.groupBy(*_CARRIED, *_LOOKED_UP, "month_number", LANE).agg(
-        *[F.sum(name).alias(name) for name in [*_BASE_SUMS, "total_ss"]]
-    )
-    return with_claim_amounts(level)
+    """Claim-level amounts in units; keeps the join's `month_number`."""
+    cold, hot = claim_level_parts(lrd, agency, by_cause, legal, skew=skew)
+    return cold.unionByName(hot)
 
 
 def with_claim_amounts(level: DataFrame) -> DataFrame:
@@ -331,12 +366,13 @@ def claims_branch(
     caps: dict[str, int] = V.CAPS,
 ) -> DataFrame:
     """The claims half of the result, in output columns and types, limited at `caps`."""
-    level = with_result_labels(claim_level_units(lrd, agency, by_cause, legal, skew=skew))
-    # 28 keys and 73 sums: past spark.sql.codegen.maxFields (100), which is as it should
+    cold, hot = claim_level_parts(lrd, agency, by_cause, legal, skew=skew)
+    sums = [F.expr(f"{total} AS {name}") for name, total in result_sums(caps).items()]
+    # 27 keys and 73 sums: past spark.sql.codegen.maxFields (100), which is as it should
     # be. One generated method for all of them ran four times slower than Spark's
     # per-expression projections, because the JVM hardly optimises methods that size.
-    rolled = level.groupBy(*DIMENSIONS, "month_number", LANE).agg(
-        *[F.expr(f"{total} AS {name}") for name, total in result_sums(caps).items()]
+    rolled = with_result_labels(cold).groupBy(*DIMENSIONS, "month_number").agg(*sums).drop("month_number").unionByName(
+        with_result_labels(hot).groupBy(*DIMENSIONS).agg(*sums)
     )
     # Premium has no meaning on a claim row.
     values = {**derived_measures(caps), **dict.fromkeys(PREMIUM_MEASURES, "NULL")}

@@ -4,14 +4,17 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from builders import FOREVER, PLAIN, changes, claim_level, claims_branch, fact, history
 from claimtide.functions import dimensions as D
+from claimtide.functions.exposure import cumulative_days
 from claimtide.functions.money import from_units, to_units
 from claimtide.operators import latest, legal
+from claimtide.operators.earned_exposure import TERM_MONTH, term_months
 from claimtide.plans import claims, premium
 from claimtide.schema import CLAIM_MEASURES, OUTPUT, PREMIUM_MEASURES
+from comparing import bag
 
 D4 = Decimal("0.0001")
 
@@ -344,3 +347,24 @@ def test_both_branches_have_the_output_contract(spark):
     ):
         assert [(f.name, f.dataType) for f in branch.schema] == wanted
     assert len(wanted) == 125
+
+
+def test_rows_without_a_policy_follow_each_other_over_months(spark):
+    """The differences are those of one window over all rows without a policy."""
+    rows = []
+    for i in range(400):
+        rows.append({
+            "policy_reference": None if i % 2 else f"P{i % 5}",
+            "transaction_month": None if i % 37 == 0 else date(2023 + i % 2, 1 + i % 11, 1),
+            "policy_start_date": None if i % 41 == 0 else date(2023, 1 + i % 12, 1 + i % 28),
+            "policy_end_date": None if i % 43 == 0 else date(2024, 1 + i % 7, 1 + i % 28),
+        })
+    terms = fact(spark, *rows).select(*TERM_MONTH, "lob").distinct()
+    got = term_months(terms, ["lob"]).select(*TERM_MONTH, "earned_days")
+    order = Window.partitionBy("policy_reference").orderBy(
+        F.col("transaction_month").asc_nulls_last(), F.col("policy_start_date").asc_nulls_first(),
+        F.col("policy_end_date").asc_nulls_first())
+    days = cumulative_days(F.col("policy_start_date"), F.col("policy_end_date"), F.col("transaction_month"))
+    plain = terms.select(*TERM_MONTH, days.alias("d")).withColumn(
+        "earned_days", F.coalesce(F.col("d") - F.lag("d", 1).over(order), F.col("d"))).drop("d")
+    assert bag(got) == bag(plain) and got.filter("policy_reference IS NULL").count() > 100

@@ -69,11 +69,36 @@ def test_claim_level_and_result_run_inside_the_last_join(small, shuffled_joins,
     assert top.count("HashAggregate") == 4 and "Exchange" not in top
 
 
-def test_lane_is_part_of_the_join_shuffle(small, shuffled_joins):
+def test_the_last_shuffle_of_cold_rows_is_by_claim_and_month(small, shuffled_joins):
     plan = plan_of(branches(small, Skew())[0])
     below = plan[plan.index("SortMergeJoin"):]
     first = next(line for line in below.splitlines() if "Exchange hashpartitioning" in line)
-    assert "claim_number" in first and "month_number" in first and "lane" in first
+    assert "claim_number" in first and "month_number" in first
+
+
+def test_hot_claim_months_are_shuffled_by_all_keys(small, shuffled_joins):
+    """Of the claim level of hot claim months, policy and accident month are part of the shuffle."""
+    inputs = (small.lrd, latest_agency(small.lrd), incurred_by_cause(small.lrd),
+              legal_flags_by_claim_month(small.fin_changes, small.legal_scd))
+    first = next(line for line in plan_of(claims.claim_level_parts(*inputs)[1]).splitlines() if "Exchange hashpartitioning" in line)
+    assert all(column in first for column in ("policy_reference", "accident_month", "claim_number", "coverage"))
+
+
+def test_each_input_is_scanned_once_for_each_use(spark, small, shuffled_joins):
+    """The fact five times (claims, causes, agencies, premium, and the rows of hot claim months), the
+    changes and the history once: weights and lookups share what they group."""
+    plan = plan_of(emergence(*small))
+    assert plan.count("FileScan") == 7
+    assert plan_of(legal_flags_by_claim_month(small.fin_changes, small.legal_scd)).count("FileScan") == 2
+
+
+def test_the_branch_of_hot_claim_months_is_left_out_where_there_are_none(spark, small):
+    result = emergence(*small)
+    result.collect()
+    final = result._jdf.queryExecution().executedPlan().toString()
+    final, initial = final.split("== Initial Plan ==", 1)
+    claim_scans = [line for line in final.splitlines() if "FileScan" in line and "report_month" in line]
+    assert len(claim_scans) == 1 and initial.count("report_month:date") > 1
 
 
 def test_premium_sums_are_shuffled_once(small, shuffled_joins):

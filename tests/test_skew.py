@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import FOREVER, changes, fact, history
-from claimtide.operators.legal import scd_interval_join
+from claimtide.operators.interval_join import interval_left_join, sides
+from claimtide.operators.latest import incurred_by_cause, latest_agency
+from claimtide.operators.legal import legal_flags_by_claim_month, scd_interval_join
 from claimtide.operators.salted_join import LANE, Skew, hot_keys, salted_left_join
+from claimtide.plans import claims
 from claimtide.plans.emergence import emergence
 from comparing import bag
 
@@ -106,3 +109,72 @@ def test_equal_changes_meet_a_status_once(spark):
     rows = scd_interval_join(fin, scd, TINY_LANES).groupBy("date", "legal_status").count().collect()
     assert {(r.date, r.legal_status): r["count"] for r in rows} == {
         (date(2024, 3, 5), "in suit"): 500, (date(2024, 1, 1), None): 1}
+
+
+@pytest.fixture()
+def many_tasks(spark):
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    for key, value in saved.items():
+        spark.conf.set(key, value)
+
+
+def test_one_claim_and_month_over_many_policies(spark, many_tasks):
+    """A placeholder claim with 100,000 policies: its claim level is dealt evenly, its result is
+    merged, and both are the same as without lanes."""
+    base = fact(spark, {"incurred_loss": 40_000, "paid_loss": 10})
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(99_999)))
+    lrd = base.withColumn("i", numbers).withColumns({
+        "policy_reference": F.concat(F.lit("P"), F.col("i")),
+        "incurred_loss": (F.col("i") % 7 * 10_000).cast("decimal(18,4)"),
+        "claim_number": F.when(F.col("i") < 99_000, "C0").otherwise(F.concat(F.lit("C"), F.col("i"))),
+    }).drop("i")
+    none = changes(spark), history(spark)
+    agency, by_cause = latest_agency(lrd), incurred_by_cause(lrd)
+    legal = legal_flags_by_claim_month(*none)
+    skew = Skew(rows_per_lane=10_000)
+    cold, hot = claims.claim_level_parts(lrd, agency, by_cause, legal, skew)
+    tasks = [r["count"] for r in hot.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(tasks) == 99_000 and cold.count() == 1_000
+    assert max(tasks) < 2 * sum(tasks) / 16
+    columns = ["claim_number", "reported_cc", "open_cc", "ll_a_cc", "case_loss_on_open_capped_a", "reported_loss"]
+    rows = claims.claims_branch(lrd, agency, by_cause, legal, skew)
+    plain = claims.claims_branch(lrd, agency, by_cause, legal)
+    assert rows.count() == 1_001
+    assert bag(rows.select(columns)) == bag(plain.select(columns))
+
+
+def _dated(spark, days, status):
+    rows = spark.range(10_000).select(
+        F.lit("E").alias("k"), F.date_add(F.lit("2014-01-01").cast("date"), (F.col("id") % days).cast("int")).alias("date"), "id")
+    ranges = spark.range(10_000).select(
+        F.lit("E").alias("k"), F.date_add(F.lit("2014-01-01").cast("date"), (F.col("id") * 7 % days).cast("int")).alias("first_day"),
+        (F.col("id") % 5).alias("status"),
+    )
+    return rows, ranges.withColumn("last_day", status)
+
+
+def test_one_key_of_many_rows_and_ranges_meets_them_by_month(spark):
+    """10,000 rows and 10,000 ranges of one key: no quadratic number of pairs before the condition."""
+    rows, ranges = _dated(spark, 3650, F.date_add("first_day", 3))
+    left, right = sides(rows, ranges, "k", ["id"], [], Skew())
+    met = left.join(right, [F.col("k") == F.col("lookup_k"), F.col("lane") == F.col("lookup_lane"),
+                            F.col("month_bucket") == F.col("lookup_month_bucket")]).count()
+    assert met < 2_000_000
+    got = interval_left_join(rows, ranges, "k", ["id"], skew=Skew(rows_per_lane=500))
+    plain = rows.join(ranges.drop("k"), F.col("date").between(F.col("first_day"), F.col("last_day")), "left")
+    columns = ["id", "date", "status", "first_day"]
+    checksum = lambda f: f.select(F.count("*"), F.sum(F.xxhash64("id", "date", "status").cast("decimal(38,0)"))).first()
+    assert checksum(got) == checksum(plain) and set(columns[:3]) <= set(got.columns)
+
+
+def test_merged_open_ended_ranges_are_a_few_hundred_a_month(spark):
+    rows, ranges = _dated(spark, 3650, F.lit("9999-12-30").cast("date"))
+    ranges = ranges.groupBy("k", "first_day", "last_day").agg(F.max("status").alias("status"))
+    _, right = sides(rows, ranges, "k", ["id"], ["status"], Skew())
+    assert right.groupBy("lookup_month_bucket").count().agg(F.max("count")).first()[0] <= 31
+    got = interval_left_join(rows, ranges, "k", ["id"], merged=["status"]).groupBy("id").agg(F.max("status").alias("status"))
+    plain = rows.join(ranges.drop("k"), F.col("date") >= F.col("first_day"), "left").groupBy("id").agg(F.max("status").alias("status"))
+    assert bag(got) == bag(plain)
