@@ -15,14 +15,15 @@ from claimtide.functions.money import from_units, or_zero, to_units
 from claimtide.operators import earned_exposure as E, latest as L, legal as G
 from claimtide.operators.salted_join import salted_left_join
 from claimtide.plans import claims as C, premium as P
-from claimtide.plans.emergence import emergence, ordered, rolled_up
+from claimtide.plans.emergence import emergence, rolled_up
+from claimtide.plans.layout import ordered, result_borders
 from claimtide.schema import (
     CLAIM_MEASURES, COUNTS, MONEY_OUT, PREMIUM_MEASURES, capped,
 )
-from claimtide.session import shared_root
+from claimtide.session import scratch_root
 from claimtide.sources import driver_tables
 from claimtide.sources.staged import Inputs, inputs
-from claimtide.sources.tables import publish_parquet
+from claimtide.sources.tables import publish_parquet, published
 
 # A second set of limits, which the result takes as well as the default ones.
 OTHER_CAPS = {"low": 12_345, "mid": 60_000, "high": 2_500_000}
@@ -102,9 +103,10 @@ def cap_inputs(t: Inputs) -> DataFrame:
 @_over_source
 def publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The result, written by the sink and read back."""
-    path = f"{shared_root(spark)}/published"  # one place, replaced by every call
-    publish_parquet(emergence(*inputs(spark, folder)), path)
-    return spark.read.parquet(path)
+    path = f"{scratch_root(spark)}/published"  # one place, replaced by every call
+    t = inputs(spark, folder)
+    publish_parquet(emergence(*t), path, result_borders(t.lrd))
+    return published(spark, path)
 
 
 # --- filters -----------------------------------------------------------------------
@@ -551,4 +553,4 @@ def final_rollup(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def ordered_output(t: Inputs) -> DataFrame:
-    return ordered(emergence(*t))
+    return ordered(emergence(*t), result_borders(t.lrd))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
 
+from claimtide.sources.files import Store
+
 
 def build_session(app: str = "claimtide", cores: int | None = None) -> SparkSession:
     """A local session for tests and the bench; on a cluster use the one you are given."""
@@ -31,6 +34,29 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# The scratch folder of each application that this process drives, with its store. An
+# application's folder lives as long as the process, which may read its tables to the end.
+_scratch: dict[str, tuple[Store, str]] = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own folder under the shared one, which is removed when the process ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _scratch:
+        folder = f"{shared_root(spark)}/claimtide-{application}"
+        if not _scratch:
+            atexit.register(remove_scratch)
+        _scratch[application] = Store(spark, folder), folder
+    return _scratch[application][1]
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the shared one."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder for tables that the application needs until it ends."""
+    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_scratch() -> None:
+    """Removes the scratch folders of this process's applications."""
+    while _scratch:
+        _, (store, folder) = _scratch.popitem()
+        store.remove(folder)

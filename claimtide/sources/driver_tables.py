@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from claimtide.schema import FIN_CHANGES, LRD, MONEY_IN
 
 
+# The tables that the inputs are derived from.
+TABLES = ("nation", "customer", "orders", "lineitem")
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

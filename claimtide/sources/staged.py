@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from claimtide.schema import FIN_CHANGES, LEGAL_SCD, LRD
 from claimtide.session import shared_folder
 from claimtide.sources import driver_tables
+from claimtide.sources.files import Store
 from claimtide.sources.tables import conform
 
 
@@ -25,19 +26,24 @@ class Inputs(NamedTuple):
     legal_scd: DataFrame
 
 
-# Where this application has stored the inputs of a folder. Another application stores its own.
-_stored: dict[tuple[str, str], str] = {}
+# Where this application has stored the inputs of a folder, and from which version of the tables.
+# Another application stores its own; all of it is removed when the process ends.
+_stored: dict[tuple[str, str], tuple[tuple, str]] = {}
 
 
 def stage(spark: SparkSession, folder: str) -> str:
-    """Where the inputs of `folder` are stored; writes them at an application's first use."""
+    """Where the inputs of `folder` are stored; writes them at an application's first use, and
+    anew when a table behind them was rewritten. What was stored before stays to the end, as
+    a query may still be reading it."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _stored:
+    files = Store(spark, folder)
+    version = tuple(files.version(f"{folder}/{name}.parquet") for name in driver_tables.TABLES)
+    if key not in _stored or _stored[key][0] != version:
         target = shared_folder(spark, "inputs")
         driver_tables.fact_and_changes(spark, folder).write.parquet(f"{target}/lines")
         driver_tables.legal_scd(spark, folder).write.parquet(f"{target}/legal_scd")
-        _stored[key] = target
-    return _stored[key]
+        _stored[key] = version, target
+    return _stored[key][1]
 
 
 def inputs(spark: SparkSession, folder: str) -> Inputs:

@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from claimtide.plans.emergence import ordered
+from claimtide.plans.layout import ordered
 from claimtide.schema import AS_GIVEN, MAY_HOLD_TIME, MONEY_IN, PLACES
-from claimtide.session import shared_folder
+from claimtide.sources.files import Store
 
 _TIMED = (T.TimestampType, T.TimestampNTZType)
 
@@ -54,23 +54,85 @@ def from_table(spark: SparkSession, name: str, contract: T.StructType) -> DataFr
     return conform(spark.table(name), contract)
 
 
-def publish_table(rows: DataFrame, name: str) -> None:
-    """Replaces the table by the rows in result order; a failure leaves the old one."""
-    spark, beside = rows.sparkSession, f"{name}_{uuid.uuid4().hex}"
-    _stored_in_order(rows).write.saveAsTable(beside)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+# The file of a published folder that names the version to read.
+CURRENT = "_current"
+_VERSION = "version-"
 
 
-def publish_parquet(rows: DataFrame, path: str) -> None:
-    """Replaces the files at `path` by the rows in result order. Only finished rows are
-    copied there, so a failing query leaves the old files."""
-    _stored_in_order(rows).write.mode("overwrite").parquet(path)
+def publish_parquet(rows: DataFrame, path: str, borders: list[str] | None = None) -> None:
+    """Replaces what is published at `path` by the rows in result order; `published` reads it.
 
+    The rows become a version of their own below `path`, and the pointer to the version is then
+    replaced by one rename: whatever fails before it leaves the old rows, and readers see one
+    version or the other. The version before stays for those who are reading it; older ones,
+    and what failed runs left, are removed first. One writer at a time.
+    """
+    store = Store(rows.sparkSession, path)
+    _remove_but(store, path, store.read_text(f"{path}/{CURRENT}"))
+    version = f"{_VERSION}{uuid.uuid4().hex}"
+    ordered(rows, borders).write.parquet(f"{path}/{version}")
+    store.replace_text(f"{path}/{CURRENT}", version)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """What is published at `path` now."""
+    version = Store(spark, path).read_text(f"{path}/{CURRENT}")
+    if version is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.parquet(f"{path}/{version}")
 
-def _stored_in_order(rows: DataFrame) -> DataFrame:
-    """The rows, evaluated once into a folder beside, and put in order from there: a sort samples
-    its input, which would else run the whole pipeline twice."""
-    spark, beside = rows.sparkSession, shared_folder(rows.sparkSession, "unordered")
-    rows.write.parquet(beside)
-    return ordered(spark.read.schema(rows.schema).parquet(beside))
+
+def publish_table(rows: DataFrame, name: str, borders: list[str] | None = None) -> None:
+    """Replaces the table by the rows in result order; a failure leaves the old one.
+
+    As `publish_parquet`, with the table's location as the pointer. Where the columns have changed
+    the new table takes the old one's name, which gets it back if that fails.
+    """
+    spark = rows.sparkSession
+    folder = _versions_of(spark, name)
+    store = Store(spark, folder)
+    exists = spark.catalog.tableExists(name)
+    _remove_but(store, folder, _location(spark, name).rsplit("/", 1)[-1] if exists else None)
+    target = f"{folder}/{_VERSION}{uuid.uuid4().hex}"
+    ordered(rows, borders).write.parquet(target)
+    if not exists:
+        _table_at(spark, name, target)
+    elif _columns(spark.table(name)) == _columns(spark.read.parquet(target)):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
+    else:
+        mark = uuid.uuid4().hex
+        _table_at(spark, f"{name}_new_{mark}", target)
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}_old_{mark}")
+        try:
+            spark.sql(f"ALTER TABLE {name}_new_{mark} RENAME TO {name}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {name}_old_{mark} RENAME TO {name}")
+            raise
+        spark.sql(f"DROP TABLE {name}_old_{mark}")
+    spark.catalog.refreshTable(name)
+
+
+def _table_at(spark: SparkSession, name: str, target: str) -> None:
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{target}'")
+
+
+def _columns(rows: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in rows.schema]
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {name}")
+    return described.filter("col_name = 'Location'").first()["data_type"]
+
+
+def _versions_of(spark: SparkSession, name: str) -> str:
+    """The folder of a table's versions, below its database's."""
+    *database, table = name.split(".")
+    described = spark.sql(f"DESCRIBE DATABASE {'.'.join(database) or spark.catalog.currentDatabase()}")
+    return f"{described.filter("info_name = 'Location'").first()['info_value'].rstrip('/')}/{table}__versions"
+
+
+def _remove_but(store: Store, folder: str, current: str | None) -> None:
+    for name in store.names(folder):
+        if name.startswith(_VERSION) and name != current:
+            store.remove(f"{folder}/{name}")

@@ -1,4 +1,8 @@
+import subprocess
+import sys
+from collections import Counter
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import ArithmeticException
@@ -7,16 +11,18 @@ from pyspark.sql import functions as F, types as T
 from builders import FOREVER, changes, claims_branch, fact, history
 from claimtide.operators.latest import latest_agency
 from claimtide.plans.emergence import emergence
+from claimtide.plans.layout import ordered, range_of, result_borders, sort_code
 from claimtide.plans.premium import premium_branch
 from claimtide.schema import FIN_CHANGES, LEGAL_SCD, LRD, OUTPUT, output
 from claimtide.session import shared_folder
 from claimtide.sources import staged
-from claimtide.sources.tables import (
-    conform, from_parquet, from_table, publish_parquet, publish_table,
-)
+from claimtide.sources.files import Store
+from claimtide.sources.tables import conform, from_table, publish_parquet, publish_table, published
 from comparing import bag
 from conftest import SMALL
 
+ROOT = Path(__file__).resolve().parent.parent
+
 
 def test_missing_column_is_an_error(spark):
     with pytest.raises(ValueError, match="exposure_id"):
@@ -93,29 +99,109 @@ def test_other_caps(spark):
     assert (row.ll_x_cc, row.ll_y_cc, int(row.case_loss_on_open_capped_x)) == (1, 0, 30)
 
 
+def test_a_rewritten_table_is_stored_anew(spark, tmp_path):
+    for name in ("nation", "customer", "orders", "lineitem"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    before = staged.inputs(spark, str(tmp_path)).lrd.count()
+    assert staged.stage(spark, str(tmp_path)) == staged.stage(spark, str(tmp_path))
+    spark.read.parquet(f"{SMALL}/lineitem.parquet").filter("l_linenumber < 3").write.mode("overwrite").parquet(
+        f"{tmp_path}/lineitem.parquet")
+    assert 0 < staged.inputs(spark, str(tmp_path)).lrd.count() < before
+
+
+def test_nothing_is_left_when_the_process_ends(tmp_path):
+    """A process of its own runs a query of either part and leaves the shared folder empty."""
+    program = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+from claimtide.queries import queries
+builder = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
+spark = builder.config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+queries()["publish_roundtrip"](spark, {SMALL!r}).count()
+import os
+assert any(n.startswith("claimtide") for n in os.listdir({str(tmp_path / "shared")!r}))
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", program], check=True, capture_output=True, timeout=300, cwd=tmp_path)
+    # Spark itself makes a folder for checkpoints, which holds nothing.
+    assert not [p for p in (tmp_path / "shared").rglob("*") if p.is_file() or p.name.startswith("claimtide")]
+
+
 def test_publish_parquet_replaces(spark):
     path = shared_folder(spark, "test-published")
     result = claims_branch(spark, fact(spark, {}))
-    for _ in range(2):
-        publish_parquet(result, path)
-    back = from_parquet(spark, path, OUTPUT)
-    assert bag(back) == bag(result)
+    with pytest.raises(FileNotFoundError):
+        published(spark, path)
+    for _ in range(3):
+        publish_parquet(result, path, [])
+    assert bag(conform(published(spark, path), OUTPUT)) == bag(result)
+    # The version that is read, the one before, and the pointer.
+    assert len([n for n in Store(spark, path).names(path) if n.startswith("version-")]) == 2
+
+
+@pytest.fixture()
+def database(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE claims_test LOCATION '{tmp_path}'")
+    yield "claims_test"
+    spark.sql("DROP DATABASE claims_test CASCADE")
 
 
-def test_publish_table_replaces(spark, tmp_path):
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS claims_test LOCATION '{tmp_path}'")
+def test_publish_table_replaces(spark, database):
     result = claims_branch(spark, fact(spark, {}))
-    for _ in range(2):
-        publish_table(result, "claims_test.monthly")
-    assert bag(from_table(spark, "claims_test.monthly", OUTPUT)) == bag(result)
-    spark.sql("DROP DATABASE claims_test CASCADE")
+    for rows in (result, result.limit(0), result):
+        publish_table(rows, "claims_test.monthly")
+        assert bag(from_table(spark, "claims_test.monthly", OUTPUT)) == bag(rows)
+    other = result.withColumn("more", F.lit(1))
+    publish_table(other, "claims_test.monthly", [])
+    assert bag(spark.table("claims_test.monthly")) == bag(other)
+    assert [t.name for t in spark.catalog.listTables("claims_test")] == ["monthly"]
+
 
+def _failures(spark, result):
+    """A query that fails before the write, one that fails in it, and a write that can't begin."""
+    text = F.when(F.col("transaction_month").isNotNull(), F.raise_error(F.lit("broken"))).cast("string")
+    yield result.withColumn("state", text), None, None
+    yield result.withColumn("state", text), [], None
+    yield result, [], ("parquet.block.size", "nonsense")
 
-def test_a_failing_query_leaves_what_is_published(spark):
+
+def test_a_failure_leaves_what_is_published(spark, database):
     path = shared_folder(spark, "test-published")
     result = claims_branch(spark, fact(spark, {}))
     publish_parquet(result, path)
-    broken = result.withColumn("state", F.raise_error(F.lit("broken")).cast("string"))
-    with pytest.raises(Exception, match="broken"):
-        publish_parquet(broken, path)
-    assert bag(from_parquet(spark, path, OUTPUT)) == bag(result)
+    publish_table(result, "claims_test.monthly")
+    for broken, borders, setting in _failures(spark, result):
+        if setting:
+            spark.conf.set(*setting)
+        try:
+            with pytest.raises(Exception, match="broken|nonsense"):
+                publish_parquet(broken, path, borders)
+            with pytest.raises(Exception, match="broken|nonsense"):
+                publish_table(broken, "claims_test.monthly", borders)
+        finally:
+            if setting:
+                spark.conf.unset(setting[0])
+        assert bag(conform(published(spark, path), OUTPUT)) == bag(result)
+        assert bag(from_table(spark, "claims_test.monthly", OUTPUT)) == bag(result)
+    publish_parquet(result, path)
+    assert len([n for n in Store(spark, path).names(path) if n.startswith("version-")]) == 2
+
+
+def test_ranges_are_in_order_and_even(spark, small):
+    """With borders, partitions follow each other in result order, from one evaluation."""
+    result = emergence(*small)
+    rows = ordered(result, result_borders(small.lrd, 16)).withColumn("task", F.spark_partition_id())
+    codes = [(r.task, r.code) for r in rows.select("task", sort_code().alias("code")).collect()]
+    assert [t for t, _ in codes] == sorted(t for t, _ in codes)
+    assert [c for _, c in codes] == sorted(c for _, c in codes)
+    sizes = [n for n in Counter(t for t, _ in codes).values()]
+    assert len(sizes) >= 14 and max(sizes) < 2 * sum(sizes) / 16
+
+
+def test_range_of_counts_borders(spark):
+    borders = [f"b{k:03}" for k in range(0, 500, 5)]
+    rows = spark.range(600).select(F.format_string("b%03d", "id").alias("code"), "id")
+    for some in (borders, borders[:1], borders[:2], borders[:7], []):
+        found = rows.select("id", range_of(F.col("code"), some).alias("n")).collect()
+        assert all(r.n == sum(b <= f"b{r.id:03}" for b in some) for r in found)
