@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtide.functions.money import to_units
+from claimtide.functions.money import exact_total, to_units
 
 
 def last_per_key(
@@ -51,7 +51,7 @@ def incurred_by_cause(lrd: DataFrame) -> DataFrame:
     """Incurred amounts by claim, cause and month over the whole fact; rows without a claim
     are groups like others, which no join finds."""
     return lrd.groupBy("claim_number", "loss_cause_type_name", "transaction_month").agg(
-        F.sum(to_units(F.col("incurred_loss_and_alae_ss"))).alias("total_incurred"),
+        exact_total(to_units(F.col("incurred_loss_and_alae_ss"))).alias("total_incurred"),
         F.count(F.lit(1)).alias("n_rows"),
     )
 

@@ -34,7 +34,7 @@ _WITH_PAY = f"{_CLOSED} AND paid_loss > 0"
 _NO_PAY = f"{_CLOSED} AND paid_loss = 0"
 
 
-def _result_measures(caps: dict[str, int] = R.CAPS) -> dict[str, str]:
+def _result_measures(caps: dict[str, int] | dict[str, str] = R.CAPS) -> dict[str, str]:
     """The 97 claim measures over claim-level rows."""
     measures = {
         "open_cc": _rows_where(_OPEN),
@@ -88,6 +88,12 @@ def _result_measures(caps: dict[str, int] = R.CAPS) -> dict[str, str]:
 # A second set of limits, of the query `cross_join_caps` alone.
 _OTHER_CAPS = {"low": 12_345, "mid": 60_000, "high": 2_500_000}
 
+# And a third one, of rows of a table.
+_REGION_CAPS = {
+    level: f"(SELECT (r_regionkey + 1) * 15000 FROM region WHERE r_name = '{name}')"
+    for level, name in {"first": "AFRICA", "third": "ASIA"}.items()
+}
+
 _MEASURES = _result_measures()
 _COUNTS = [m for m in _MEASURES if m.endswith(("_cc", "_count"))]
 
@@ -236,6 +242,9 @@ def _bodies() -> dict[str, str]:
             name: sql for name, sql in _result_measures(_OTHER_CAPS).items()
             if name.startswith("ll_") or name.startswith(
                 ("paid_lossalaess_on_closed_capped", "case_lossalae_on_open_capped"))}),
+        "caps_from_a_table": _per_year_and_lob({
+            name: sql for name, sql in _result_measures(_REGION_CAPS).items()
+            if name.startswith(("ll_", "case_lossalae_on_open_capped"))}),
         "cap_ladder": _per_year_and_lob({
             f"capped_{level}_{amount}": _money(f"sum(least({amount}, {cap}))")
             for amount in limited for level, cap in R.CAPS.items()}),

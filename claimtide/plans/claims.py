@@ -286,9 +286,42 @@ def claim_level(
 # one parsed expression costs the driver a tenth of what building it call by call does.
 
 
-def limit(amount: str, cap: int) -> str:
+class RunTimeCaps(dict[str, str]):
+    """Caps that come from a table: level -> column with its units, and the one row of them all."""
+
+    def __init__(self, levels: list[str], row: Column) -> None:
+        super().__init__({level: f"cap_units_{level}" for level in levels})
+        self.row = row
+
+    def beside(self, level: DataFrame) -> DataFrame:
+        return level.withColumn("caps_row", self.row).withColumns(
+            {column: F.col("caps_row").getField(name) for name, column in self.items()}
+        ).drop("caps_row")
+
+
+def caps_of(table: DataFrame, levels: list[str]) -> RunTimeCaps:
+    """The caps in a table of (level, cap), read when the query runs: the plan, and the result's
+    columns, depend on the names of the levels only. Each has to have one row with a cap; other
+    levels are ignored. The table is reduced to one row where it lies, whatever its size.
+    """
+    def one(level: str) -> Column:
+        own = F.when(F.col("level") == level, F.col("cap"))
+        wrong = F.raise_error(F.lit(f"cap {level}: not one row"))
+        return F.when(F.count(own) == 1, to_units(F.max(own))).otherwise(wrong.cast("bigint")).alias(level)
+
+    return RunTimeCaps(levels, table.agg(F.struct(*[one(level) for level in levels]).alias("caps")).scalar())
+
+
+Caps = dict[str, int] | RunTimeCaps
+
+
+def cap_units(cap: int | str) -> str:
+    return cap if isinstance(cap, str) else f"{cap * UNIT}L"
+
+
+def limit(amount: str, cap: int | str) -> str:
     """The amount in units, at most `cap`; NULL stays NULL (`least` would return the cap)."""
-    return f"CASE WHEN {amount} > {cap * UNIT}L THEN {cap * UNIT}L ELSE {amount} END"
+    return f"CASE WHEN {amount} > {cap_units(cap)} THEN {cap_units(cap)} ELSE {amount} END"
 
 
 # Statuses of a claim-level row. A NULL or negative paid loss is neither closed with pay nor
@@ -305,7 +338,7 @@ STATUSES = {
 }
 
 
-def result_sums(caps: dict[str, int] = V.CAPS) -> dict[str, str]:
+def result_sums(caps: Caps = V.CAPS) -> dict[str, str]:
     """The 73 sums behind the 97 claim measures; `derived_measures` gives the rest."""
     def count(condition: str) -> str:
         return f"sum(CASE WHEN {condition} THEN 1 ELSE 0 END)"
@@ -328,7 +361,7 @@ def result_sums(caps: dict[str, int] = V.CAPS) -> dict[str, str]:
     for name in ("reported_loss_ss", "reported_lossandalae_ss"):
         sums[f"nonzero_{name}"] = total(STATUSES["nonzero_reported"], name)
     for level, cap in caps.items():
-        sums[f"ll_{level}_cc"] = count(f"reported_lossandalae_ss > {cap * UNIT}L")
+        sums[f"ll_{level}_cc"] = count(f"reported_lossandalae_ss > {cap_units(cap)}")
     for name, (amount, state) in _SPLITS.items():
         sums[_UNLIMITED_NAME.get(name, name)] = total(STATUSES[state], amount)
         for level, cap in caps.items():
@@ -336,7 +369,7 @@ def result_sums(caps: dict[str, int] = V.CAPS) -> dict[str, str]:
     return sums
 
 
-def derived_measures(caps: dict[str, int] = V.CAPS) -> dict[str, str]:
+def derived_measures(caps: Caps = V.CAPS) -> dict[str, str]:
     """Measures that are differences of sums, or sums a group's labels decide."""
     def where_yes(label: str, count: str) -> str:
         return f"CASE WHEN {label} = 'Yes' THEN {count} ELSE 0 END"
@@ -363,10 +396,12 @@ def derived_measures(caps: dict[str, int] = V.CAPS) -> dict[str, str]:
 
 def claims_branch(
     lrd: DataFrame, agency: DataFrame, by_cause: DataFrame, legal: DataFrame, skew: Skew = Skew(),
-    caps: dict[str, int] = V.CAPS,
+    caps: Caps = V.CAPS,
 ) -> DataFrame:
     """The claims half of the result, in output columns and types, limited at `caps`."""
     cold, hot = claim_level_parts(lrd, agency, by_cause, legal, skew=skew)
+    if isinstance(caps, RunTimeCaps):
+        cold, hot = caps.beside(cold), caps.beside(hot)
     sums = [F.expr(f"{total} AS {name}") for name, total in result_sums(caps).items()]
     # 27 keys and 73 sums: past spark.sql.codegen.maxFields (100), which is as it should
     # be. One generated method for all of them ran four times slower than Spark's

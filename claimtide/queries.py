@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from claimtide import fixed_values as V
 from claimtide.functions import dimensions as D
 from claimtide.functions.exposure import policy_years
-from claimtide.functions.money import from_units, or_zero, to_units
+from claimtide.functions.money import exact_total, from_units, or_zero, to_units
 from claimtide.operators import earned_exposure as E, latest as L, legal as G
 from claimtide.operators.salted_join import salted_left_join
 from claimtide.plans import claims as C, premium as P
@@ -28,6 +28,9 @@ from claimtide.sources.tables import publish_parquet, published
 # A second set of limits, which the result takes as well as the default ones.
 OTHER_CAPS = {"low": 12_345, "mid": 60_000, "high": 2_500_000}
 
+# Levels whose limits stand in a table, by its row.
+CAP_REGIONS = {"first": "AFRICA", "third": "ASIA"}
+
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
@@ -375,6 +378,23 @@ def cross_join_caps(t: Inputs) -> DataFrame:
     )
 
 
+@_over_source
+def caps_from_a_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The claims branch under caps that are rows of a table, read when the query runs."""
+    t = inputs(spark, folder)
+    regions = spark.read.parquet(f"{folder}/region.parquet").filter(F.col("r_name").isin(*CAP_REGIONS.values()))
+    level = reduce(lambda found, pair: F.when(F.col("r_name") == pair[1], pair[0]).otherwise(found), CAP_REGIONS.items(), F.lit(None))
+    table = regions.select(level.alias("level"), ((F.col("r_regionkey") + 1) * 15_000).alias("cap"))
+    rows = C.claims_branch(
+        t.lrd, L.latest_agency(t.lrd), L.incurred_by_cause(t.lrd),
+        G.legal_flags_by_claim_month(t.fin_changes, t.legal_scd), caps=C.caps_of(table, list(CAP_REGIONS)),
+    )
+    return rows.groupBy("ay", "lob").agg(
+        *[F.sum(f"ll_{level}_cc").alias(f"ll_{level}_cc") for level in CAP_REGIONS],
+        *[_money(F.sum(name), name) for name in capped("case_lossalae_on_open", dict.fromkeys(CAP_REGIONS))],
+    )
+
+
 @_over_inputs
 def cap_ladder(t: Inputs) -> DataFrame:
     return _by_year_and_lob(t, *[
@@ -504,7 +524,7 @@ def scalar_conditional(t: Inputs) -> DataFrame:
         .otherwise("none")
     )
     rows = t.lrd.groupBy("lob", size.alias("loss_kind")).agg(
-        _n(), F.sum(paid).alias("units"),
+        _n(), exact_total(paid).alias("units"),
         F.sum(F.datediff("policy_end_date", "policy_start_date")).alias("days"),
     )
     return rows.select(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from claimtide.functions.money import exact_decimal
 from claimtide.plans.layout import ordered
 from claimtide.schema import AS_GIVEN, MAY_HOLD_TIME, MONEY_IN, PLACES
 from claimtide.sources.files import Store
@@ -17,8 +18,9 @@ def conform(rows: DataFrame, contract: T.StructType) -> DataFrame:
     """The contract's columns in its types; a missing column is an error.
 
     Descriptions and ids that are only compared or carried through keep their type, and a time
-    of day stays where the contract allows one. Money with more places than the contract's, or
-    in floating point, is refused: it could not be added without rounding. Columns that
+    of day stays where the contract allows one. Money with more places than the contract's is
+    refused: it could not be added without rounding. Floating-point money is taken as the decimal
+    it stands for, and a value with more places is an error when it is read. Columns that
     already fit pass as they are, without a cast or an alias, so that two uses of one table
     still look alike to Spark and can share a shuffle.
     """
@@ -36,10 +38,13 @@ def conform(rows: DataFrame, contract: T.StructType) -> DataFrame:
         timed = MAY_HOLD_TIME in field.metadata and isinstance(found, _TIMED)
         return timed or AS_GIVEN in field.metadata or found == field.dataType
 
-    return rows.select(*[
-        F.col(f.name) if fits(f) else F.col(f.name).cast(f.dataType).alias(f.name)
-        for f in contract
-    ])
+    def column(field: T.StructField) -> Column:
+        found = present[field.name]
+        if field.dataType == MONEY_IN and isinstance(found, T.FractionalType) and not isinstance(found, T.DecimalType):
+            return exact_decimal(F.col(field.name), found).alias(field.name)
+        return F.col(field.name) if fits(field) else F.col(field.name).cast(field.dataType).alias(field.name)
+
+    return rows.select(*[column(f) for f in contract])
 
 
 def _exact(kind: T.DataType) -> bool:
