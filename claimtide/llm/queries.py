@@ -44,6 +44,7 @@ def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *(count(k).alias(f"n_{k}") for k in personal_data.BASE_KINDS),
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
 
 

@@ -1,10 +1,15 @@
 """Secrets in texts, also under layers of encoding.
 
 Each text starts a worklist. A layer is scanned, then unwrapped: URL and Unicode escapes are
-undone over the whole layer, runs of base64 become layers of their own, and compressed bytes
-are inflated. New layers join the list until nothing unwraps any more. A layer that equals
-one of those it lies in is left out, so a payload that inflates to itself ends there. Every
-find is mapped back to the code points of the original text that it came from.
+undone over the whole layer, runs of base64 (also those that are wrapped over lines) become layers
+of their own, and compressed bytes are inflated, all members and frames of them. New layers join
+the list until nothing unwraps any more. A layer that equals one of those it lies in is left
+out, so a payload that inflates to itself ends there. Every find is mapped back to the code
+points of the original text that it came from.
+
+Compressed bytes are inflated as a stream. A layer beyond PART bytes is scanned in parts that
+overlap by OVERLAP, so that memory stays bounded whatever a payload inflates to; only a find or a
+payload in it that is longer than the overlap can be cut at a part's border.
 """
 
 from __future__ import annotations
@@ -12,11 +17,13 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import io
 import lzma
 import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import zstandard
@@ -37,8 +44,10 @@ _UNICODE = re.compile(
     r"|\\u\{[0-9a-fA-F]{1,5}\}|\\x[0-9a-fA-F]{2}"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# What a wrapped run goes on after: a line's end, as it is or escaped, and an indent or quote mark.
+_WRAP = re.compile(r"(?:\r\n|\n|\r|\\r\\n|\\n)[\x20\t>]*([A-Za-z0-9+/_-]+={0,2})")
 _UNPRINTED = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f�]")
-MOST_INFLATED = 64 << 20  # bytes of one inflated layer; guards a task against a bomb
+PART, OVERLAP, HEAD = 16 << 20, 1 << 20, 1 << 16  # bytes
 
 Spans = Callable[[int, int], tuple[int, int]]
 Find = tuple[int, int, int, str, str]  # start, order of the kind, end, kind, layers
@@ -119,20 +128,112 @@ def _readable(raw: bytes) -> str | None:
     return None if not text or _UNPRINTED.search(text) else text
 
 
-def _inflated(raw: bytes) -> bytes | None:
-    """What a compressed block holds, or None if it is none or would be too large."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
-            return zlib.decompressobj(47).decompress(raw, MOST_INFLATED)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().decompressobj().decompress(raw)[:MOST_INFLATED]
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, MOST_INFLATED)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(raw, MOST_INFLATED)
-    except (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError):
-        pass
-    return None
+_BROKEN = (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError)
+
+
+def _members(make: Callable, magic: bytes, chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """What all members of a compressed stream hold, in parts of bounded size; up to where it breaks."""
+    member, data = make(), b""
+    while True:
+        data = data or next(chunks, b"")
+        try:
+            out = member.decompress(data, PART)
+        except _BROKEN:
+            return
+        if out:
+            yield out
+        if member.eof:
+            data = member.unused_data
+            while len(data) < len(magic) and (more := next(chunks, b"")):
+                data += more
+            if not data or not data.startswith(magic):
+                return
+            member = make()
+            continue
+        left = getattr(member, "unconsumed_tail", b"")
+        if not (out or left or data):
+            return
+        data = left
+
+
+class _Stream(io.RawIOBase):
+    """Chunks as a file."""
+
+    def __init__(self, chunks: Iterator[bytes]) -> None:
+        self.chunks, self.held = chunks, b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into) -> int:
+        self.held = self.held or next(self.chunks, b"")
+        size = min(len(into), len(self.held))
+        into[:size], self.held = self.held[:size], self.held[size:]
+        return size
+
+
+def _frames(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    reader = zstandard.ZstdDecompressor().stream_reader(_Stream(chunks), read_across_frames=True)
+    while True:
+        try:
+            out = reader.read(PART)
+        except _BROKEN:
+            return
+        if not out:
+            return
+        yield out
+
+
+def _inflater(head: bytes) -> Callable[[Iterator[bytes]], Iterator[bytes]] | None:
+    """What inflates bytes that begin so, or None if nothing does."""
+    made = None
+    if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0:
+        made = lambda chunks: _members(lambda: zlib.decompressobj(47), b"\x1f\x8b", chunks)
+    elif head[:4] == b"\x28\xb5\x2f\xfd":
+        made = _frames
+    elif head[:3] == b"BZh":
+        made = lambda chunks: _members(bz2.BZ2Decompressor, b"BZh", chunks)
+    elif head[:6] == b"\xfd7zXZ\x00":
+        made = lambda chunks: _members(lzma.LZMADecompressor, b"\xfd7zXZ\x00", chunks)
+    return made
+
+
+def _inflated(raw: bytes) -> tuple[int, Iterator[bytes]]:
+    """How often bytes were compressed, and what they hold in the end."""
+    times, chunks, first, heads = 0, iter(()), raw, set()
+    while first[:HEAD] not in heads and (inflate := _inflater(first[:HEAD])) is not None:
+        heads.add(first[:HEAD])
+        inner = inflate(chain([first], chunks))
+        if (begin := next(inner, None)) is None:
+            break  # a mere likeness, or empty
+        times, chunks, first = times + 1, inner, begin
+    return times, chain([first], chunks)
+
+
+def _is_compressed(raw: bytes) -> bool:
+    inflate = _inflater(raw[:HEAD])
+    return inflate is not None and next(inflate(iter([raw])), None) is not None
+
+
+def _texts(chunks: Iterator[bytes]) -> Iterator[str]:
+    """The readable parts of a layer: one, unless it is beyond PART bytes."""
+    held, ended, final = b"", False, False
+    while not final:
+        while len(held) <= PART and not ended:
+            more = next(chunks, None)
+            ended = more is None
+            held += more or b""
+        final = len(held) <= PART
+        upto = len(held) if final else PART
+        # A part ends before a character's first byte; that character is in the next part.
+        while not final and held[upto] & 0xC0 == 0x80 and upto > PART - 4:
+            upto -= 1
+        if (text := _readable(held[:upto])) is not None:
+            yield text
+        begin = max(0, upto - OVERLAP)
+        while begin < upto and held[begin] & 0xC0 == 0x80:
+            begin += 1
+        held = held[begin:]
 
 
 def _unbased(run: str) -> list[tuple[bytes, int, int]]:
@@ -146,7 +247,7 @@ def _unbased(run: str) -> list[tuple[bytes, int, int]]:
             return None
 
     def means(raw: bytes | None) -> bool:
-        return raw is not None and (_readable(raw) is not None or _inflated(raw) is not None)
+        return raw is not None and (_readable(raw) is not None or _is_compressed(raw))
 
     if means(raw := plain(run)):
         return [(raw, 0, len(run))]
@@ -154,36 +255,62 @@ def _unbased(run: str) -> list[tuple[bytes, int, int]]:
             if m[0] != run and means(raw := plain(m[0]))]
 
 
+def _payloads(text: str) -> Iterator[tuple[bytes, int, int]]:
+    """The bytes of the base64 runs of a text and where they stand: lines of one length and a last
+    one that is no longer belong together, if they mean something together."""
+    at = 0
+    while m := _BASE64.search(text, at):
+        lines, upto, size = [m[0]], [m.end()], m.end() - m.start()
+        # A run is wrapped where each of its lines is full: a shorter one is the last.
+        while len(lines[-1]) == size and not lines[-1].endswith("=") and (more := _WRAP.match(text, upto[-1])):
+            if len(more[1]) > size:
+                break
+            lines.append(more[1])
+            upto.append(more.end())
+        at = m.end()
+        for count in (len(lines), len(lines) - 1):  # what follows a full last line may be a word
+            if count > 1 and (made := _unbased("".join(lines[:count]))) and made[0][1:] == (0, sum(map(len, lines[:count]))):
+                yield made[0][0], m.start(), upto[count - 1]
+                at = upto[count - 1]
+                break
+        else:
+            for raw, start, end in _unbased(m[0]):
+                yield raw, m.start() + start, m.start() + end
+
+
 def unwrapped(text: str, outer: Spans) -> Iterator[tuple[str, str, Spans]]:
     """The layers right under a text: the encoding's name, the text, where it comes from."""
     for name, mark, escapes, undo in (("url", "%", _URL, _url), ("unicode", "\\", _UNICODE, _unicode)):
         if mark in text and (made := _rewritten(text, escapes, undo, outer)):
             yield name, *made
-    for m in _BASE64.finditer(text):
-        for raw, start, end in _unbased(m[0]):
-            name, place = "base64", outer(m.start() + start, m.start() + end)
-            while (inner := _inflated(raw)) is not None and inner != raw:
-                name, raw = name + ".compressed", inner
-            if (inside := _readable(raw)) is not None:
-                yield name, inside, lambda start, end, place=place: place
+    for raw, start, end in _payloads(text):
+        place = outer(start, end)
+        times, chunks = _inflated(raw)
+        for inside in _texts(chunks):
+            yield "base64" + ".compressed" * times, inside, lambda start, end, place=place: place
 
 
 def scan(text: str) -> list[Find]:
     """All finds of a text, in order; `layers` is empty for those in the text itself."""
     found: set[Find] = {(start, KINDS.index(kind), end, kind, "") for kind, start, end in matches(text)}
     plain = {(f[0], f[2], f[3]) for f in found}
-    work: list[tuple[str, Spans, str, frozenset]] = [(text, lambda a, b: (a, b), "", frozenset([hash(text)]))]
+    # Layers are unwrapped one at a time: of a large one only the part at hand is held.
+    work = [(unwrapped(text, lambda a, b: (a, b)), "", frozenset([hash(text)]))]
     while work:
-        layer, outer, path, above = work.pop()
-        for name, inner, spans in unwrapped(layer, outer):
-            if hash(inner) in above:
-                continue
-            layers = f"{path}.{name}" if path else name
-            for kind, start, end in matches(inner):
-                start, end = spans(start, end)
-                if (start, end, kind) not in plain:
-                    found.add((start, KINDS.index(kind), end, kind, layers))
-            work.append((inner, spans, layers, above | {hash(inner)}))
+        inside, path, above = work[-1]
+        made = next(inside, None)
+        if made is None:
+            work.pop()
+            continue
+        name, inner, spans = made
+        if hash(inner) in above:
+            continue
+        layers = f"{path}.{name}" if path else name
+        for kind, start, end in matches(inner):
+            start, end = spans(start, end)
+            if (start, end, kind) not in plain:
+                found.add((start, KINDS.index(kind), end, kind, layers))
+        work.append((unwrapped(inner, spans), layers, above | {hash(inner)}))
     return sorted(found)
 
 

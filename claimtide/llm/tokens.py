@@ -2,7 +2,8 @@
 
 Both vocabularies cut a text into pieces first and encode each piece by itself. So each
 different piece goes through the library once per task and is looked up after that. Texts
-with characters beyond the plain Latin ones below go through the library whole.
+with characters beyond the plain Latin ones below, or with a special token's string, go through
+the library whole.
 """
 
 from __future__ import annotations
@@ -54,7 +55,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Strings of special tokens in a text are these tokens, as in the library's plain call.
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.lower = "Lowercase" in str(self.library.normalizer)
         self.findall = (_LOWERED if self.lower else _SPACED).findall
         self.most_pieces = most_pieces
@@ -104,7 +106,7 @@ class Encoder:
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.codes) > self.most_pieces:
             self._forget()
-        whole = {k: None for k, t in enumerate(texts) if _BEYOND.search(t)}
+        whole = {k: None for k, t in enumerate(texts) if _BEYOND.search(t) or any(s in t for s in self.special)}
         cut = [[] if k in whole else self.findall(t.lower() if self.lower else t) for k, t in enumerate(texts)]
         # itemgetter looks up all pieces of a text in one call; for a single one it gives no tuple.
         found = [np.array(itemgetter(*pieces)(self.codes)).reshape(-1) for pieces in cut if pieces]

@@ -1,15 +1,19 @@
 """Secret scan and personal data against plain regular expressions, and their own methods."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import json
+import lzma
 import re
 import time
+import tracemalloc
 import urllib.parse
 import zlib
 
 import pytest
+import zstandard
 
 from claimtide.llm import personal_data, queries, secret_scan
 
@@ -57,6 +61,8 @@ def test_base_spans_equal_plain_expressions(spark, query, brute):
         spans = brute(texts[row.doc_id])
         assert row.base_sha256 == hashlib.sha256(joined(spans).encode()).hexdigest()
         assert set(filter(None, joined(spans).split(","))) <= set(row.spans.split(","))
+        if query == "op3_personal_data":  # the score of each span, in their order
+            assert [float(v) for v in filter(None, row.scores.split(","))] == [f[4] for f in personal_data.scan(texts[row.doc_id])]
         for kind in {s[3] for s in spans}:
             assert row[f"n_{kind}"] == sum(s[3] == kind for s in spans)
 
@@ -100,6 +106,58 @@ def test_layers_are_unwrapped_and_mapped(layers, encoded):
         assert start == text.index(encoded)
 
 
+def wrapped(raw, width=76, end="\n"):
+    encoded = base64.b64encode(raw).decode()
+    return end.join(encoded[k:k + width] for k in range(0, len(encoded), width))
+
+
+LONG = b"x " * 24 + SECRET.encode() + b" y" * 90  # the secret lies over the end of the first line
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n", "\n  ", "\n> "])
+@pytest.mark.parametrize("width", [60, 64, 76])
+def test_base64_over_line_ends(end, width):
+    for raw, layers in ((LONG, "base64"), (gzip.compress(bytes(range(32, 127)) * 3 + LONG), "base64.compressed")):
+        encoded = wrapped(raw, width, end)
+        for after in ("", "\nword", "\n\nMore words here.", " after"):
+            text = f"before {encoded}{after}"
+            spans = {(f[0], f[2]) for f in secret_scan.scan(text) if f[4] == layers and f[3] == "assign"}
+            assert spans == {(7, 7 + len(encoded))}, (end, width, layers, after)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress])
+def test_all_members_of_compressed_payloads(pack):
+    encoded = base64.b64encode(pack(b"nothing here\n") + pack(b"nor here ") + pack(SECRET.encode())).decode()
+    assert [f[4] for f in secret_scan.scan(in_context(encoded))] == ["base64.compressed"]
+    twice = base64.b64encode(gzip.compress(pack(b"a") + pack(SECRET.encode()))).decode()
+    assert [f[4] for f in secret_scan.scan(in_context(twice))] == ["base64.compressed.compressed"]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress])
+def test_large_layers_are_scanned_in_parts(monkeypatch, pack):
+    """Secrets before, at and after the borders of parts, in characters of one to three bytes."""
+    monkeypatch.setattr(secret_scan, "PART", 5000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 500)
+    inside = "".join(f'key{k} é€ token="value{k:08}" ' + "über " * (k % 17) for k in range(900))
+    wanted = set(re.findall("value[0-9]{8}", inside))
+    parts = list(secret_scan._texts(secret_scan._inflated(pack(inside.encode()))[1]))
+    assert max(len(p.encode()) for p in parts) <= 5000 and len(parts) > 10
+    assert {v for p in parts for v in re.findall("value[0-9]{8}", p)} == wanted
+    found = secret_scan.scan(base64.b64encode(pack(inside.encode())).decode())
+    assert [f[3:] for f in found] == [("assign", "base64.compressed")]
+
+
+def test_a_bomb_is_scanned_in_bounded_memory():
+    bomb = b" ".join([b"0 " * (100 << 20), SECRET.encode()])
+    encoded = base64.b64encode(gzip.compress(bomb, 1)).decode()
+    del bomb
+    tracemalloc.start()
+    found = secret_scan.scan(encoded)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f[3:] for f in found] == [("assign", "base64.compressed")] and peak < 160 << 20
+
+
 def test_equal_payloads_keep_a_span_each():
     encoded = base64.b64encode(SECRET.encode()).decode()
     found = [f for f in secret_scan.scan(f"{encoded} and {encoded}") if f[4]]

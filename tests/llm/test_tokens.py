@@ -19,7 +19,6 @@ WORDS, BYTES = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_b
 
 def library(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -28,6 +27,7 @@ def crc(ids):
 
 
 TRICKY = ["", " ", "  two  spaces \n\n\tand\ttabs ", "it's we'll THEY'VE 'sic 12345 3.14 ½²", "a<|endoftext|>b <|startoftext|>",
+          "hello <|endoftext|> world", "<|ENDOFTEXT|> <|startoftext|><|endoftext|>", "<|endoftext", "日本<|endoftext|>語",
           "İstanbul ΣΊΣΥΦΟΣ ß ﬁ Å Å", "日本語 \U0001f600 emoji ‍ zwj", "\x00\x1c\x85   ", "x" * 5000, "é" * 300 + " naïve œuvre Œ",
           "don't can't I'M YOU'RE", "| || ||| \n|\n", "…—–‘q’ “w”", "a\r\nb\rc", "퟿￿", "ªº µ × ÷"]
 
