@@ -1,11 +1,15 @@
 """Main text of web pages by composite text density.
 
-A forgiving reader builds the element tree. Elements that their tag or label marks as menu,
+A forgiving reader builds the element tree. Elements whose tag or class says nothing but menu,
 header, footer, sidebar, notice, advert, form, script or comments go. For every node left
 the density is its characters per tag, weighed down by the share of its text and tags that
 are links; a node's density sum adds up its children's. The subtree with the largest sum is
-the article. The lowest density on the path from it up to the body is the threshold that
-other parts of the body need in order to belong to it.
+the core of the text. The lowest density on the path from it up to the body is the threshold that
+other parts beside the path need in order to belong to it; lists of links go from what was chosen.
+
+An article or main element is a hint, no more: the core grows to the article that it lies in, and
+other articles and the parts of a main element stay unless they are mostly links. A heading
+stays if something after it does. An id is a hint beside the path only.
 """
 
 from __future__ import annotations
@@ -45,17 +49,24 @@ DROPPED_WORDS = frozenset(
     "login share sharing social related recommended recommendations pagination pager toolbar search form".split()
 )
 HEADERS = frozenset(("header", "topbar"))
+# What a label may also say without saying what an element holds.
+NEUTRAL_WORDS = frozenset(
+    "box bar block area section container wrapper wrap inner outer widget unit slot panel row col item items list links link "
+    "main site page top bottom left right primary secondary global the js".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LINK_LIST = 3  # links from which on a part that is mostly links is a list of them
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _LABEL = re.compile(r"""(?i)(?<![\w-])(class|id|role|aria-hidden|style|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?=[\s/]|$))""")
 _NAME = re.compile(r"/?[A-Za-z][^\s/>]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "hint", "chars", "tags", "link_chars", "link_tags", "density", "total", "inside")
+    __slots__ = ("tag", "parent", "parts", "hint", "aside", "chars", "tags", "link_chars", "link_tags", "density", "total", "inside")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = "") -> None:
         self.tag, self.parent, self.parts = tag, parent, []
-        self.hint = _hint(tag, attributes)
+        self.hint, self.aside = _hints(tag, attributes)
         self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main") and not parent.hint)
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -63,27 +74,37 @@ class Node:
             parent.parts.append(self)
 
 
-def _hint(tag: str, attributes: str) -> str:
-    """Why an element may not belong to the article: "tag", "label", "header" or nothing."""
+def _says(value: str) -> str:
+    """What labels say an element is, if one of them says nothing else: "label", "header" or nothing."""
+    for label in value.split():
+        words = {w.lower() for w in _WORD.findall(label)} - NEUTRAL_WORDS
+        joined = re.sub(r"[^a-z0-9]+", "", label.lower())
+        if joined in DROPPED_WORDS or words and words <= DROPPED_WORDS:
+            return "label"
+        if joined in HEADERS or words and words <= HEADERS:
+            return "header"
+    return ""
+
+
+def _hints(tag: str, attributes: str) -> tuple[str, bool]:
+    """Why an element may not belong to the article ("tag", "label", "header" or nothing), and
+    whether its id speaks against it."""
     if tag in DROPPED_TAGS:
-        return "tag"
-    if attributes and tag not in ("html", "body", "main"):
+        return "tag", True
+    aside, hint = False, "header" if tag == "header" else ""
+    if attributes and tag not in ("html", "body", "main") and tag not in HEADINGS:
         for name, value in _LABEL.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
             if name == "hidden" or name == "aria-hidden" and value == "true":
-                return "tag"
+                return "tag", True
             if name == "style":
                 if re.search(r"display\s*:\s*none", value):
-                    return "tag"
-                continue
-            for label in value.split():
-                words = [w.lower() for w in _WORD.findall(label)] + re.split(r"[^a-z0-9]+", label.lower())
-                if words[0] not in ("has", "no", "with", "without", "is"):
-                    if not DROPPED_WORDS.isdisjoint(words):
-                        return "label"
-                    if not HEADERS.isdisjoint(words):
-                        return "header"
-    return "header" if tag == "header" else ""
+                    return "tag", True
+            elif name == "id":
+                aside = aside or bool(_says(value))
+            else:
+                hint = hint or _says(value)
+    return hint, aside
 
 
 def tree(page: str) -> list[Node]:
@@ -187,6 +208,9 @@ def _kept(nodes: list[Node]) -> list[Node]:
 
 def densities(nodes: list[Node]) -> None:
     """Fills in counts, composite densities and density sums, from the leaves up."""
+    for node in nodes:
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.density = node.total = 0.0
     for node in reversed(nodes):
         node.chars += sum(len(" ".join(p.split())) for p in node.parts if isinstance(p, str))
         if node.tag == "a":
@@ -209,46 +233,99 @@ def densities(nodes: list[Node]) -> None:
             node.parent.total += node.density
 
 
-def article(nodes: list[Node]) -> list[Node]:
-    """The nodes whose whole subtrees make up the main text, in page order."""
-    kept = _kept(nodes)
-    densities(kept)
-    body = next((n for n in kept if n.tag == "body"), kept[0])
+def _core(nodes: list[Node]) -> tuple[list[Node], Node]:
+    """The path from the subtree with the largest density sum up to the body, and the body."""
+    densities(nodes)
+    body = next((n for n in nodes if n.tag == "body"), nodes[0])
     best_below: dict[int, Node] = {}
-    for node in reversed(kept):  # children come after their parents
+    for node in reversed(nodes):  # children come after their parents
         best = max((best_below.get(id(node), node), node), key=lambda n: n.total)
         best_below[id(node)] = best
         if node.parent is not None:
             other = best_below.get(id(node.parent))
             if other is None or best.total >= other.total:
                 best_below[id(node.parent)] = best
-    best = best_below[id(body)]
-    if best.total <= 0:
+    path = [best_below[id(body)]]
+    while path[-1] is not body:
+        path.append(path[-1].parent)
+    return path, body
+
+
+def article(nodes: list[Node]) -> list[Node]:
+    """The nodes whose whole subtrees make up the main text, in page order."""
+    kept = _kept(nodes)
+    path, _ = _core(kept)
+    # Lists of links beside the path would lower the densities on it.
+    path, body = _core(_without_link_lists(kept, {id(n) for n in path}))
+    if path[0].total <= 0:
         return [body]
-    frame, node, threshold = None, best, math.inf
-    while node is not None:
-        threshold = min(threshold, node.density)
-        if node.tag in ("article", "main"):
-            frame = node if frame is None or frame.tag != "article" else frame
-        if node is body:
-            break
-        node = node.parent
-    if frame is not None:
-        return [frame]
-    chosen_, work = [], [body]
-    while work:
-        node = work.pop()
-        if node.density < threshold:
-            continue
-        below = [p for p in node.parts if isinstance(p, Node)]
-        loose = any(p.strip() for p in node.parts if isinstance(p, str)) or any(p.tag not in BLOCKS for p in below)
-        if best_below[id(node)] is node or loose or not below:
-            chosen_.append(node)
-        else:
-            work += reversed(below)
+    threshold = min(n.density for n in path)
+    core = next((n for n in reversed(path) if n.tag == "article"), path[0])
+    return _beside(path[path.index(core):], threshold)
+
+
+def _is_links(node: Node) -> bool:
+    return 2 * node.link_chars > node.chars
+
+
+def _beside(path: list[Node], threshold: float) -> list[Node]:
+    """The core, the first of the path, and what belongs to it beside the path up to the body."""
+    chosen_: list[Node] = [path[0]]
+    for below, node in zip(path, path[1:]):
+        after, before, seen = [], [], False
+        for part in node.parts:
+            if part is below:
+                seen = True
+            elif isinstance(part, Node):
+                (after if seen else before).append(part)
+            elif len(" ".join(part.split())) >= max(threshold, 1):  # loose text counts like a part of its own
+                (after if seen else before).append(_loose(part))
+
+        def belongs(part: Node, later: bool) -> bool:
+            if part.tag in HEADINGS:
+                return later and not _is_links(part)
+            if part.aside or not part.chars:
+                return False
+            if "main" in (node.tag, part.tag) or part.tag == "article":
+                return not _is_links(part)
+            return part.density >= threshold
+
+        first: list[Node] = []
+        for part in reversed(before):
+            if belongs(part, True):
+                first.append(part)
+        last: list[Node] = []
+        for part in reversed(after):
+            if belongs(part, bool(last)):
+                last.append(part)
+        chosen_ = first[::-1] + chosen_ + last[::-1]
     return chosen_
 
 
+def _loose(text: str) -> Node:
+    node = Node("#text", None)
+    node.parts.append(text)
+    node.chars = len(" ".join(text.split()))
+    node.density = float(node.chars)
+    return node
+
+
+def _without_link_lists(nodes: list[Node], path: set[int]) -> list[Node]:
+    """The nodes without blocks beside the path that are lists of links, and all below them."""
+    gone, kept = set(), []
+    for node in nodes:
+        up = node.parent
+        if up is not None and id(up) in gone:
+            gone.add(id(node))
+        elif (up is not None and node.link_tags >= LINK_LIST and 10 * node.link_chars > 7 * node.chars
+                and node.tag in BLOCKS and id(node) not in path):
+            gone.add(id(node))
+            up.parts = ["\n" if p is node else p for p in up.parts]
+        else:
+            kept.append(node)
+    return kept
+
+
 def blocks(node: Node) -> list[str]:
     """The text blocks of a subtree: references decoded, white space turned into one space."""
     found, held = [], []

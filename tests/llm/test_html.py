@@ -49,6 +49,55 @@ def test_sections_of_one_article():
     assert [f"Part {k}" in text for k in range(3)] == [True] * 3 and "Link 7" not in text
 
 
+STORY = "".join(f"<p>Paragraph {k} tells a part of the story in some words, and then in some more.</p>" for k in range(5))
+OTHER = "".join(f"<p>Note {k} is shorter.</p>" for k in range(5))
+LINKS = "".join(f"<a href=/{k}>Another page {k}</a> " for k in range(30))
+
+
+def lines(*wanted):
+    return [b for w in wanted for b in (main_text(f"<article>{w}</article>").split("\n\n") if "<" in w else [w])]
+
+
+def test_a_title_above_the_article_stays():
+    assert main_text(f"<main><h1>My Title</h1><article>{STORY}</article></main>").split("\n\n") == lines("My Title", STORY)
+    page = f"<body><div>{LINKS}</div><h1>My Title</h1><div><div>{STORY}</div></div><div>{LINKS}</div></body>"
+    assert main_text(page).split("\n\n") == lines("My Title", STORY)
+
+
+def test_several_articles_stay():
+    for second in (STORY, OTHER):
+        page = f"<body><nav>{LINKS}</nav><article>{STORY}</article><article>{second}</article><div>{LINKS}</div></body>"
+        assert main_text(page).split("\n\n") == lines(STORY, second)
+
+
+def test_labels_that_say_more_than_boilerplate():
+    for label in ("class='post-with-sidebar'", "id='search'", "class='form-of-life'"):
+        assert main_text(f"<body><article {label}>{STORY}</article></body>").split("\n\n") == lines(STORY)
+    parts = ("<h2 id='Related_work'>Related work</h2>", "<section id='search-methods'><p>How we searched.</p></section>",
+             "<div class='banner-story'><p>The banner fell.</p></div>", "<div class='form-of-life'><p>Moss.</p></div>",
+             "<section id='discussion'><h2 class='comments'>Comments</h2><p>We discuss.</p></section>")
+    for part in parts:
+        assert main_text(f"<body><article>{STORY}{part}{STORY}</article></body>").split("\n\n") == lines(STORY, part, STORY)
+
+
+def test_pages_by_density_alone():
+    """No article, no main, no label: the dense part is the text, lists of links and short parts aren't."""
+    page = f"""<body><div><div>{LINKS}</div><table><tr><td><div>{LINKS}</div></td><td><div><div>{STORY}</div>
+      <ul>{''.join(f'<li><a href={k}>See also the page number {k}</a></li>' for k in range(9))}</ul></div></td></tr></table></div>
+      <div>Copyright</div></body>"""
+    assert main_text(page).split("\n\n") == lines(STORY)
+    inside = f"<article>{STORY}<div>{LINKS}</div>{STORY}</article>"
+    assert main_text(inside).split("\n\n") == lines(STORY, STORY)
+    main = f"<main><h1>Title</h1><p>By a writer</p>{STORY}<div>{LINKS}</div></main>"
+    assert main_text(main).split("\n\n") == lines("Title", "By a writer", STORY)
+
+
+def test_very_long_pages(spark):
+    page = "<body>" + "<div>" * 500 + "<article>" + f"<p>{'words of a very long page ' * 40}</p>" * 2_000 + "</article>"
+    rows = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert html_text.extract_text(rows).first().n_chars == 2_000 * len(("words of a very long page " * 40).strip()) + 2 * 1_999
+
+
 def test_blocks_white_space_and_references():
     page = "<article><p>a\n b&nbsp;&nbsp;c<br>d<b>e</b>f</p><table><tr><td>x<td>y</table>&lt;p&gt; &#233; &nosuch;</article>"
     assert main_text(page) == "a b c def\n\nx\n\ny\n\n<p> é &nosuch;"
