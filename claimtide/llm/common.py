@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from claimtide.session import shared_folder
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -25,12 +27,9 @@ def text_session(spark: SparkSession) -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the shared one that the session names.
-
-    Only where the session names none (tests) the warehouse serves, which is shared too.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/llm-{purpose}-{uuid.uuid4().hex}"
+    """A new folder under the shared one that the session names (only where it names none, as in
+    tests, under the warehouse, which is shared too). It is removed when the process ends."""
+    return shared_folder(spark, f"llm-{purpose}")
 
 
 def written(frame: DataFrame, compression: str = "zstd") -> DataFrameWriter:

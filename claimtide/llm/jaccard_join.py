@@ -13,6 +13,10 @@ groups are compared: by a join for shingles of few sets, in tiles for others. A
 block of sets of one size band and one of the same or the next band; all its bitmaps are
 compared at once. What passes is checked by intersecting the sorted sets, made again from the
 texts.
+
+The rounds find the groups; they leave out pairs that lie in one group already. Where each
+document's number of links is wanted, the sets of each group meet again, all pairs of them, in
+tiles of bounded bytes that add up links and return no pairs: every link lies within a group.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ EDGES_A_FILE = 1 << 20
 SKETCH = 128
 BEST = 3  # pairs of a set that the first round checks
 FILTER_BITS = 26  # of the filter that fetches texts; a full filter lets all texts pass
+LINK_SETS, LINK_BYTES = 512, 4 << 20  # sets and text of a block when links are counted
+FEW_PAIRS, COLUMNS = 64, 8192  # pairs up to which sets are intersected one by one; shingles at once beyond
 HASHES = WordHashes()  # of a Python worker, which keeps it from task to task
 
 
@@ -360,36 +366,122 @@ def groups_of_sets(docs: DataFrame, sets: DataFrame, shingle: int, share: int) -
     return components(links.unionByName(_links(docs, second, sets, shingle, share)))
 
 
+def _links_of(sets: list[np.ndarray], copies: np.ndarray, block: np.ndarray, share: int) -> np.ndarray:
+    """For each set the copies of those it links with; where there are two blocks, of the other's."""
+    size = np.array([len(s) for s in sets])
+    maps = [bitmap(s) for s in sets]
+    words = min(map(len, maps))
+    bits = np.stack([folded(m, words) for m in maps])
+    pairs = []
+    two = block.min() != block.max()
+    for k in range(len(sets) - 1):
+        at = np.arange(k + 1, len(sets))
+        at = at[100 * np.minimum(size[k], size[at]) >= share * np.maximum(size[k], size[at])]
+        at = at[block[at] != block[k]] if two else at
+        apart = np.bitwise_count(bits[k] ^ bits[at]).sum(axis=1, dtype=np.int64)
+        at = at[may_link(apart, size[k] + size[at], share)]
+        pairs.append((np.full(len(at), k), at))
+    a, b = (np.concatenate([p[s] for p in pairs] + [np.zeros(0, np.int64)]) for s in (0, 1))
+    if len(a) <= FEW_PAIRS:
+        both = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b)], np.int64)
+    else:  # exact as well: products of the sets as rows of zeros and ones
+        items, place = np.unique(np.concatenate(sets), return_inverse=True)
+        row = np.repeat(np.arange(len(sets)), size)
+        order = np.argsort(place, kind="stable")
+        place, row = place[order], row[order]
+        shared = np.zeros((len(sets), len(sets)), np.float64)
+        for first in range(0, len(items), COLUMNS):
+            own = slice(*np.searchsorted(place, (first, first + COLUMNS)))
+            held = np.zeros((len(sets), COLUMNS), np.float32)
+            held[row[own], place[own] - first] = 1
+            shared += held @ held.T
+        both = np.rint(shared[a, b]).astype(np.int64)
+    link = 100 * both >= share * (size[a] + size[b] - both)
+    found = np.zeros(len(sets), np.int64)
+    np.add.at(found, a[link], copies[b[link]])
+    np.add.at(found, b[link], copies[a[link]])
+    return found
+
+
+def _tile_links(shingle: int, share: int):
+    """Of rows in order of their tiles: (uid, links) of each tile's sets that have any in it."""
+    key = ("grp", "i", "j")
+
+    def counted(rows: list[tuple]) -> pa.RecordBatch | None:
+        if len(rows) < 2:
+            return None
+        found = _links_of([shingles(r[5], HASHES, shingle) for r in rows], np.array([r[4] for r in rows], np.int64),
+                          np.array([r[6] for r in rows]), share)
+        at = np.flatnonzero(found)
+        return arrow(uid=pa.array([rows[k][3] for k in at.tolist()], pa.int64()), links=found[at]) if len(at) else None
+
+    def run(batches: Batches) -> Batches:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in (*key, "uid", "copies", "text", "block"))):
+                if held and held[0][:3] != row[:3]:
+                    if (made := counted(held)) is not None:
+                        yield made
+                    held = []
+                held.append(row)
+        if held and (made := counted(held)) is not None:
+            yield made
+
+    return run
+
+
+def link_counts(docs: DataFrame, sets: DataFrame, groups: DataFrame, shingle: int, share: int) -> DataFrame:
+    """(uid, links): for each set in a group of several the documents of other sets that it links with."""
+    of_groups = groups.select(F.col("uid").alias("a"), F.col("uid").alias("b"))
+    texts = _texts(docs, of_groups, sets, shingle).join(groups, "uid").join(sets.select("uid", "copies"), "uid")
+    blocks = texts.groupBy("grp").agg(F.greatest(
+        F.ceil(F.count("*") / LINK_SETS), F.ceil(F.sum(F.octet_length("text")) / LINK_BYTES)).cast("int").alias("blocks"))
+    dealt = texts.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+    tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
+        F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
+    rows = dealt.select("grp", F.explode(tiles).alias("t"), "uid", "copies", "text", "block").select(
+        "grp", "t.i", "t.j", "uid", "copies", "text", "block")
+    ordered = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "uid")
+    return ordered.mapInArrow(_tile_links(shingle, share), "uid long, links long").groupBy("uid").agg(F.sum("links").alias("links"))
+
+
 def join_documents(frame: DataFrame) -> DataFrame:
     """Per row of documents (doc_id, text): doc_id, n_shingles, component_id (the smallest
-    doc_id reachable by links, its own included).
+    doc_id reachable by links, its own included), n_links (other rows that it links with).
 
     A null or empty text, or one without words, has no shingles and its own doc_id as
     component. Repeated rows and texts are linked like any equal sets, also when they share
     a doc_id; a null doc_id links as others do and has the smallest doc_id of its group that
     isn't null, or null. Other columns are ignored.
     """
-    rows = _rows(frame)
+    rows = _rows(frame, with_links=True)
     return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(
-        F.col("doc_id")).alias("component_id")).repartition(_few(frame))
+        F.col("doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")).repartition(_few(frame))
 
 
-def _rows(frame: DataFrame, shingle: int = SHINGLE, share: int = SHARE) -> DataFrame:
-    """As join_documents, with the group and a hash of the text."""
+def _rows(frame: DataFrame, shingle: int = SHINGLE, share: int = SHARE, with_links: bool = False) -> DataFrame:
+    """As join_documents, with the group and a hash of the text; links are counted if asked for."""
     docs = documents(frame)
     last = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, share))
     kinds = "doc_id long, text_hash long, k1 long, k2 long, n long, bits binary, lead binary, shared long"
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
     all_rows = stored(hashed.mapInArrow(per_batch(_sets(last, shingle, share)), kinds), "sets")
     worded = all_rows.where("n > 0")
-    ids = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
+    ids = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
     one = worded.select("k1", "k2", "n", "bits", "lead", "shared").dropDuplicates(["k1", "k2"]).join(ids, ["k1", "k2"])
     # Numbered where they are written: a task that runs again numbers its rows alike or anew, but
     # only what it commits is ever read.
     sets = stored(one.repartition(_few(frame)).withColumn("uid", F.monotonically_increasing_id()), "classes")
-    named = _grouped(sets.select("uid", "k1", "k2", "doc_id"), groups_of_sets(docs, sets, shingle, share))
+    groups = groups_of_sets(docs, sets, shingle, share)
+    own = ["uid", "k1", "k2", "doc_id", (F.col("copies") - 1).alias("n_links")]
+    if with_links:
+        groups = _table(groups, "groups")
+    named = _grouped(sets.select(own), groups)
     smallest = named.groupBy("grp").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "grp").select("k1", "k2", "grp", "component_id")
+    if with_links:
+        links = link_counts(docs, sets, groups, shingle, share)
+        named = named.join(links, "uid", "left").withColumn("n_links", F.col("n_links") + F.coalesce("links", F.lit(0)))
+    named = named.join(smallest, "grp").select("k1", "k2", "grp", "component_id", "n_links")
     return all_rows.select("doc_id", "text_hash", "k1", "k2", F.col("n").alias("n_shingles")).join(
         named, ["k1", "k2"], "left")
 

@@ -2,6 +2,35 @@
 
 from __future__ import annotations
 
+OP7_JACCARD_JOIN = r"""
+WITH RECURSIVE words AS (
+    SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT k, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+    FROM words
+), items AS (
+    SELECT k, unnest(s) AS item FROM sets
+), shared AS (
+    SELECT a.k AS a, b.k AS b, count(*) AS n_both FROM items a JOIN items b USING (item) WHERE a.k <> b.k GROUP BY ALL
+), links AS (
+    SELECT x.a, x.b FROM shared x JOIN sets a ON a.k = x.a JOIN sets b ON b.k = x.b
+    WHERE 100 * n_both >= 85 * (len(a.s) + len(b.s) - n_both)
+), reach AS (
+    SELECT k AS a, k AS b FROM sets
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), counted AS (
+    SELECT a, count(*) AS n_links FROM links GROUP BY a
+), smallest AS (
+    SELECT r.a, min(s.doc_id) AS component_id FROM reach r JOIN sets s ON s.k = r.b GROUP BY r.a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM sets JOIN smallest m ON m.a = k LEFT JOIN counted c ON c.a = k
+"""
+
 OP11_EMBEDDING_DEDUP = """
 WITH RECURSIVE given AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL
@@ -68,4 +97,6 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 FROM each
 """
 
-ORACLE = {"op11_embedding_dedup": OP11_EMBEDDING_DEDUP, "op12_filter_audit": OP12_FILTER_AUDIT}
+ORACLE = {
+    "op7_jaccard_join": OP7_JACCARD_JOIN, "op11_embedding_dedup": OP11_EMBEDDING_DEDUP, "op12_filter_audit": OP12_FILTER_AUDIT,
+}

@@ -359,8 +359,10 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = spread.unionByName(answers.where("shard >= 0").drop("sums"), allowMissingColumns=True)
     partials = packets.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(
         _partials(totals.reshape(2, 10)), "block long, docs binary, sums binary")
-    return blocks.groupBy("block").cogroup(partials.groupBy("block")).applyInArrow(
-        _summed, "doc_id long, lang string, n_words long, perplexity double")
+    scored = stored(blocks.groupBy("block").cogroup(partials.groupBy("block")).applyInArrow(
+        _summed, "doc_id long, lang string, n_words long, perplexity double"), "perplexity")
+    spark.sql(f"DROP TABLE {name}")
+    return scored
 
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -372,7 +374,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
     no perplexity and aren't kept. Repeated rows give a row each; a null doc_id stays null and
     is not trusted; other columns are ignored.
     """
-    scored = stored(perplexities(docs, labels), "perplexity")
+    scored = perplexities(docs, labels)
     known = scored.join(_trusted(labels), "doc_id", "left_semi").where("perplexity is not null")
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
     by_lang = known.groupBy("lang").agg(at.alias("own")).select(F.col("lang").alias("of"), "own")

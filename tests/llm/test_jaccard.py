@@ -7,6 +7,7 @@ import pytest
 
 from claimtide.llm import jaccard_join, queries
 
+from .duck import assert_same_as_duckdb
 from .frames import docs, edge_rows
 
 SMALL = "/root/testdata/sf0.01"
@@ -43,15 +44,34 @@ def brute(rows, size=4, share=85):
     return sorted(((doc, len(sets[k]), least.get(find(k)) if sets[k] else doc) for k, (doc, _) in enumerate(rows)), key=str)
 
 
+def brute_links(rows, size=4, share=85):
+    """(doc_id, number of links) of each row."""
+    sets, links, holders = [sets_of(t, size) for _, t in rows], [0] * len(rows), {}
+    for k, own in enumerate(sets):
+        for j in {j for s in own for j in holders.setdefault(s, [])}:
+            both = len(own & sets[j])
+            if 100 * both >= share * (len(own) + len(sets[j]) - both):
+                links[k] += 1
+                links[j] += 1
+        for s in own:
+            holders[s].append(k)
+    return sorted(((doc, n) for (doc, _), n in zip(rows, links)), key=str)
+
+
+def links(frame):
+    return sorted(((r.doc_id, r.n_links) for r in frame.collect()), key=str)
+
+
 def joined(frame):
     return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join_documents(frame).collect()), key=str)
 
 
 def test_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
-    got = sorted(((r.doc_id, r.n_shingles, r.component_id)
-                  for r in queries.queries()["op7_jaccard_join"](spark, SMALL).collect()), key=str)
+    frame = queries.queries()["op7_jaccard_join"](spark, SMALL)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in frame.collect()), key=str)
     assert got == brute(rows)
+    assert links(frame) == brute_links(rows)
     assert len({c for _, _, c in got}) < len(rows)
 
 
@@ -90,6 +110,19 @@ def test_hot_groups_and_chains(spark, monkeypatch, common, tile, best):
     assert joined(docs(spark, rows)) == brute(rows)
 
 
+@pytest.mark.parametrize("sets, size, few", [(512, 4 << 20, 64), (16, 4 << 20, 0), (512, 20_000, 10**9)])
+def test_every_link_is_counted(spark, monkeypatch, sets, size, few):
+    """Also those within a group, which finding the groups needn't look at; over blocks of any size."""
+    monkeypatch.setattr(jaccard_join, "LINK_SETS", sets)
+    monkeypatch.setattr(jaccard_join, "LINK_BYTES", size)
+    monkeypatch.setattr(jaccard_join, "FEW_PAIRS", few)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 100)
+    rows = [*made_rows(), *edge_rows()]
+    want = brute_links(rows)
+    assert links(jaccard_join.join_documents(docs(spark, rows))) == want
+    assert max(n for _, n in want) > 100
+
+
 def test_edges(spark):
     rows = [*edge_rows(), (11, "A b C d"), (12, "a  B\tc\nd"), (13, "a b c d e"), (14, "two words"), (14, "something else entirely, for once"),
             (None, "NO id AT all")]
@@ -131,3 +164,8 @@ def test_one_row_of_each_group_stays(spark):
     blank = sum(1 for _, t in rows if not sets_of(t))
     assert sum(1 for r in kept.collect() if not sets_of(r.text)) == blank
     assert out.count(None) == 1
+
+
+def test_whole_table_equals_sql(spark):
+    name = "op7_jaccard_join"
+    assert_same_as_duckdb(queries.queries()[name](spark, "/root/testdata/sf0.01"), queries.oracle_sql()[name], "/root/testdata/sf0.01")
