@@ -51,6 +51,12 @@ class Index:
                  impacts: np.ndarray) -> None:
         self.passage, self.terms, self.first, self.items, self.impacts = passage, terms, first, items, impacts
         self.most = np.maximum.reduceat(impacts, first[:-1]) if len(terms) else impacts
+        # The maxima of each term's blocks, one after the other.
+        size = np.diff(first)
+        blocks = -(-size // BLOCK)
+        self.block = np.concatenate([[0], np.cumsum(blocks)]).astype(np.int64)
+        starts = np.repeat(first[:-1], blocks) + BLOCK * (np.arange(self.block[-1]) - np.repeat(self.block[:-1], blocks))
+        self.block_most = np.maximum.reduceat(impacts, starts) if len(terms) else impacts
         self.filter = np.zeros(1 << 18, bool)  # answers most lookups of terms that no item has
         self.filter[(terms & np.uint64((1 << 18) - 1)).astype(np.int64)] = True
 
@@ -89,9 +95,9 @@ class Index:
             if start >= entry[2]:
                 return 0.0, item
             begin = int(first[entry[3]])
-            begin += (start - begin) // BLOCK * BLOCK
-            end = min(begin + BLOCK, entry[2])
-            return float(impacts[begin:end].max()), int(items[end - 1])
+            number = (start - begin) // BLOCK
+            end = min(begin + BLOCK * (number + 1), entry[2])
+            return float(self.block_most[self.block[entry[3]] + number]), int(items[end - 1])
 
         while True:
             lists = sorted((e for e in lists if e[0] >= 0))
@@ -146,6 +152,11 @@ class Shard:
         self.ids = sorted(texts)
         self.words = [words(texts[i]) for i in self.ids]
         place = {item: k for k, item in enumerate(self.ids)}
+        # An item of one word has no pairs: it is found where it is all there is.
+        self.single: dict[bytes, list[int]] = defaultdict(list)
+        for k, own_words in enumerate(self.words):
+            if len(own_words) == 1:
+                self.single[own_words[0]].append(k)
         self.longest = max(map(len, self.words), default=0)
         classes: dict[int, list] = defaultdict(list)
         own: Counter = Counter()
@@ -171,7 +182,7 @@ class Shard:
         found: dict[int, tuple] = {}
         own = words(text)
         if len(own) < 2:
-            return []
+            return [(self.ids[k], 1.0, 1.0, 1.0) for k in self.single.get(own[0], [])] if own else []
         hashed = hashes.of(own)
         pairs = runs(hashed, 2)
         for index in self.indexes:
@@ -194,21 +205,21 @@ def overlaps(item: list[bytes], passage: np.ndarray, hashes: WordHashes) -> tupl
             float(np.isin(answer, passage).mean()))
 
 
-def shards(benchmark: DataFrame, most_items: int = SHARD_ITEMS) -> list[Shard]:
-    """The test items (item_id, text) in shards of at most about `most_items`; each is small
-    enough for the driver and a broadcast. Rows without an id or with fewer than two words are
-    left out; of rows that share an id, the smallest text counts."""
+def shards(benchmark: DataFrame, most_items: int = SHARD_ITEMS) -> Iterator[Shard]:
+    """The test items (item_id, text) in shards of at most about `most_items`, one at a time; each is
+    small enough for the driver and a broadcast. Rows without an id or words are left out; of
+    rows that share an id, the smallest text counts. An item of one word is found in documents
+    that hold nothing else."""
     items = chosen(benchmark, item_id="long", text="string").dropna().groupBy("item_id").agg(F.min("text").alias("text"))
     posted = items.mapInArrow(per_batch(_postings), "item_id long, n_words long, term long, n long")
     sizes = posted.groupBy("item_id").agg(F.first("n_words").alias("n")).agg(
         F.count("*").alias("items"), F.avg("n").alias("mean")).first()
-    if not sizes.items:
-        return []
-    count = -(-sizes.items // most_items)
+    count = -(-items.count() // most_items)
     part = F.pmod(F.xxhash64("item_id"), F.lit(count))
     weighed = posted.join(posted.groupBy("term").agg(F.count("*").alias("df")), "term")
-    return [Shard({r.item_id: r.text for r in items.where(part == k).collect()},
-                  weighed.where(part == k).collect(), sizes.items, sizes.mean) for k in range(count)]
+    for k in range(count):
+        yield Shard({r.item_id: r.text for r in items.where(part == k).collect()},
+                    weighed.where(part == k).collect(), sizes.items, sizes.mean)
 
 
 def find_leaks(frame: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -240,7 +251,11 @@ def find_leaks(frame: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_leaked(frame: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of documents in which no test item is found, with all their columns."""
+    """The rows of documents in which no test item is found, with all their columns.
+
+    Null and empty texts and texts without words stay; repeated rows stay or go alike; a null
+    doc_id changes nothing. Without test items, and without documents, all rows stay.
+    """
     for shard in shards(benchmark):
         made = spare_name(frame, "leaked")
         frame = frame.withColumn(made, _leaked(shard)(F.col("text"))).where(~F.col(made)).drop(made)

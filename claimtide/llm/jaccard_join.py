@@ -488,8 +488,10 @@ def _rows(frame: DataFrame, shingle: int = SHINGLE, share: int = SHARE, with_lin
 
 def keep_one(frame: DataFrame, shingle: int = SHINGLE, share: int = SHARE) -> DataFrame:
     """One row of each group of linked documents, with all its columns: one with the smallest
-    doc_id. Rows without words all stay. Links are those of sets of runs of `shingle` words
-    that have `share` percent of their union in common."""
+    doc_id. Rows without words (null and empty texts, too) all stay. Links are those of sets of
+    runs of `shingle` words that have `share` percent of their union in common. Of repeated rows one
+    stays; a row without a doc_id stays only where its whole group has none, and of several such
+    one does."""
     text = F.coalesce(F.col("text"), F.lit(""))
     worded = text.rlike(r"[^\x20\x09-\x0D]")
     chosen_rows = _rows(frame, shingle, share).where("n_shingles > 0 and doc_id <=> component_id").groupBy("grp").agg(

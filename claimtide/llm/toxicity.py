@@ -283,7 +283,11 @@ def score_texts(frame: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(frame: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows that score below the threshold, with all their columns."""
+    """The rows that score below the threshold, with all their columns.
+
+    A null text scores as an empty one; repeated rows stay or go alike; ids, and whether they are
+    null, play no part. An empty table stays empty.
+    """
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

@@ -76,18 +76,30 @@ def test_items_at_all_places(spark, made, shard, monkeypatch):
     frame = docs(spark, [*rows, *((None if i is None else i + 1000, t) for i, t in edge_rows())])
     kept = decontamination.drop_leaked(frame, items)
     assert kept.columns == frame.columns
-    leaked = {d for d, _ in want}
+    leaked = {d for d, _ in want} | {1004}  # whose text is the item of one word
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(
-        [str(d) for d, _ in rows if d not in leaked] + [str(None if i is None else i + 1000) for i, _ in edge_rows()])
+        [str(d) for d, _ in rows if d not in leaked] + [str(None if i is None else i + 1000) for i, _ in edge_rows() if i != 4])
 
 
 def test_edges(spark, made):
     rows, items, _ = made
-    assert decontamination.find_leaks(docs(spark, edge_rows()), items).collect() == []
+    assert [(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs(spark, edge_rows()), items).collect()] == [(4, 52)]
     assert decontamination.find_leaks(docs(spark, rows), items.limit(0)).collect() == []
     assert decontamination.find_leaks(docs(spark, []), items).collect() == []
 
 
+def test_items_of_one_word(spark):
+    """They are found where they are the whole text, whatever else the index holds."""
+    rows = [(1, "Paris."), (2, "paris"), (3, "paris is a town"), (4, ""), (5, None), (6, "London"), (2, "paris")]
+    items = [(10, "Paris"), (11, "paris?"), (12, "!"), (13, "")]
+    for more in ([], [(14, "what is the capital of france answer paris is the capital")]):
+        frame = spark.createDataFrame(items + more, "item_id long, text string")
+        got = sorted((r.doc_id, r.item_id) for r in decontamination.find_leaks(docs(spark, rows), frame).collect())
+        assert got == [(1, 10), (1, 11), (2, 10), (2, 10), (2, 11), (2, 11)]
+        kept = [r.doc_id for r in decontamination.drop_leaked(docs(spark, rows), frame).collect()]
+        assert sorted(kept) == [3, 4, 5, 6]
+
+
 def test_scores_are_relative_to_the_item():
     texts = {1: "alpha beta gamma delta epsilon zeta", 2: "alpha beta gamma delta other words"}
     hashes, rows = WordHashes(), []
