@@ -246,23 +246,17 @@ def _likeliest(pairs: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, pairs: DataFrame, sets: DataFrame, shingle: int) -> DataFrame:
-    """(uid, text) of the sets in pairs. A filter of bounded size on doc_id keeps most other
-    texts from being shuffled; the join decides."""
+    """(uid, text) of the sets in pairs. A filter on doc_id, at most 2^20 words of 64 bits, keeps
+    most other texts from being shuffled; the join decides. The filter is a broadcast join: a
+    Python function would hold every text while it waits for its answers."""
     wanted = pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct().join(
         sets.select("uid", "doc_id", "k1", "k2"), "uid")
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    words = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toArrow()
-    bits = np.zeros(1 << FILTER_BITS - 6, np.int64)
-    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
-
-    @F.arrow_udf("boolean")
-    def may(slots: pa.Array) -> pa.Array:
-        at = np.asarray(slots)
-        return pa.array(np.frombuffer(shared.value, np.int64)[at >> 6] >> (at & 63) & 1 == 1)
-
-    near = docs.where(may(slot)).join(wanted.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("slot")
+    words = wanted.select(slot).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits"))
+    may = docs.select("*", slot).join(F.broadcast(words), F.shiftright("slot", 6) == F.col("word")).where(
+        "(shiftright(bits, cast(slot % 64 as int)) & 1) = 1").select("doc_id", "text")
+    near = may.join(wanted.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
     return _table(near.mapInArrow(_right_text(shingle), "uid long, text string").dropDuplicates(["uid"]), "texts")
 
 
