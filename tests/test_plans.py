@@ -123,3 +123,39 @@ def test_latest_agency_hashes_the_fact(small):
 def test_hot_keys_need_no_sort_or_limit(small, shuffled_joins):
     plan = plan_of(emergence(*small))
     assert "TakeOrderedAndProject" not in plan and plan.count("BroadcastHashJoin") >= 6
+
+
+def shuffles(plan: str) -> list[str]:
+    return [line for line in re.sub(r"#\d+L?", "", plan).splitlines() if "+- Exchange hashpartitioning" in line]
+
+
+def test_premium_rows_are_shuffled_by_all_keys_and_by_policy_only(small, shuffled_joins):
+    """Terms are differenced and agencies looked up where the rows lie by policy: of the shuffles of
+    premium rows, one is by raw keys, one by policy and lane, one by result keys."""
+    plan = shuffles(plan_of(branches(small, Skew())[1]))
+    assert not [line for line in plan if "(policy_reference, transaction_month, policy_start_date, policy_end_date, 2)" in line]
+    assert len([line for line in plan if "(policy_reference, lane, 2)" in line]) == 1
+    assert len([line for line in plan if "renewal_tag" in line]) == 2
+
+
+def test_rows_of_cold_claim_months_are_not_shuffled_by_all_keys(small, shuffled_joins):
+    agency, by_cause = latest_agency(small.lrd), incurred_by_cause(small.lrd)
+    legal = legal_flags_by_claim_month(small.fin_changes, small.legal_scd)
+    cold, _ = claims.claim_level_parts(small.lrd, agency, by_cause, legal)
+    assert not [line for line in shuffles(plan_of(cold)) if "coverage" in line]
+
+
+def test_hot_exposures_are_found_without_shuffling_all(small, shuffled_joins):
+    """A count by exposure only comes after the exposures of small hashes are left out."""
+    plan = plan_of(legal_flags_by_claim_month(small.fin_changes, small.legal_scd))
+    lines = re.sub(r"#\d+L?", "", plan).splitlines()
+    counts = [k for k, line in enumerate(lines) if "Exchange hashpartitioning(exposure_id, 2)" in line and "Reused" not in line]
+    assert counts and all(any("hash_bucket" in line for line in lines[k:k + 8]) for k in counts)
+
+
+@pytest.mark.parametrize("name", ["final_rollup", "ordered_output"])
+def test_the_result_is_shuffled_in_units(spark, name):
+    """No decimal of the output goes through a shuffle of whole rows."""
+    plan = queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Project" and "decimal(38,4)" in plan.schema().catalogString()
+    assert "decimal" not in plan.children().apply(0).schema().catalogString()
