@@ -19,6 +19,13 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_stays_cached(spark):
+    """What one module caches would stand in the plans that another looks at."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def small(spark):
     from claimtide.sources.staged import inputs

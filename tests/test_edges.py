@@ -368,3 +368,12 @@ def test_rows_without_a_policy_follow_each_other_over_months(spark):
     plain = terms.select(*TERM_MONTH, days.alias("d")).withColumn(
         "earned_days", F.coalesce(F.col("d") - F.lag("d", 1).over(order), F.col("d"))).drop("d")
     assert bag(got) == bag(plain) and got.filter("policy_reference IS NULL").count() > 100
+
+
+def test_a_row_without_policy_and_dates_is_the_first_of_its_month(spark):
+    """Missing start and end are the smallest place within a month, which is no overflow."""
+    none = {"policy_reference": None, "policy_start_date": None, "policy_end_date": None}
+    later = {"policy_reference": None, "transaction_month": date(2024, 3, 1)}
+    days = premium.earning_rows(fact(spark, none, {"policy_reference": None}, later))
+    got = {(r.transaction_month.month, r.policy_start_date): r.earned_days for r in days.collect()}
+    assert got == {(2, None): None, (2, date(2024, 1, 15)): 45, (3, date(2024, 1, 15)): 31}
