@@ -8,6 +8,7 @@ is a function of the whole tables' columns; nothing is sampled or left out.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,9 +25,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def _pick(number: Column, values: list[str | None]) -> Column:
     """The entry of a fixed list at `number` modulo its length."""
-    return F.element_at(
-        F.array(*[F.lit(v).cast("string") for v in values]),
-        (F.pmod(number, F.lit(len(values))) + 1).cast("int"),
+    return F.get(
+        F.array(*[F.lit(v).cast("string") for v in values]), F.pmod(number, F.lit(len(values))).cast("int")
     )
 
 
@@ -124,9 +124,7 @@ def fact_and_changes(spark: SparkSession, folder: str) -> DataFrame:
         return 12 * (F.year(tm) - year) + F.month(tm)
 
     parts = ["incurred_loss", "paid_dcce", "paid_aoe", "paid_subro", "paid_salvage"]
-    net_incurred = zero
-    for part in parts:
-        net_incurred = money(net_incurred + F.coalesce(F.col(part), zero))
+    net_incurred = money(reduce(Column.__add__, [F.coalesce(F.col(part), zero) for part in parts]))
     lines = lines.withColumns({
         "lob": _pick(k, _LOB),
         "cob_name": _pick(k, _COB_NAME),

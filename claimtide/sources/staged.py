@@ -40,8 +40,8 @@ def stage(spark: SparkSession, folder: str) -> str:
     version = tuple(files.version(f"{folder}/{name}.parquet") for name in driver_tables.TABLES)
     if key not in _stored or _stored[key][0] != version:
         target = shared_folder(spark, "inputs")
-        driver_tables.fact_and_changes(spark, folder).write.parquet(f"{target}/lines")
-        driver_tables.legal_scd(spark, folder).write.parquet(f"{target}/legal_scd")
+        driver_tables.fact_and_changes(spark, folder).write.parquet(f"{target}/lines", compression="zstd")
+        driver_tables.legal_scd(spark, folder).write.parquet(f"{target}/legal_scd", compression="zstd")
         _stored[key] = version, target
     return _stored[key][1]
 

@@ -13,6 +13,7 @@ from claimtide.operators.salted_join import Skew
 from claimtide.plans import claims, premium
 from claimtide.plans.emergence import emergence
 from claimtide.queries import queries
+from claimtide.sources import driver_tables
 from conftest import SMALL
 
 
@@ -159,3 +160,12 @@ def test_the_result_is_shuffled_in_units(spark, name):
     plan = queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan()
     assert plan.nodeName() == "Project" and "decimal(38,4)" in plan.schema().catalogString()
     assert "decimal" not in plan.children().apply(0).schema().catalogString()
+
+
+def test_stored_rows_are_made_by_methods_that_the_jvm_compiles(spark, shuffled_joins):
+    """It interprets methods of 8,000 bytes and more."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        driver_tables.fact_and_changes(spark, SMALL).explain("codegen")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
