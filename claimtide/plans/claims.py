@@ -1,12 +1,11 @@
 """Claims branch: fact rows -> claim level -> limits, flags and splits -> result rows.
 
-The wide fact is shuffled twice, and never by a bare business key:
-
-1. by policy, to look up the agency;
-2. by claim and month, to look up cause and legal flags in one go.
+The wide fact is shuffled once, by claim and month, never by a bare business key. Cause and legal
+flags are looked up there in one go. The agency belongs to the policy: only the distinct policies of
+each claim and month go to the agencies and come back with theirs (`with_agency_of_policies`).
 
 Claim level and result are both groupings within claim and month, so they run inside
-the second partitioning: the 99-column rows are never shuffled.
+that partitioning: the 99-column rows are never shuffled.
 
 A claim and month with more rows than a task should take (a placeholder claim of many
 policies) goes another way, from the scan on: such hot claim months are few, so their cause
@@ -18,7 +17,7 @@ list empty and leaves that branch out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructField
 
 from claimtide import fixed_values as V
@@ -35,30 +34,32 @@ from claimtide.schema import (
     DIMENSIONS, GIVEN_DIMENSIONS, capped, claim_measures, counts, output,
 )
 
-# What a raw row is grouped by before anything is looked up.
+# What a raw row is grouped by before anything is looked up. Texts of varying length come last: what
+# stands behind them in a shuffled row moves from row to row, and packs worse.
 _CARRIED = (
-    "policy_reference claim_number lob cob_name cob_group channel paygo_indicator state "
-    "accident_month py ry ay_age py_age ry_age am_age transaction_month coverage "
-    "food_and_bev_express_ind renewal_tag is_bop"
+    "paygo_indicator food_and_bev_express_ind is_bop accident_month py ry ay_age py_age ry_age am_age "
+    "transaction_month coverage renewal_tag lob claim_number policy_reference channel state cob_group cob_name"
 ).split()
 
 _LOOKED_UP = ["agency_type", "loss_cause_type_name", "in_suit_flag", "attorney_rep_flag"]
 
-# Sums from which every claim-level amount follows.
-_BASE_SUMS = {
-    "paid_loss": ["paid_loss"],
-    "reported_loss": ["incurred_loss"],
-    "paid_dcce": ["paid_dcce"],
-    "paid_aoe": ["paid_aoe"],
-    "reported_dcce": ["incurred_dcce"],
-    "reported_aoe": ["incurred_aoe"],
-    # Added before summing: a row that lacks either part counts for nothing.
-    "paid_alae": ["paid_dcce", "paid_aoe"],
-    "reported_alae": ["incurred_dcce", "incurred_aoe"],
-    "reported_indemnity_loss": ["incurred_indemnity_loss"],
-    "reported_medical_loss": ["incurred_medical_loss"],
+# Amounts of a row from whose sums every claim-level amount follows.
+_AMOUNTS = {
+    "paid_loss": "paid_loss",
+    "reported_loss": "incurred_loss",
+    "paid_dcce": "paid_dcce",
+    "paid_aoe": "paid_aoe",
+    "reported_dcce": "incurred_dcce",
+    "reported_aoe": "incurred_aoe",
+    "reported_indemnity_loss": "incurred_indemnity_loss",
+    "reported_medical_loss": "incurred_medical_loss",
 }
 
+# Added before summing: a row that lacks either part counts for nothing.
+_ADDED = {"paid_alae": ("paid_dcce", "paid_aoe"), "reported_alae": ("reported_dcce", "reported_aoe")}
+
+_BASE_SUMS = [*_AMOUNTS, *_ADDED, "total_ss"]
+
 CLAIM_LEVEL_MEASURES = (
     "paid_loss reported_loss paid_dcce paid_aoe paid_alae reported_dcce reported_aoe "
     "reported_alae paid_loss_ss reported_loss_ss paid_lossandalae_ss reported_lossandalae_ss "
@@ -114,8 +115,8 @@ def claim_rows(lrd: DataFrame) -> DataFrame:
 
 
 def unit_rows(lrd: DataFrame, hot: DataFrame | None = None, side: str = "left_anti") -> DataFrame:
-    """Every row's raw keys and what it adds to the base sums, in units; of rows outside the hot
-    claim months (`left_anti`) or of these (`left_semi`), if they are given."""
+    """Every row's raw keys and amounts, in units; of rows outside the hot claim months
+    (`left_anti`) or of these (`left_semi`), if they are given."""
     rows = claim_rows(lrd)
     if hot is not None:
         month = _month_number(F.col("transaction_month")).alias("month_number")
@@ -133,23 +134,22 @@ def unit_rows(lrd: DataFrame, hot: DataFrame | None = None, side: str = "left_an
     def units(column: str) -> Column:
         return to_units(F.col(column))
 
-    amounts = []
-    for name, parts in _BASE_SUMS.items():
-        amount = units(parts[0])
-        for part in parts[1:]:
-            amount = amount + units(part)
-        amounts.append(amount.alias(name))
+    amounts = [units(column).alias(name) for name, column in _AMOUNTS.items()]
     recoveries = or_zero(units("paid_salvage")) + or_zero(units("paid_subro"))
     return keyed.select(*_CARRIED, *amounts, recoveries.alias("total_ss"))
 
 
+def with_added(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({name: F.col(a) + F.col(b) for name, (a, b) in _ADDED.items()})
+
+
 def _base_sums() -> list[Column]:
-    return [F.sum(name).alias(name) for name in [*_BASE_SUMS, "total_ss"]]
+    return [F.sum(name).alias(name) for name in _BASE_SUMS]
 
 
 def summed_rows(lrd: DataFrame, hot: DataFrame | None = None, side: str = "left_anti") -> DataFrame:
     """Base sums in units by every raw key, combined map-side before the shuffle."""
-    return unit_rows(lrd, hot, side).groupBy(*_CARRIED).agg(*_base_sums())
+    return with_added(unit_rows(lrd, hot, side)).groupBy(*_CARRIED).agg(*_base_sums())
 
 
 def claim_context(by_cause: DataFrame, legal: DataFrame) -> DataFrame:
@@ -201,6 +201,31 @@ def with_agency(rows: DataFrame, agency: DataFrame, spread: list[str], skew: Ske
     ).drop(LANE))
 
 
+def with_agency_of_policies(rows: DataFrame, agency: DataFrame, skew: Skew = Skew()) -> DataFrame:
+    """`with_agency` of rows that are shuffled once, by claim and month, and have their `month_number`
+    beside them. Every policy of a claim and month is sent to the agencies once, with nothing else.
+
+    The rows and the question for their policies ask for all columns, so they share the shuffle.
+    The answers are shuffled as the rows are, which leaves a policy's answer beside its rows.
+    """
+    key = ["claim_number", "month_number"]
+    numbered = rows.withColumn("month_number", _month_number(F.col("transaction_month"))).drop("transaction_month")
+    lying = numbered.repartition(*key)
+    every = F.xxhash64(*lying.columns)
+    asked = lying.groupBy("policy_reference", *key).agg(
+        (F.count_if(every == 0) + F.count_if(every != 0)).alias("n_rows")
+    ).filter("n_rows > 0").drop("n_rows")
+    answers = salted_left_join(
+        asked, agency_lookup(agency), ["policy_reference"], weights=policy_weights(agency), spread=key, skew=skew,
+    ).drop(LANE).repartition(*key)
+    beside = Window.partitionBy(*key, "policy_reference")
+    found = lying.withColumn("of_row", every).unionByName(answers, allowMissingColumns=True).withColumn(
+        "agency_type", F.max("agency_type").over(beside)
+    ).filter("of_row IS NOT NULL").drop("of_row")
+    month = F.when(F.col("month_number") != _NO_MONTH, F.date_from_unix_date("month_number"))
+    return with_channel(found.withColumn("transaction_month", month))
+
+
 def agency_lookup(agency: DataFrame) -> DataFrame:
     return agency.filter("policy_reference IS NOT NULL").filter("n_rows > 0").select("policy_reference", "agency_type")
 
@@ -228,17 +253,15 @@ def claim_level_parts(
     hot = hot_claim_months(by_cause, skew)
     context = claim_context(by_cause, legal)
 
-    def joined(rows: DataFrame, lookup: DataFrame) -> DataFrame:
-        rows = with_agency(rows, agency, spread=_CARRIED, skew=skew)
-        return rows.withColumn("month_number", _month_number(F.col("transaction_month"))).join(lookup, key, "left")
-
+    cold = with_agency_of_policies(unit_rows(lrd, hot, "left_anti"), agency, skew=skew)
+    summed = with_agency(summed_rows(lrd, hot, "left_semi"), agency, spread=_CARRIED, skew=skew)
+    summed = summed.withColumn("month_number", _month_number(F.col("transaction_month")))
     # One row a claim month, so no more than the list has.
     few = F.broadcast(with_hot(context, hot, key, "left_semi"))
     # Raw keys hold policy, claim, month and coverage, so summing by them merges few rows of a cold
     # claim month: not worth a shuffle before the claim level does it where the rows go anyway.
     return (
-        _level(joined(unit_rows(lrd, hot, "left_anti"), context)),
-        _level(joined(summed_rows(lrd, hot, "left_semi"), few)),
+        _level(with_added(cold).join(context, key, "left")), _level(summed.join(few, key, "left")),
     )
 
 

@@ -377,3 +377,20 @@ def test_a_row_without_policy_and_dates_is_the_first_of_its_month(spark):
     days = premium.earning_rows(fact(spark, none, {"policy_reference": None}, later))
     got = {(r.transaction_month.month, r.policy_start_date): r.earned_days for r in days.collect()}
     assert got == {(2, None): None, (2, date(2024, 1, 15)): 45, (3, date(2024, 1, 15)): 31}
+
+
+def test_policies_of_one_claim_month_have_their_own_agencies(spark):
+    """Of a claim and month, or a claim without a month: two policies, one without an agency, and none."""
+    rows = [
+        {"policy_reference": policy, "agency_type": agency, "transaction_month": month, "coverage": coverage, "paid_dcce": 1, "paid_aoe": aoe}
+        for policy, agency in (("P1", "Broker"), ("P2", "Captive"), ("P3", None), (None, "Broker"))
+        for month in (date(2024, 2, 1), None) for coverage, aoe in (("BI", 2), ("PD", None))
+    ]
+    found = claim_level(spark, fact(spark, *rows)).select(
+        "policy_reference", "transaction_month", "coverage", "agency_type", "paid_alae"
+    ).collect()
+    own = {"P1": "Broker", "P2": "Captive"}
+    assert len(found) == len(rows) and {tuple(row) for row in found} == {
+        (row["policy_reference"], row["transaction_month"], row["coverage"], own.get(row["policy_reference"]),
+         dec(3) if row["coverage"] == "BI" else None) for row in rows
+    }

@@ -169,3 +169,14 @@ def test_stored_rows_are_made_by_methods_that_the_jvm_compiles(spark, shuffled_j
         driver_tables.fact_and_changes(spark, SMALL).explain("codegen")
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
     assert sizes and max(sizes) < 8000
+
+
+def test_only_policies_of_claim_months_are_shuffled_by_policy(small, shuffled_joins):
+    """The amounts of cold claim months move once: by claim and month."""
+    agency, by_cause = latest_agency(small.lrd), incurred_by_cause(small.lrd)
+    legal = legal_flags_by_claim_month(small.fin_changes, small.legal_scd)
+    cold, _ = claims.claim_level_parts(small.lrd, agency, by_cause, legal)
+    lines = re.sub(r"#\d+L?", "", plan_of(cold)).splitlines()
+    by_policy = [k for k, line in enumerate(lines) if "Exchange hashpartitioning(policy_reference, lane" in line]
+    assert by_policy and not [k for k in by_policy if "paygo_indicator" in lines[k + 1]]
+    assert [line for line in lines if "ReusedExchange" in line and "paygo_indicator" in line]
