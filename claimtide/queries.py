@@ -307,15 +307,19 @@ def _level_units(t: Inputs) -> DataFrame:
     return C.with_result_labels(level)
 
 
-def _by_year_and_lob(t: Inputs, *totals: Column) -> DataFrame:
-    return _level_units(t).groupBy("ay", "lob").agg(*totals)
+def _by_year_and_lob(t: Inputs, *totals: Column, net_only: bool = False) -> DataFrame:
+    """Totals of claim-level amounts, for which no cause, flag or agency is needed."""
+    level = C.claim_amounts(t.lrd, net_only=net_only)
+    return level.groupBy(F.year("accident_month").alias("ay"), "lob").agg(*totals)
 
 
 def _result_totals(t: Inputs, names: list[str]) -> DataFrame:
     """Result measures by accident year and line, straight from the claim level."""
     derived = C.derived_measures()
     used = set(re.findall(r"\w+", " ".join(derived.get(name, name) for name in names)))
-    rolled = _level_units(t).groupBy("ay", "lob", "attorney_represented", "litigated").agg(*[
+    by_flags = [label for label in ("attorney_represented", "litigated") if label in used]
+    level = _level_units(t) if by_flags else C.claim_amounts(t.lrd).withColumn("ay", F.year("accident_month"))
+    rolled = level.groupBy("ay", "lob", *by_flags).agg(*[
         F.expr(f"{total} AS {name}") for name, total in C.result_sums().items() if name in used
     ])
     measures = rolled.selectExpr(
@@ -400,7 +404,7 @@ def cap_ladder(t: Inputs) -> DataFrame:
     return _by_year_and_lob(t, *[
         _units_total(F.expr(C.limit(amount, cap)), f"capped_{level}_{amount}")
         for amount in C.LIMITED for level, cap in V.CAPS.items()
-    ])
+    ], net_only=True)
 
 
 @_over_inputs
