@@ -65,7 +65,7 @@ def test_an_agency_brings_several_channels_together(spark):
     assert found == {("C1", 1_200_000_000): 1, ("C2", 600_000_000): 2}
 
 
-@pytest.mark.parametrize("name", ["cap_ladder", "capped_case"])
+@pytest.mark.parametrize("name", ["cap_ladder", "capped_case", "net_loss_measures"])
 def test_totals_by_year_and_line_move_net_amounts_once(spark, name):
     """One shuffle of the rows, which the question for agencies shares; neither causes nor flags."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
