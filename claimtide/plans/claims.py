@@ -317,14 +317,17 @@ def claim_amounts(lrd: DataFrame, net_only: bool = False, skew: Skew = Skew()) -
     """
     def rows_of(side: str) -> DataFrame:
         rows = unit_rows(lrd, hot, side)
-        return with_net_amounts(rows).select(*_CARRIED, *LIMITED) if net_only else with_added(rows)
+        return with_net_amounts(rows).select(*_CARRIED, *LIMITED) if net_only else rows
+
+    def added(rows: DataFrame) -> DataFrame:
+        return rows if net_only else with_added(rows)
 
     sums = [F.sum(name).alias(name) for name in (LIMITED if net_only else _BASE_SUMS)]
     month = _month_number(F.col("transaction_month")).alias("month_number")
     counted = lrd.filter(F.col("claim_number").isNotNull()).select("claim_number", month, F.lit(1).alias("n_rows"))
     hot = hot_keys_of(counted, ["claim_number", "month_number"], skew)
-    cold = with_partner_channel(rows_of("left_anti"), lrd, skew)
-    summed = rows_of("left_semi").groupBy(*_CARRIED).agg(*sums)
+    cold = added(with_partner_channel(rows_of("left_anti"), lrd, skew))
+    summed = added(rows_of("left_semi")).groupBy(*_CARRIED).agg(*sums)
     summed = with_agency(summed, agency_of_policies(lrd, summed), spread=_CARRIED, skew=skew)
     summed = summed.withColumn("month_number", _month_number(F.col("transaction_month")))
     level = reduce(DataFrame.unionByName, [

@@ -318,9 +318,13 @@ def _result_totals(t: Inputs, names: list[str]) -> DataFrame:
     derived = C.derived_measures()
     used = set(re.findall(r"\w+", " ".join(derived.get(name, name) for name in names)))
     by_flags = [label for label in ("attorney_represented", "litigated") if label in used]
-    level = _level_units(t) if by_flags else C.claim_amounts(t.lrd).withColumn("ay", F.year("accident_month"))
+    sums = {name: total for name, total in C.result_sums().items() if name in used}
+    amounts = set(re.findall(r"\w+", " ".join(sums.values()))) & set(C.CLAIM_LEVEL_MEASURES)
+    level = _level_units(t) if by_flags else C.claim_amounts(
+        t.lrd, net_only=amounts <= set(C.LIMITED)
+    ).withColumn("ay", F.year("accident_month"))
     rolled = level.groupBy("ay", "lob", *by_flags).agg(*[
-        F.expr(f"{total} AS {name}") for name, total in C.result_sums().items() if name in used
+        F.expr(f"{total} AS {name}") for name, total in sums.items()
     ])
     measures = rolled.selectExpr(
         "ay", "lob", *[f"{derived.get(name, name)} AS {name}" for name in names]
@@ -354,8 +358,13 @@ def alae_measures(t: Inputs) -> DataFrame:
 
 @_over_inputs
 def case_reserves(t: Inputs) -> DataFrame:
+    pairs = {
+        "case_lossandalae": ("reported_lossandalae_ss", "paid_lossandalae_ss"),
+        "case_loss": ("reported_loss_ss", "paid_loss_ss"),
+    }
     return _by_year_and_lob(
-        t, *[_units_total(F.col(m), m) for m in ("case_lossandalae", "case_loss")]
+        t, *[_units_total(F.col(reported) - F.col(paid), case) for case, (reported, paid) in pairs.items()],
+        net_only=True,
     )
 
 
