@@ -55,6 +55,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Removes a folder that `shared_folder` gave, before the application ends."""
+    Store(spark, folder).remove(folder)
+
+
 def remove_scratch() -> None:
     """Removes the scratch folders of this process's applications."""
     while _scratch:

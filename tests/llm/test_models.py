@@ -1,8 +1,10 @@
 """The classifiers: held-out labels for toxicity, a plain dictionary model for perplexity."""
 
 import math
+import threading
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -178,3 +180,65 @@ def test_perplexity_keeps_words_apart(spark):
     slots = {int(x) for _, t in rows for x in quality_lm.slots_of(t, hashes)}
     assert len(slots) == len({w for _, t in rows for w in t.split()})
     assert got[1001] > 1 << 16  # each unknown word has only the uniform part
+
+
+def plain_words(rng, count):
+    return " ".join(f"{x:x}" for x in rng.integers(0, 1 << 48, count))
+
+
+def test_perplexity_stores_no_pairs_of_untrusted_text(spark):
+    """All that is stored while documents are scored is the model and the result, whatever else the corpus holds."""
+    rng = np.random.default_rng(8)
+    rows = [(k, plain_words(rng, 2000)) for k in range(300)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(3)], "doc_id long, quality int, toxic int")
+    root = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"))
+    stored, ended = [], threading.Event()
+
+    def size():
+        return sum(f.stat().st_size for f in root.rglob("*.parquet") if f.exists())
+
+    def watch():
+        while not ended.wait(0.02):
+            try:
+                stored.append(size())
+            except FileNotFoundError:
+                pass
+
+    frame = docs(spark, rows).repartition(4).cache()
+    frame.count()
+    before, watcher = size(), threading.Thread(target=watch)
+    watcher.start()
+    try:
+        got = quality_lm.perplexities(frame, labels).collect()
+    finally:
+        ended.set()
+        watcher.join()
+    assert len(got) == len(rows) and all(r.n_words == 2000 for r in got)
+    assert max(stored) - before < 1 << 20  # 600,000 pairs, of which trusted text has 6,000
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("quality_")]
+
+
+def test_perplexity_is_the_same_in_rounds(spark, monkeypatch):
+    """Rounds part the documents only: the same sums to the last bit, and the same for equal texts."""
+    rng = np.random.default_rng(9)
+    word = lambda: f"w{int(rng.zipf(1.3)) % 5000}"
+    texts = [" ".join(word() for _ in range(int(n))) for n in rng.integers(0, 200, 60)]
+    rows = [(k, texts[k % 60]) for k in range(120)] + [(3, texts[3]), (None, texts[4]), (500, None)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(0, 60, 2)], "doc_id long, quality int, toxic int")
+    frame = docs(spark, rows).repartition(3)
+    score = lambda: sorted(((str(r.doc_id), r.n_words, r.perplexity) for r in quality_lm.perplexities(frame, labels).collect()),
+                           key=str)
+    one = score()
+    monkeypatch.setattr(quality_lm, "ROUND_BYTES", 8 << 10)
+    assert score() == one and len(one) == len(rows)
+    of = {i: p for i, _, p in one}
+    assert all(of[str(k)] == of[str(k + 60)] for k in range(60))
+
+
+def test_perplexity_where_trusted_documents_are_too_many_to_send(spark, monkeypatch):
+    rows = [(k, f"a b c d{k % 7} a b e{k % 5}") for k in range(40)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(20)], "doc_id long, quality int, toxic int")
+    score = lambda: {r.doc_id: r.perplexity for r in quality_lm.perplexities(docs(spark, rows), labels).collect()}
+    sent = score()
+    monkeypatch.setattr(quality_lm, "MOST_SENT", 0)
+    assert score() == sent
